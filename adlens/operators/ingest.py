@@ -10,19 +10,20 @@
 * I6 an empty batch writes nothing and keeps the watermark.
 * I7 the new watermark is the batch's latest date, written after the data.
 
-Bronze is partitioned by ``reporting_start``, so the date filter of every
-later incremental read prunes whole partitions. The write replaces only the
-date partitions present in the batch (dynamic partition overwrite). All of
-them are newer than the watermark, so they hold no earlier load; a run that
-died between the data write and the watermark write is simply redone and
-replaces its own partial output instead of appending it twice.
+Bronze is append-only and each increment lands as its own partition,
+``load_after=<watermark the increment started from>``. The write replaces
+only that partition (dynamic partition overwrite): a run that died between
+the data write and the watermark write is simply redone and replaces its own
+partial output instead of appending it twice, and no earlier increment is
+touched. Within an increment, REBALANCE lets AQE cut evenly sized files
+whatever the spread of dates (a hot date is split over several tasks).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -58,6 +59,8 @@ BRONZE_SCHEMA = StructType([
     StructField("loaded_at", TimestampType()),
 ])
 BRONZE_COLUMNS = [f.name for f in BRONZE_SCHEMA.fields]
+# partition column of bronze: the watermark an increment started from
+LOAD_PARTITION = "load_after"
 
 
 # -- watermark (I1, I7) ---------------------------------------------------------
@@ -149,22 +152,22 @@ def load_increment(spark: SparkSession, raw: DataFrame, bronze_path: str,
     """
     loaded_at = loaded_at or dt.datetime.now()
     last = read_checkpoint(spark, checkpoint_path)
-    stamped = stamp(incremental_new_rows(raw, last, rules), loaded_at)
-    # REBALANCE on the partition column: AQE splits a hot date over several
-    # tasks and merges small ones, so no single task writes a hot date alone.
-    (stamped.hint("rebalance", "reporting_start")
+    # Row count and latest date are observed while the batch is written: one
+    # pass, and metrics come only from tasks that succeeded.
+    obs = Observation("bronze_batch")
+    stamped = stamp(incremental_new_rows(raw, last, rules), loaded_at).observe(
+        obs, F.count(F.lit(1)).alias("n"), F.max("reporting_start").alias("last"))
+    (stamped.withColumn(LOAD_PARTITION, F.lit(last.isoformat()))
+     .hint("rebalance")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("reporting_start").parquet(bronze_path))
-    # The batch's dates are exactly the bronze partitions newer than the old
-    # watermark; reading them back prunes every older partition.
-    stats = (read_bronze(spark, bronze_path).where(F.col("reporting_start") > F.lit(last))
-             .agg(F.count(F.lit(1)).alias("n"), F.max("reporting_start").alias("last"))
-             .first())
-    if stats["n"] == 0:  # I6: nothing loaded, watermark unchanged
+     .partitionBy(LOAD_PARTITION).parquet(bronze_path))
+    stats = obs.get
+    if not stats.get("n"):  # I6: nothing loaded, watermark unchanged
         return {"last_loaded": last, "inserted": 0, "new_checkpoint": None}
     write_checkpoint(spark, checkpoint_path, stats["last"])
     return {"last_loaded": last, "inserted": int(stats["n"]), "new_checkpoint": stats["last"]}
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    return spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path).select(*BRONZE_COLUMNS)
+    schema = StructType(BRONZE_SCHEMA.fields + [StructField(LOAD_PARTITION, StringType())])
+    return spark.read.schema(schema).parquet(bronze_path).select(*BRONZE_COLUMNS)

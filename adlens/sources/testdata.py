@@ -49,7 +49,11 @@ def _pick(key: Column, values: tuple[str, ...]) -> Column:
 
 
 def ad_rows_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return lineitem_to_ad_rows(table(spark, sf_dir, "lineitem"))
+
+
+def lineitem_to_ad_rows(li: DataFrame) -> DataFrame:
+    """Row-by-row shaping (no state), so it applies to a stream as well."""
     disc, qty, tax = F.col("l_discount"), F.col("l_quantity"), F.col("l_tax")
     day = F.date_format(F.col("l_shipdate"), "dd/MM/yyyy")
     campaign = (F.when(disc == 0, F.lit("45-49"))
