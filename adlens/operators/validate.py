@@ -11,11 +11,22 @@ Rules, in order (the first failing rule names the row's reason):
    another missing one.
 
 Scale: rule 4 needs, per row, "is there an earlier row with my key?". A
-window partitioned by the key would put every row of a hot key (one key may
-hold a third of the rows) into one task. Instead the first source position
-per key is found with a ``groupBy`` — partial aggregation collapses a hot
-key on the map side — and joined back on (key, position). The position is
-unique per row, so that join is spread evenly whatever the key skew.
+window partitioned by the key would sort every row of a hot key (one key
+may hold a third of the rows) in one task. Instead:
+
+1. rows per key — a hash aggregation, partial per task, so a hot key is
+   collapsed on the map side before the shuffle;
+2. keep the keys seen more than once;
+3. the first source position of those keys, aggregated over their rows only
+   (a semi join with step 2);
+4. every row is joined (left, null-safe on the key) to step 3; it is a
+   duplicate when its position is not the first one.
+
+Steps 3–4 only move the rows of duplicated keys plus one row per such key.
+When there are few, AQE sees their actual size at run time and broadcasts
+them, so the wide rows are never shuffled; when there are many, the join
+stays a sort-merge join and AQE's skew-join handling splits the partitions
+of a hot key on the row side.
 """
 
 from __future__ import annotations
@@ -61,15 +72,22 @@ def negative_spend() -> Column:
 def with_duplicate_flag(raw: DataFrame, key=DEDUP_KEY, seq: str = SEQ,
                         flag: str = "_is_dup") -> DataFrame:
     """V5: flag every row that is not the first of its key in source order."""
-    fk = [f"_first_{i}" for i in range(len(key))]
-    firsts = raw.groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)]).agg(
-        F.min(seq).alias("_first_seq")).withColumn("_first", F.lit(True))
-    cond = ([F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, fk)]
-            + [F.col(seq) == F.col("_first_seq")])
-    joined = raw.join(firsts, cond, "left")
+    fk = [f"_dk_{i}" for i in range(len(key))]
+
+    def on_key(right: DataFrame):
+        return [F.col(k).eqNullSafe(right[n]) for k, n in zip(key, fk)]
+
+    # keys seen more than once: hash aggregation, partial per task first
+    dup_keys = (raw.groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)])
+                .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n"))
+    # first source position of each duplicated key, from those keys' rows only
+    firsts = (raw.join(dup_keys, on_key(dup_keys), "left_semi")
+              .groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)])
+              .agg(F.min(seq).alias("_first_seq")))
+    joined = raw.join(firsts, on_key(firsts), "left")
     return joined.select(
         *raw.columns,
-        (~F.coalesce(F.col("_first"), F.lit(False))).alias(flag),
+        F.coalesce(F.col(seq) != F.col("_first_seq"), F.lit(False)).alias(flag),
     )
 
 
