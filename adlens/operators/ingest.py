@@ -15,8 +15,9 @@ Bronze is append-only and each increment lands as its own partition,
 only that partition (dynamic partition overwrite): a run that died between
 the data write and the watermark write is simply redone and replaces its own
 partial output instead of appending it twice, and no earlier increment is
-touched. Within an increment, REBALANCE lets AQE cut evenly sized files
-whatever the spread of dates (a hot date is split over several tasks).
+touched. The write needs no shuffle: each task writes the rows of its own
+input split into the one partition of its increment, so file sizes follow
+the input splits whatever the spread of dates.
 """
 
 from __future__ import annotations
@@ -158,7 +159,6 @@ def load_increment(spark: SparkSession, raw: DataFrame, bronze_path: str,
     stamped = stamp(incremental_new_rows(raw, last, rules), loaded_at).observe(
         obs, F.count(F.lit(1)).alias("n"), F.max("reporting_start").alias("last"))
     (stamped.withColumn(LOAD_PARTITION, F.lit(last.isoformat()))
-     .hint("rebalance")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(LOAD_PARTITION).parquet(bronze_path))
     stats = obs.get

@@ -50,6 +50,21 @@ def read_raw_csv(spark: SparkSession, path: str, check_width: bool = True) -> Da
     return normalize_raw(df.drop(CORRUPT))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster when it yields too few partitions.
+
+    A source stored as one file with one row group is read by a single task,
+    so all per-row work before the first shuffle would run on one core. Only
+    then is it spread (a cheap shuffle of the scanned columns); a scan that
+    already has at least ``min_partitions`` (default: the session's
+    parallelism) partitions — any large input — is returned unchanged.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def normalize_raw(df: DataFrame) -> DataFrame:
     """Missing-value tokens to NULL on every raw column."""
     return df.select(*[na_to_null(c).alias(c) for c in RAW_COLUMNS],

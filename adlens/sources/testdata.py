@@ -30,14 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.config import AGE_GROUPS, RAW_COLUMNS
-from adlens.sources.raw import SEQ
+from adlens.sources.raw import SEQ, spread
 
 # age bracket outside the standard four (dropped by the silver layer)
 OTHER_AGE = "50-54"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _text(c: Column) -> Column:
