@@ -35,6 +35,7 @@ from adlens.config import (
     Rules,
 )
 from adlens.functions import money_sum, ratio, round_half_away
+from adlens.functions.stats import exact_medians
 
 KPI_COLUMNS = [
     "campaign_id", "total_impressions", "total_clicks", "total_spend",
@@ -122,27 +123,36 @@ def health_score(components: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
 
 # -- M10–M11: medians, tiers, recommendations ---------------------------------------
 
-def kpi_medians(kpis: DataFrame) -> DataFrame:
-    """Exact (interpolated) medians of CPA, conversion rate and spend.
+# Up to this many campaigns the medians may be taken inside one task (the
+# median aggregate keeps the distinct values of its column there); beyond it
+# the distributed exact median is used.
+MEDIAN_IN_TASK_MAX_ROWS = 1_000_000
 
-    One row. ``median`` keeps the distinct values of its column per task; its
-    input has one row per campaign.
+
+def kpi_medians(kpis: DataFrame, in_one_task: bool = False) -> DataFrame:
+    """Exact medians of CPA, conversion rate and spend (one row).
+
+    Missing values are skipped; an even count averages the two middle
+    values. ``in_one_task`` is for callers that have checked the table holds
+    at most ``MEDIAN_IN_TASK_MAX_ROWS`` rows; otherwise the values are ranked
+    by a distributed sort (``functions.stats``) and never gathered.
     """
-    return kpis.agg(
-        F.median("cpa").alias("median_cpa"),
-        F.median("conversion_rate_pct").alias("median_cr"),
-        F.median("total_spend").alias("median_spend"),
-    )
+    cols = {"cpa": "median_cpa", "conversion_rate_pct": "median_cr",
+            "total_spend": "median_spend"}
+    if in_one_task:
+        return kpis.agg(*[F.median(c).alias(n) for c, n in cols.items()])
+    return exact_medians(kpis, cols)
 
 
-def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES,
+                    medians_in_one_task: bool = False) -> DataFrame:
     """Tier and recommendation, four ordered cases.
 
     A comparison that meets a missing value is false, so such a row falls
     through to the next case.
     """
     r = rules.score
-    med = F.broadcast(kpi_medians(scored))
+    med = F.broadcast(kpi_medians(scored, medians_in_one_task))
     s, cpa, cr, spend = (F.col("health_score"), F.col("cpa"),
                          F.col("conversion_rate_pct"), F.col("total_spend"))
     high = (s >= r.high_performer_score) & (cpa <= F.col("median_cpa"))
@@ -161,7 +171,14 @@ def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
 def mart_campaign_kpis(fact: DataFrame, rules: Rules = DEFAULT_RULES,
                        last_updated=None) -> DataFrame:
     """The 21-column KPI mart (``last_updated`` only when given)."""
-    out = recommendations(health_score(health_components(campaign_kpis(fact), rules), rules), rules)
+    return mart_from_kpis(campaign_kpis(fact), rules, last_updated)
+
+
+def mart_from_kpis(kpis: DataFrame, rules: Rules = DEFAULT_RULES, last_updated=None,
+                   medians_in_one_task: bool = False) -> DataFrame:
+    """M7–M12 on a campaign KPI table (M1–M6)."""
+    scored = health_score(health_components(kpis, rules), rules)
+    out = recommendations(scored, rules, medians_in_one_task)
     cols = [F.col(c) for c in MART_KPI_COLUMNS]
     if last_updated is not None:
         cols.append(F.lit(last_updated).cast("timestamp").alias("last_updated"))

@@ -52,3 +52,19 @@ def test_fixed_decimals(spark):
     assert [r[0] for r in df.select(fixed("x", 4)).collect()] == [
         "12.3000", "0.0001", "-0.0400", "157.6500"]
     _ = F
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 11, 500])
+def test_exact_median_matches_statistics(spark, n):
+    import statistics
+
+    from adlens.functions.stats import exact_medians
+    rnd = random.Random(n)
+    a = [float(rnd.randint(0, 20)) for _ in range(n)] + [None, None]
+    b = [rnd.uniform(-5, 5) for _ in range(n)] + [None, 1.0]
+    df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
+    got = exact_medians(df, {"a": "ma", "b": "mb"}, partitions=4).first()
+    exp_a = statistics.median([x for x in a if x is not None]) if n else None
+    exp_b = statistics.median([x for x in b if x is not None])
+    assert got["ma"] == exp_a
+    assert got["mb"] == pytest.approx(exp_b, abs=1e-12)
