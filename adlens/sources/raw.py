@@ -58,11 +58,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     then is it spread (a cheap shuffle of the scanned columns); a scan that
     already has at least ``min_partitions`` (default: the session's
     parallelism) partitions — any large input — is returned unchanged.
+    Rows are placed by a hash of all their columns: deterministic when a
+    task is retried, and unlike round-robin it needs no sort first.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    return df.repartition(want, *df.columns)
 
 
 def normalize_raw(df: DataFrame) -> DataFrame:
