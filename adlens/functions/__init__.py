@@ -11,9 +11,10 @@ from adlens.functions.expr import (
     parse_day_first,
     ratio,
     round_half_away,
+    round_half_away_value,
 )
 
 __all__ = [
     "MONEY", "clean_number", "exact_mean", "fixed", "money", "money_sum",
-    "na_to_null", "parse_day_first", "ratio", "round_half_away",
+    "na_to_null", "parse_day_first", "ratio", "round_half_away", "round_half_away_value",
 ]

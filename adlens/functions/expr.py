@@ -6,6 +6,8 @@ whole-stage codegen; none of them is a Python UDF.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -39,6 +41,12 @@ def round_half_away(c: Column | str, digits: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)) / F.lit(p)
 
 
+def round_half_away_value(x: float, digits: int) -> float:
+    """`round_half_away` for a single Python number (driver-side summaries)."""
+    p = 10.0 ** digits
+    return math.copysign(math.floor(abs(x) * p + 0.5), x) / p
+
+
 def ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:
     """``num / NULLIF(den, 0) * scale``: NULL instead of a division by zero."""
     q = _c(num) / F.nullif(_c(den), F.lit(0))

@@ -35,6 +35,7 @@ from adlens.config import (
     REASON_NULL_CONVERSION,
     Rules,
 )
+from adlens.functions import round_half_away_value
 from adlens.operators import anomaly, gold, ingest, silver, validate
 from adlens.session import fresh_dir
 
@@ -104,7 +105,7 @@ def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
     m = obs.get
     total, valid = int(m["total_rows"]), int(m["valid_rows"])
     rejected = total - valid
-    pct = round(rejected / total * 100, 2) if total else 0.0
+    pct = round_half_away_value(rejected / total * 100, 2) if total else 0.0
     row = (run_ts, total, valid, rejected, float(pct), int(m["reason_invalid_campaign"]),
            int(m["reason_null_conversion"]), int(m["reason_negative_spend"]),
            int(m["reason_duplicate"]))
