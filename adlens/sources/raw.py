@@ -47,7 +47,9 @@ def read_raw_csv(spark: SparkSession, path: str, check_width: bool = True) -> Da
         df = df.where(
             F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(
                 F.raise_error(F.concat(F.lit("malformed raw row: "), F.col(CORRUPT)))))
-    return normalize_raw(df.drop(CORRUPT))
+    # the source order is fixed above, so spreading a coarse input (one
+    # unsplittable compressed file) over the cores cannot disturb it
+    return spread(normalize_raw(df.drop(CORRUPT)))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
