@@ -65,3 +65,15 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().sparkPlan().toString()
     # l_quantity, l_tax, l_discount feed nothing dim_campaign needs beyond the filter
     assert "l_linestatus" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_rerun_on_same_warehouse_adds_nothing(spark, warehouse):
+    wh, rep = warehouse
+    before = rows(wh.read(spark, "mart_campaign_kpis"), ["last_updated"])
+    bronze_before = wh.read(spark, "raw_campaign_performance").count()
+    _, rep2 = run_pipeline(spark, ad_rows_from_lineitem(spark, SF001), warehouse=wh.root,
+                           run_ts=TS)
+    assert rep2.load["inserted"] == 0
+    assert wh.read(spark, "raw_campaign_performance").count() == bronze_before
+    assert rows(wh.read(spark, "mart_campaign_kpis"), ["last_updated"]) == before
+    assert rep2.validation == rep.validation
