@@ -61,6 +61,13 @@ class Warehouse:
             return ingest.read_bronze(spark, self.path(name))
         return spark.read.parquet(self.path(name))
 
+    def register_views(self, spark: SparkSession) -> list[str]:
+        """Every written table as a temporary view of the same name, for SQL."""
+        names = list(TABLES) + ["raw_campaign_performance"]
+        for name in names:
+            self.read(spark, name).createOrReplaceTempView(name)
+        return names
+
     @property
     def bronze(self) -> str:
         return self.path("raw_campaign_performance")

@@ -77,3 +77,15 @@ def test_rerun_on_same_warehouse_adds_nothing(spark, warehouse):
     assert wh.read(spark, "raw_campaign_performance").count() == bronze_before
     assert rows(wh.read(spark, "mart_campaign_kpis"), ["last_updated"]) == before
     assert rep2.validation == rep.validation
+
+
+def test_sql_over_registered_views(spark, warehouse):
+    wh, _ = warehouse
+    wh.register_views(spark)
+    got = spark.sql("""
+        SELECT campaign_id, total_spend,
+               total_spend / SUM(total_spend) OVER () AS share, health_label
+        FROM mart_campaign_kpis ORDER BY total_spend DESC""").collect()
+    assert len(got) == 3 and abs(sum(r.share for r in got) - 1.0) < 1e-9
+    n = spark.sql("SELECT COUNT(*) AS n FROM anomaly_log WHERE severity = 'HIGH'").first().n
+    assert n == wh.read(spark, "anomaly_log").where("severity = 'HIGH'").count()
