@@ -152,6 +152,21 @@ def incremental_new_rows(raw: DataFrame, last_loaded, rules: str = "campaign",
     return allowed_rows(raw, rules, campaign_ids).where(newer_than(last_loaded))
 
 
+def observed_new_rows(raw: DataFrame, last_loaded, rules: str = "campaign"
+                      ) -> tuple[DataFrame, Observation]:
+    """I2–I4 with the batch's row count and latest date observed on the way.
+
+    The date filter sits above the observation (``n``, ``last``), which the
+    optimizer does not push filters through.
+    """
+    obs = Observation("bronze_batch")
+    newer = newer_than(last_loaded)
+    typed = allowed_rows(raw, rules).observe(
+        obs, F.count_if(newer).alias("n"),
+        F.max(F.when(newer, F.col("reporting_start"))).alias("last"))
+    return typed.where(newer), obs
+
+
 def stamp(new_rows: DataFrame, loaded_at) -> DataFrame:
     """Add ``loaded_at`` and fix the bronze column order (K6)."""
     return new_rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")).select(*BRONZE_COLUMNS)
@@ -172,12 +187,8 @@ def load_increment(spark: SparkSession, raw: DataFrame, bronze_path: str,
     # The date filter sits above the observation, which the optimizer does
     # not push filters through, so the dates are parsed once, after any
     # spreading of a coarse input, rather than in the scan task.
-    obs = Observation("bronze_batch")
-    newer = newer_than(last)
-    typed = allowed_rows(raw, rules).observe(
-        obs, F.count_if(newer).alias("n"),
-        F.max(F.when(newer, F.col("reporting_start"))).alias("last"))
-    stamped = stamp(typed.where(newer), loaded_at)
+    new_rows, obs = observed_new_rows(raw, last, rules)
+    stamped = stamp(new_rows, loaded_at)
     (stamped.withColumn(LOAD_PARTITION, F.lit(last.isoformat()))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(LOAD_PARTITION).parquet(bronze_path))
