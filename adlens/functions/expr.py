@@ -100,3 +100,24 @@ def parse_day_first(c: Column | str, name: str = "date") -> Column:
 def fixed(c: Column | str, digits: int) -> Column:
     """Number as text with exactly ``digits`` decimals (after `round_half_away`)."""
     return round_half_away(c, digits).cast(DecimalType(38, digits)).cast("string")
+
+
+def with_scalars(df, aggs: list[Column], source=None):
+    """``df`` with the values of ungrouped aggregates ``aggs`` as extra columns.
+
+    The aggregates run over ``source`` (default ``df``) with no grouping, so
+    they yield exactly one row; it is broadcast and attached to every row
+    of ``df``. Nothing is paired: each row gains the same scalars, as a
+    scalar subquery would give it. (This replaces ``SUM(x) OVER ()``, which
+    would pull every row into one task.)
+    """
+    return attach_row(df, (source if source is not None else df).agg(*aggs))
+
+
+def attach_row(df, one_row):
+    """Every row of ``df`` with the columns of ``one_row``, broadcast.
+
+    ``one_row`` must be an ungrouped aggregate (exactly one row, whatever
+    the data size), so the product has exactly as many rows as ``df``.
+    """
+    return df.crossJoin(F.broadcast(one_row))

@@ -35,6 +35,7 @@ from adlens.config import (
     Rules,
 )
 from adlens.functions import money_sum, ratio, round_half_away
+from adlens.functions.expr import attach_row, with_scalars
 from adlens.functions.stats import exact_medians
 
 KPI_COLUMNS = [
@@ -76,11 +77,6 @@ def campaign_kpis(fact: DataFrame) -> DataFrame:
 
 # -- M7–M9: relative health score -------------------------------------------------
 
-def _global_stats(df: DataFrame, aggs: list[Column]) -> DataFrame:
-    """An ungrouped aggregate: exactly one row, safe to broadcast."""
-    return F.broadcast(df.agg(*aggs))
-
-
 def health_components(kpis: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """M7: min-max score 0–25 per KPI over all campaigns (CPA, CPM inverted).
 
@@ -92,9 +88,8 @@ def health_components(kpis: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
              ("conversion_rate_pct", "score_conversion_rate", False),
              ("cpa", "score_cpa", True),
              ("cpm", "score_cpm", True)]
-    stats = _global_stats(kpis, [a for k, _, _ in specs for a in (
+    joined = with_scalars(kpis, [a for k, _, _ in specs for a in (
         F.min(k).alias(f"_lo_{k}"), F.max(k).alias(f"_hi_{k}"))])
-    joined = kpis.crossJoin(stats)
     scores = []
     for k, name, invert in specs:
         lo, hi = F.col(f"_lo_{k}"), F.col(f"_hi_{k}")
@@ -152,7 +147,7 @@ def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES,
     through to the next case.
     """
     r = rules.score
-    med = F.broadcast(kpi_medians(scored, medians_in_one_task))
+    med = kpi_medians(scored, medians_in_one_task)  # exactly one row
     s, cpa, cr, spend = (F.col("health_score"), F.col("cpa"),
                          F.col("conversion_rate_pct"), F.col("total_spend"))
     high = (s >= r.high_performer_score) & (cpa <= F.col("median_cpa"))
@@ -162,7 +157,7 @@ def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES,
     def chain(a, b, c, d):
         return F.when(high, F.lit(a)).when(waste, F.lit(b)).when(costly, F.lit(c)).otherwise(F.lit(d))
 
-    return (scored.crossJoin(med)
+    return (attach_row(scored, med)
             .withColumn("performance_tier", chain(TIER_HIGH, TIER_POOR, TIER_POOR, TIER_STANDARD))
             .withColumn("recommendation", chain(REC_SCALE, REC_REVIEW, REC_REDUCE, REC_OPTIMIZE))
             .drop("median_cpa", "median_cr", "median_spend"))

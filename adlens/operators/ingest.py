@@ -200,5 +200,8 @@ def load_increment(spark: SparkSession, raw: DataFrame, bronze_path: str,
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Bronze with its declared schema; empty (same schema) before the first load."""
+    if not exists(spark, bronze_path):
+        return spark.createDataFrame([], BRONZE_SCHEMA)
     schema = StructType(BRONZE_SCHEMA.fields + [StructField(LOAD_PARTITION, StringType())])
     return spark.read.schema(schema).parquet(bronze_path).select(*BRONZE_COLUMNS)

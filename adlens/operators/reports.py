@@ -23,21 +23,16 @@ from adlens.config import (
     Rules,
 )
 from adlens.functions import money_sum, ratio, round_half_away
+from adlens.functions.expr import with_scalars
 
 R = round_half_away
 
 
-def portfolio_totals(kpis: DataFrame) -> DataFrame:
-    """Total spend and approved conversions over all campaigns (one row)."""
-    return F.broadcast(kpis.agg(
-        money_sum("total_spend").alias("_all_spend"),
-        F.sum("total_approved_conv").alias("_all_conv"),
-    ))
-
-
 def with_shares(kpis: DataFrame) -> DataFrame:
     """Each campaign's fraction of total spend and of total conversions."""
-    return (kpis.crossJoin(portfolio_totals(kpis))
+    totals = [money_sum("total_spend").alias("_all_spend"),
+              F.sum("total_approved_conv").alias("_all_conv")]
+    return (with_scalars(kpis, totals)
             .withColumn("_spend_frac", ratio("total_spend", "_all_spend"))
             .withColumn("_conv_frac", ratio("total_approved_conv", "_all_conv")))
 
