@@ -16,12 +16,17 @@ Passes over the big inputs:
   (same rows, same filter, far smaller); ``dim_campaign`` needs bronze
   (distinct FB campaigns over all audiences) and reads three columns.
 * gold and anomalies read the fact and the daily mart only.
+
+Steps without a dependency between them run as concurrent Spark jobs
+(``run_pipeline``), so the cluster is not idle while one step finishes its
+last tasks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -84,16 +89,6 @@ class RunReport:
     load: dict = field(default_factory=dict)
 
 
-def _timed(report: RunReport, name: str):
-    class _T:
-        def __enter__(self):
-            self.t = time.perf_counter()
-
-        def __exit__(self, *exc):
-            report.timings[name] = round(time.perf_counter() - self.t, 3)
-    return _T()
-
-
 def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
                    run_ts: dt.datetime) -> dict:
     """Stage 1: ``validation_log`` and ``validation_summary`` in one pass."""
@@ -124,62 +119,112 @@ def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
     return dict(zip(summary.columns, row))
 
 
-def run_silver(spark: SparkSession, wh: Warehouse) -> None:
-    """Stage 3: fact, then both dimensions."""
+def _write_fact(spark: SparkSession, wh: Warehouse) -> None:
     bronze = wh.read(spark, "raw_campaign_performance")
     wh.write(silver.fact_campaign_performance(bronze), "fact_campaign_performance")
+
+
+def _write_dim_campaign(spark: SparkSession, wh: Warehouse) -> None:
+    wh.write(silver.dim_campaign(wh.read(spark, "raw_campaign_performance")), "dim_campaign")
+
+
+def _write_dim_audience(spark: SparkSession, wh: Warehouse) -> None:
+    # same rows and filter as the fact, so its audiences; far smaller than bronze
     fact = wh.read(spark, "fact_campaign_performance")
     dim_aud = (fact.select("audience_id").distinct()
                .select("audience_id",
                        F.split("audience_id", "_").getItem(0).alias("age_group"),
                        F.split("audience_id", "_").getItem(1).alias("gender")))
     wh.write(dim_aud.coalesce(1), "dim_audience")
-    wh.write(silver.dim_campaign(bronze), "dim_campaign")
 
 
-def run_gold(spark: SparkSession, wh: Warehouse, rules: Rules, run_ts: dt.datetime) -> None:
-    """Stage 4: KPI mart, daily monitoring mart, campaign summary.
+def _write_campaign_kpis(spark: SparkSession, wh: Warehouse) -> None:
+    wh.write(gold.campaign_kpis(wh.read(spark, "fact_campaign_performance")), "_campaign_kpis")
 
-    The per-campaign KPIs are written first: the score statistics and the
-    medians each read that table instead of re-aggregating the fact, and its
-    row count (from file metadata) decides whether the medians may be taken
-    inside one task.
-    """
+
+def _write_monitoring(spark: SparkSession, wh: Warehouse, rules: Rules) -> None:
     fact = wh.read(spark, "fact_campaign_performance")
-    wh.write(gold.campaign_kpis(fact), "_campaign_kpis")
+    wh.write(gold.campaign_monitoring(fact, rules), "mart_campaign_monitoring")
+
+
+def _write_kpi_mart(spark: SparkSession, wh: Warehouse, rules: Rules,
+                    run_ts: dt.datetime) -> None:
+    """The KPI mart from the written per-campaign KPIs.
+
+    The score statistics and the medians each read that table instead of
+    re-aggregating the fact, and its row count (from file metadata) decides
+    whether the medians may be taken inside one task.
+    """
     base = wh.read(spark, "_campaign_kpis")
     small = base.count() <= gold.MEDIAN_IN_TASK_MAX_ROWS
     wh.write(gold.mart_from_kpis(base, rules, run_ts, medians_in_one_task=small),
              "mart_campaign_kpis")
-    wh.write(gold.campaign_monitoring(fact, rules), "mart_campaign_monitoring")
-    kpis = wh.read(spark, "mart_campaign_kpis")
-    wh.write(gold.campaign_summary(kpis), "campaign_summary")
 
 
-def run_anomalies(spark: SparkSession, wh: Warehouse, rules: Rules,
-                  run_ts: dt.datetime) -> None:
-    """Stage 5: the anomaly log from the daily mart."""
+def _write_summary(spark: SparkSession, wh: Warehouse) -> None:
+    wh.write(gold.campaign_summary(wh.read(spark, "mart_campaign_kpis")), "campaign_summary")
+
+
+def _write_anomalies(spark: SparkSession, wh: Warehouse, rules: Rules,
+                     run_ts: dt.datetime) -> None:
     mon = wh.read(spark, "mart_campaign_monitoring")
     wh.write(anomaly.anomaly_log(mon, rules, run_ts), "anomaly_log")
 
 
+def _concurrently(rep: RunReport, steps: dict) -> dict:
+    """Run independent steps as concurrent Spark jobs; wait for all of them.
+
+    Spark schedules the jobs of several threads together, so one step's
+    tasks fill the cores another step's last tasks leave idle. Each step's
+    own wall time is recorded; the first failure is raised.
+    """
+    results = {}
+
+    def timed(name, fn):
+        t = time.perf_counter()
+        out = fn()
+        rep.timings[name] = round(time.perf_counter() - t, 3)
+        return out
+
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = {name: pool.submit(timed, name, fn) for name, fn in steps.items()}
+        for name, fut in futures.items():
+            results[name] = fut.result()
+    return results
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str | None = None,
                  rules: Rules = DEFAULT_RULES, load_rules: str = "campaign",
                  run_ts: dt.datetime | None = None) -> tuple[Warehouse, RunReport]:
-    """All five stages; returns the warehouse and per-stage timings."""
+    """All five stages; returns the warehouse and per-step timings.
+
+    Steps that read the same inputs and write different tables run as
+    concurrent jobs, in four waves ordered by what each needs:
+
+    1. validation (raw → log, summary)  ‖  load (raw → bronze)
+    2. fact (bronze)  ‖  dim_campaign (bronze)
+    3. dim_audience (fact)  ‖  campaign KPIs (fact)  ‖  daily mart (fact)
+    4. KPI mart (campaign KPIs)  ‖  anomaly log (daily mart); then the summary
+    """
     wh = Warehouse(warehouse or fresh_dir(spark, "warehouse"))
     run_ts = run_ts or dt.datetime.now()
     rep = RunReport()
-    with _timed(rep, "validate"):
-        rep.validation = run_validation(spark, raw, wh, run_ts)
-    with _timed(rep, "ingest"):
-        rep.load = ingest.load_increment(spark, raw, wh.bronze, wh.watermark, run_ts, load_rules)
-    with _timed(rep, "transform"):
-        run_silver(spark, wh)
-    with _timed(rep, "mart"):
-        run_gold(spark, wh, rules, run_ts)
-    with _timed(rep, "anomaly"):
-        run_anomalies(spark, wh, rules, run_ts)
+    t0 = time.perf_counter()
+    out = _concurrently(rep, {
+        "validate": lambda: run_validation(spark, raw, wh, run_ts),
+        "ingest": lambda: ingest.load_increment(spark, raw, wh.bronze, wh.watermark,
+                                                run_ts, load_rules),
+    })
+    rep.validation, rep.load = out["validate"], out["ingest"]
+    _concurrently(rep, {"fact": lambda: _write_fact(spark, wh),
+                        "dim_campaign": lambda: _write_dim_campaign(spark, wh)})
+    _concurrently(rep, {"dim_audience": lambda: _write_dim_audience(spark, wh),
+                        "campaign_kpis": lambda: _write_campaign_kpis(spark, wh),
+                        "monitoring": lambda: _write_monitoring(spark, wh, rules)})
+    _concurrently(rep, {"kpi_mart": lambda: _write_kpi_mart(spark, wh, rules, run_ts),
+                        "anomaly": lambda: _write_anomalies(spark, wh, rules, run_ts)})
+    _concurrently(rep, {"summary": lambda: _write_summary(spark, wh)})
+    rep.timings["total"] = round(time.perf_counter() - t0, 3)
     return wh, rep
 
 
