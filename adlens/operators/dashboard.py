@@ -65,6 +65,11 @@ def audience_label():
     return F.concat(F.col("age_group"), F.lit(" / "), F.col("gender"))
 
 
+def d04_audience_labels(audience: DataFrame) -> DataFrame:
+    """The audience table with its ``age / gender`` label."""
+    return audience.withColumn("audience", audience_label())
+
+
 def d05_best_audiences(audience: DataFrame) -> DataFrame:
     """Best audience by lowest CPA and highest CTR, conversion rate, conversions.
 
@@ -154,8 +159,17 @@ def d12_severity_totals(log: DataFrame) -> DataFrame:
 
 def d14_rankings(kpis: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Campaigns by health score ascending and by CPA descending."""
-    return (kpis.orderBy(F.col("health_score").asc_nulls_last()),
-            kpis.orderBy(F.col("cpa").desc_nulls_last()))
+    return d14_health_ascending(kpis), d14_cpa_descending(kpis)
+
+
+def d14_health_ascending(kpis: DataFrame) -> DataFrame:
+    return kpis.select("campaign_id", "health_score", "health_label").orderBy(
+        F.col("health_score").asc_nulls_last())
+
+
+def d14_cpa_descending(kpis: DataFrame) -> DataFrame:
+    return kpis.select("campaign_id", "cpa", "health_label").orderBy(
+        F.col("cpa").desc_nulls_last())
 
 
 def d16_series(monitoring: DataFrame) -> DataFrame:

@@ -194,6 +194,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d01_audience_kpis": P(lambda p: p.audience),
     "d02_blended_kpis": P(lambda p: dashboard.d02_blended_kpis(p.kpis)),
     "d03_score_components_long": P(lambda p: dashboard.d03_score_components_long(p.kpis)),
+    "d04_audience_labels": P(lambda p: dashboard.d04_audience_labels(p.audience)),
     "d05_best_audiences": P(lambda p: dashboard.d05_best_audiences(p.audience)),
     "d06_age_rollup": P(lambda p: dashboard.d06_age_rollup(p.audience)),
     "d07_gender_rollup": P(lambda p: dashboard.d07_gender_rollup(p.audience)),
@@ -202,4 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d10_budget_verdict": P(lambda p: dashboard.d10_budget_verdict(p.kpis)),
     "d11_rejection_reasons": P(lambda p: dashboard.d11_rejection_reasons(p.validation_summary)),
     "d12_severity_totals": P(lambda p: dashboard.d12_severity_totals(p.anomalies)),
+    "d14_health_ascending": P(lambda p: dashboard.d14_health_ascending(p.kpis)),
+    "d14_cpa_descending": P(lambda p: dashboard.d14_cpa_descending(p.kpis)),
+    "d16_daily_series": P(lambda p: dashboard.d16_series(p.monitoring)),
 }
