@@ -70,8 +70,15 @@ def local_path(path: str) -> str:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, asked through the cluster's file system."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect)
+        try:
+            spark.read.format("parquet").load(path).schema  # noqa: B018
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(hconf).exists(p)
 

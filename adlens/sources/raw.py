@@ -63,8 +63,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Rows are placed by a hash of all their columns: deterministic when a
     task is retried, and unlike round-robin it needs no sort first.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): leave as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *df.columns)
 
