@@ -159,7 +159,7 @@ def observed_new_rows(raw: DataFrame, last_loaded, rules: str = "campaign"
     The date filter sits above the observation (``n``, ``last``), which the
     optimizer does not push filters through.
     """
-    obs = Observation("bronze_batch")
+    obs = Observation()  # unique name: concurrent runs do not collide
     newer = newer_than(last_loaded)
     typed = allowed_rows(raw, rules).observe(
         obs, F.count_if(newer).alias("n"),

@@ -92,7 +92,7 @@ class RunReport:
 def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
                    run_ts: dt.datetime) -> dict:
     """Stage 1: ``validation_log`` and ``validation_summary`` in one pass."""
-    obs = Observation("validation")
+    obs = Observation()  # unique name: concurrent runs do not collide
     r = F.col(validate.REASON)
     checked = validate.with_rejection_reason(raw).observe(
         obs,
