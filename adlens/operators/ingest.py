@@ -199,6 +199,19 @@ def load_increment(spark: SparkSession, raw: DataFrame, bronze_path: str,
     return {"last_loaded": last, "inserted": int(stats["n"]), "new_checkpoint": stats["last"]}
 
 
+def reset_load(spark: SparkSession, bronze_path: str, checkpoint_path: str) -> None:
+    """Start the incremental load over: empty bronze and rewind the watermark.
+
+    Both are reset together; rewinding only the watermark would load every
+    row again on top of the rows bronze still holds.
+    """
+    schema = StructType(BRONZE_SCHEMA.fields + [StructField(LOAD_PARTITION, StringType())])
+    (spark.createDataFrame([], schema).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .partitionBy(LOAD_PARTITION).parquet(bronze_path))
+    write_checkpoint(spark, checkpoint_path, dt.date.fromisoformat(DEFAULT_CHECKPOINT))
+
+
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """Bronze with its declared schema; empty (same schema) before the first load."""
     if not exists(spark, bronze_path):

@@ -82,3 +82,15 @@ def test_typed_columns(spark):
     r = ingest.incremental_new_rows(src, "1900-01-01").first()
     assert r.reporting_start == dt.date(2017, 8, 17) and r.impressions == 7350.0
     assert r.total_conversion is None and r.clicks == 1 and r.ad_id == 1
+
+
+def test_reset_clears_bronze_and_watermark(spark):
+    root = fresh_dir(spark, "t-reset")
+    bronze, ck = f"{root}/bronze", f"{root}/ck"
+    src = raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"]))
+    ingest.load_increment(spark, src, bronze, ck, TS)
+    ingest.reset_load(spark, bronze, ck)
+    assert ingest.read_bronze(spark, bronze).count() == 0
+    assert ingest.read_checkpoint(spark, ck) == dt.date(1900, 1, 1)
+    r = ingest.load_increment(spark, src, bronze, ck, TS)
+    assert r["inserted"] == 2 and ingest.read_bronze(spark, bronze).count() == 2
