@@ -2,7 +2,6 @@ import random
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from adlens.functions import clean_number, fixed, parse_day_first, ratio, round_half_away
 
@@ -51,7 +50,6 @@ def test_fixed_decimals(spark):
     assert [r[0] for r in df.select(fixed("x", 1)).collect()] == ["12.3", "0.0", "0.0", "157.7"]
     assert [r[0] for r in df.select(fixed("x", 4)).collect()] == [
         "12.3000", "0.0001", "-0.0400", "157.6500"]
-    _ = F
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 11, 500])

@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from adlens.config import NA_TOKENS, RAW_COLUMNS
+from adlens.config import NA_TOKENS
 from adlens.operators import validate
 from adlens.sources.raw import SEQ
 from tests.test_validate import ok, raw_frame
@@ -60,4 +60,3 @@ def test_validation_matches_model(spark, rows):
     assert got == model(full)
     summary = validate.validation_summary(validate.with_rejection_reason(df)).first()
     assert summary.valid_rows + summary.rejected_rows == summary.total_rows == len(rows)
-    _ = RAW_COLUMNS
