@@ -49,9 +49,20 @@ def stream_incremental_load(spark: SparkSession, stream: DataFrame, bronze_path:
     return reports
 
 
-def raw_csv_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    """Raw ad-row CSV files arriving in a folder, every column as text."""
-    return spark.readStream.schema(RAW_SCHEMA).option("header", True).csv(source_dir)
+def raw_csv_stream(spark: SparkSession, source_dir: str,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw ad-row CSV files arriving in a folder, every column as text.
+
+    ``max_files_per_trigger`` bounds each micro-batch (a large backlog is then
+    loaded in several batches instead of one). Each batch advances the
+    watermark, so with several batches a row in a later file dated at or
+    before an earlier batch's latest date is skipped, as the strict date
+    filter of the batch load skips it on a later run.
+    """
+    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.csv(source_dir)
 
 
 def stream_load_testdata(spark: SparkSession, sf_dir: str,

@@ -44,3 +44,21 @@ def test_stream_load_two_arrivals(spark):
     assert sum(r["inserted"] for r in rep3) == 0
     assert ingest.read_bronze(spark, f"{root}/bronze").count() == 3
     assert ingest.read_checkpoint(spark, f"{root}/wm") == dt.date(2017, 8, 19)
+
+
+def test_stream_backlog_in_bounded_batches(spark):
+    root = fresh_dir(spark, "t-stream-bounded")
+    src = local_path(root) + "/incoming"
+    os.makedirs(src)
+    write_csv(f"{src}/p1.csv", day_rows("a", ["17/08/2017"]))
+    write_csv(f"{src}/p2.csv", day_rows("b", ["18/08/2017"]))
+    write_csv(f"{src}/p3.csv", day_rows("c", ["19/08/2017", "20/08/2017"]))
+    # the file source takes files in modification-time order
+    for i, name in enumerate(["p1.csv", "p2.csv", "p3.csv"]):
+        os.utime(f"{src}/{name}", (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    reps = stream_incremental_load(
+        spark, raw_csv_stream(spark, src, max_files_per_trigger=1),
+        f"{root}/bronze", f"{root}/wm", f"{root}/ck", loaded_at=TS)
+    assert len(reps) >= 2
+    assert ingest.read_bronze(spark, f"{root}/bronze").count() == 4
+    assert ingest.read_checkpoint(spark, f"{root}/wm") == dt.date(2017, 8, 20)
