@@ -70,7 +70,7 @@ def read_checkpoint(spark: SparkSession, path: str) -> dt.date:
     """Last loaded date from the one-row watermark table; 1900-01-01 if none.
 
     Reads a single row: the date becomes a literal in the incremental filter
-    so that the scan can prune date partitions.
+    and names the increment's bronze partition.
     """
     default = dt.date.fromisoformat(DEFAULT_CHECKPOINT)
     if not exists(spark, path):

@@ -8,9 +8,10 @@ was running, never a recomputation from the raw source.
 
 Passes over the big inputs:
 
-* validation: one pass. Rejected rows go to ``validation_log``; the counts
-  of the summary are observed on the same pass (``Observation``), so the
-  checked rows are neither cached nor scanned twice.
+* validation: two narrow reads (key columns, then key and source order of
+  the duplicated keys) and one full read that writes ``validation_log``; the
+  counts of the summary are observed on that full read (``Observation``), so
+  the checked rows are neither cached nor read again.
 * load: one pass over the raw source (rule 1, dates, watermark) into bronze.
 * silver: the fact from bronze; ``dim_audience`` from the written fact
   (same rows, same filter, far smaller); ``dim_campaign`` needs bronze
