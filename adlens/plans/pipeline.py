@@ -254,3 +254,31 @@ def warehouse_reports(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame
         "q12_ctr_change": q.q12_ctr_change(mon),
         "q13_concentration_risk": q.q13_concentration_risk(kpis),
     }
+
+
+def warehouse_dashboard(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
+    """The dashboard datasets (D1–D16) over the written marts."""
+    from adlens.operators import dashboard as d
+    kpis = wh.read(spark, "mart_campaign_kpis")
+    mon = wh.read(spark, "mart_campaign_monitoring")
+    log = wh.read(spark, "anomaly_log")
+    audience = d.d01_audience_kpis(wh.read(spark, "fact_campaign_performance"),
+                                   wh.read(spark, "dim_audience"))
+    return {
+        "d01_audience_kpis": audience,
+        "d02_blended_kpis": d.d02_blended_kpis(kpis),
+        "d03_score_components_long": d.d03_score_components_long(kpis),
+        "d04_audience_labels": d.d04_audience_labels(audience),
+        "d05_best_audiences": d.d05_best_audiences(audience),
+        "d06_age_rollup": d.d06_age_rollup(audience),
+        "d07_gender_rollup": d.d07_gender_rollup(audience),
+        "d08_ctr_pivot": d.d08_ctr_pivot(audience),
+        "d09_efficiency_quadrant": d.d09_efficiency_quadrant(kpis),
+        "d10_budget_verdict": d.d10_budget_verdict(kpis),
+        "d11_rejection_reasons": d.d11_rejection_reasons(wh.read(spark, "validation_summary")),
+        "d12_severity_totals": d.d12_severity_totals(log),
+        "anomaly_counts": anomaly.anomaly_counts(log),
+        "d14_health_ascending": d.d14_health_ascending(kpis),
+        "d14_cpa_descending": d.d14_cpa_descending(kpis),
+        "d16_daily_series": d.d16_series(mon),
+    }

@@ -89,3 +89,10 @@ def test_sql_over_registered_views(spark, warehouse):
     assert len(got) == 3 and abs(sum(r.share for r in got) - 1.0) < 1e-9
     n = spark.sql("SELECT COUNT(*) AS n FROM anomaly_log WHERE severity = 'HIGH'").first().n
     assert n == wh.read(spark, "anomaly_log").where("severity = 'HIGH'").count()
+
+
+def test_dashboard_over_warehouse(spark, warehouse):
+    from adlens.plans.pipeline import warehouse_dashboard
+    wh, _ = warehouse
+    for name, df in warehouse_dashboard(spark, wh).items():
+        assert rows(df) == rows(QUERIES[name](spark, SF001)), name
