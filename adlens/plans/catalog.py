@@ -28,7 +28,9 @@ from adlens.config import (
     Rules,
 )
 from adlens.operators import anomaly, dashboard, gold, ingest, reports, silver, validate
-from adlens.sources.raw import SEQ
+from adlens.plans.pipeline import Warehouse
+from adlens.session import fresh_dir
+from adlens.sources.raw import SEQ, read_raw_csv
 from adlens.sources.testdata import ad_rows_from_events, ad_rows_from_lineitem
 
 # the second load of the events source starts after this date
@@ -126,6 +128,31 @@ def _events_new_rows(spark: SparkSession, d: str) -> DataFrame:
     return ingest.incremental_new_rows(ad_rows_from_events(spark, d), EVENTS_CHECKPOINT)
 
 
+def _raw_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Raw rows written as header CSV, read back all-text by ``read_raw_csv``."""
+    path = fresh_dir(spark, "raw-csv")
+    (_raw_cols(_p(spark, d).raw).write.option("header", True).option("nullValue", "")
+     .csv(path))
+    return _raw_cols(read_raw_csv(spark, path))
+
+
+def _monitoring_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The daily mart written as a table, then scanned back in (campaign, date) order."""
+    wh = Warehouse(fresh_dir(spark, "monitoring-scan"))
+    wh.write(_p(spark, d).monitoring, "mart_campaign_monitoring")
+    return wh.read(spark, "mart_campaign_monitoring").orderBy("campaign_id", "date")
+
+
+def _bronze_append(spark: SparkSession, d: str) -> DataFrame:
+    """The first load appended to an empty bronze; bronze read back.
+
+    ``loaded_at`` (the run time) is left out.
+    """
+    wh = Warehouse(fresh_dir(spark, "bronze-append"))
+    ingest.load_increment(spark, _p(spark, d).raw, wh.bronze, wh.watermark)
+    return wh.read(spark, "raw_campaign_performance").drop("loaded_at")
+
+
 def _stream_load(spark: SparkSession, d: str) -> DataFrame:
     from adlens.streaming.incremental import stream_load_testdata
     return stream_load_testdata(spark, d)
@@ -133,8 +160,8 @@ def _stream_load(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
-    "raw_scan": P(lambda p: _raw_cols(p.raw)),
-    "monitoring_scan": P(lambda p: p.monitoring.orderBy("campaign_id", "date")),
+    "raw_scan": _raw_scan,
+    "monitoring_scan": _monitoring_scan,
     # validation
     "reject_invalid_campaign": _rule_rows("invalid_campaign_id"),
     "reject_null_conversion": _rule_rows("null_conversion"),
@@ -148,7 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # incremental load
     "parsed_dates": P(lambda p: _raw_cols(ingest.parsed_dates(p.raw))),
     "incremental_new_rows": _events_new_rows,
-    "bronze_append": P(lambda p: p.bronze),
+    "bronze_append": _bronze_append,
     "next_checkpoint": lambda s, d: ingest.next_checkpoint(_events_new_rows(s, d)),
     "stream_incremental_load": _stream_load,
     # silver
