@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -152,21 +152,6 @@ def incremental_new_rows(raw: DataFrame, last_loaded, rules: str = "campaign",
     return allowed_rows(raw, rules, campaign_ids).where(newer_than(last_loaded))
 
 
-def observed_new_rows(raw: DataFrame, last_loaded, rules: str = "campaign"
-                      ) -> tuple[DataFrame, Observation]:
-    """I2–I4 with the batch's row count and latest date observed on the way.
-
-    The date filter sits above the observation (``n``, ``last``), which the
-    optimizer does not push filters through.
-    """
-    obs = Observation()  # unique name: concurrent runs do not collide
-    newer = newer_than(last_loaded)
-    typed = allowed_rows(raw, rules).observe(
-        obs, F.count_if(newer).alias("n"),
-        F.max(F.when(newer, F.col("reporting_start"))).alias("last"))
-    return typed.where(newer), obs
-
-
 def stamp(new_rows: DataFrame, loaded_at) -> DataFrame:
     """Add ``loaded_at`` and fix the bronze column order (K6)."""
     return new_rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")).select(*BRONZE_COLUMNS)
@@ -182,23 +167,33 @@ def load_increment(spark: SparkSession, raw: DataFrame, bronze_path: str,
     """
     loaded_at = loaded_at or dt.datetime.now()
     last = read_checkpoint(spark, checkpoint_path)
-    # Row count and latest date of the new rows are observed while the batch
-    # is written: one pass, and metrics come only from tasks that succeeded.
-    # The date filter sits above the observation, which the optimizer does
-    # not push filters through, so the dates are parsed once, after any
-    # spreading of a coarse input, rather than in the scan task.
-    new_rows, obs = observed_new_rows(raw, last, rules)
-    stamped = stamp(new_rows, loaded_at)
+    # The batch's row count and latest date are read back from the increment's
+    # own partition after the write (file metadata and one column).
+    stamped = stamp(incremental_new_rows(raw, last, rules), loaded_at)
     (stamped.withColumn(LOAD_PARTITION, F.lit(last.isoformat()))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(LOAD_PARTITION).parquet(bronze_path))
-    stats = obs.get
+    stats = increment_stats(spark, bronze_path, last)
     if not stats.get("n"):  # I6: nothing loaded, watermark unchanged
         return {"last_loaded": last, "inserted": 0, "new_checkpoint": None}
     write_checkpoint(spark, checkpoint_path, stats["last"])
     return {"last_loaded": last, "inserted": int(stats["n"]), "new_checkpoint": stats["last"]}
 
 
+def increment_stats(spark: SparkSession, bronze_path: str, last_loaded) -> dict:
+    """Row count and latest date of the increment that started at ``last_loaded``.
+
+    Reads only that increment's partition folder: the count comes from file
+    metadata and the latest date from one column.
+    """
+    part = f"{bronze_path.rstrip('/')}/{LOAD_PARTITION}={_as_date(last_loaded).isoformat()}"
+    if not exists(spark, part):
+        return {"n": 0, "last": None}
+    row = (spark.read.schema(BRONZE_SCHEMA).parquet(part)
+           .agg(F.count(F.lit(1)).alias("n"), F.max("reporting_start").alias("last")).first())
+    return {"n": int(row["n"]), "last": row["last"]}
+
+
 def reset_load(spark: SparkSession, bronze_path: str, checkpoint_path: str) -> None:
     """Start the incremental load over: empty bronze and rewind the watermark.
 

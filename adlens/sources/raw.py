@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from adlens.config import RAW_COLUMNS
 from adlens.functions import na_to_null
+from adlens.session import work_dir
 
 RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
 CORRUPT = "_corrupt_record"
@@ -60,8 +61,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     then is it spread (a cheap shuffle of the scanned columns); a scan that
     already has at least ``min_partitions`` (default: the session's
     parallelism) partitions — any large input — is returned unchanged.
-    Rows are placed by a hash of all their columns: deterministic when a
-    task is retried, and unlike round-robin it needs no sort first.
+    Rows are placed by a hash of all their columns (deterministic when a
+    task is retried; unlike round-robin it needs no sort first) and the
+    result is checkpointed into the shared checkpoint folder once: every
+    later reader — validation's reads, the load — starts from the spread
+    copy, and no filter can be pushed down into the single scanning task.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -70,7 +74,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     if have >= want:
         return df
-    return df.repartition(want, *df.columns)
+    work_dir(df.sparkSession)  # the shared checkpoint folder exists
+    return df.repartition(want, *df.columns).checkpoint(eager=True)
 
 
 def normalize_raw(df: DataFrame) -> DataFrame:

@@ -60,11 +60,13 @@ def test_validation_uses_no_window(spark):
     assert "Window" not in plan
 
 
-def test_scan_prunes_columns(spark):
-    df = QUERIES["dim_campaign"](spark, SF001)
+def test_scan_prunes_columns(spark, warehouse):
+    from adlens.operators import silver
+    wh, _ = warehouse
+    df = silver.dim_campaign(wh.read(spark, "raw_campaign_performance"))
     plan = df._jdf.queryExecution().sparkPlan().toString()
-    # l_quantity, l_tax, l_discount feed nothing dim_campaign needs beyond the filter
-    assert "l_linestatus" not in plan.split("ReadSchema")[1].split("\n")[0]
+    schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert schema == "struct<reporting_start:date,campaign_id:string,fb_campaign_id:string>"
 
 
 def test_rerun_on_same_warehouse_adds_nothing(spark, warehouse):
