@@ -1,9 +1,14 @@
 """The registered queries: one lazily built pipeline per call, over whole tables.
 
 ``Pipeline`` composes the stages as DataFrame transformations from raw ad
-rows (here built from the ``lineitem`` test table) to every mart and report;
-nothing runs until the caller acts on the returned DataFrame, so Catalyst
-prunes each query's plan to the columns and stages it needs.
+rows (here built from the ``lineitem`` test table) to every mart and report,
+so Catalyst prunes each query's plan to the columns and stages it needs.
+Three things run while a query is being built: a coarse source is spread and
+checkpointed once (``sources.raw.spread``), the per-campaign KPI table is
+checkpointed once (it feeds statistics, medians and marts), and the keys that
+name a read or write (``raw_scan``, ``monitoring_scan``, ``bronze_append``,
+``stream_incremental_load``) perform it in a fresh sub-folder of the shared
+work folder. Everything else runs when the caller acts on the result.
 
 Run-time stamps (``rejected_at``, ``loaded_at``, ``last_updated``,
 ``detected_at``, ``run_timestamp``) are left out of the registered frames:
