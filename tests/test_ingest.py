@@ -94,3 +94,16 @@ def test_reset_clears_bronze_and_watermark(spark):
     assert ingest.read_checkpoint(spark, ck) == dt.date(1900, 1, 1)
     r = ingest.load_increment(spark, src, bronze, ck, TS)
     assert r["inserted"] == 2 and ingest.read_bronze(spark, bronze).count() == 2
+
+
+def test_increment_stats_reads_only_its_partition(spark):
+    root = fresh_dir(spark, "t-stats")
+    bronze, ck = f"{root}/bronze", f"{root}/ck"
+    assert ingest.increment_stats(spark, bronze, "1900-01-01") == {"n": 0, "last": None}
+    ingest.load_increment(spark, raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"])),
+                          bronze, ck, TS)
+    ingest.load_increment(spark, raw_frame(spark, rows_for(["19/08/2017"])), bronze, ck, TS)
+    assert ingest.increment_stats(spark, bronze, "1900-01-01") == {
+        "n": 2, "last": dt.date(2017, 8, 18)}
+    assert ingest.increment_stats(spark, bronze, dt.date(2017, 8, 18)) == {
+        "n": 1, "last": dt.date(2017, 8, 19)}
