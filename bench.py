@@ -5,6 +5,12 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``lineitem`` table; every stage writes its tables to a fresh warehouse under
 the shared work folder, and each query reads the written marts. A small
 warm-up run at sf0.001 (not timed) loads the JVM code paths first.
+
+In ``queries``, each ``stage_*`` entry is one pipeline step's own wall time.
+Steps of one wave run as concurrent jobs, so these overlap; ``stage_total``
+(and ``pipeline_sec``) is the pipeline's wall time. The ``qNN_*`` entries are
+the named queries, run one after another. ``value`` is the pipeline plus the
+queries.
 """
 
 from __future__ import annotations
