@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and their SQL."""
 
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from adlens.llm.mixing import op4_mixing
 from adlens.llm.sharding import op1_sharding
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_mixing": op4_mixing,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLE_SQL = {
