@@ -2,13 +2,16 @@
 
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from adlens.llm.mixing import op4_mixing
+from adlens.llm.quality_rules import OP2_SQL, op2_quality_rules
 from adlens.llm.sharding import op1_sharding
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_quality_rules": op2_quality_rules,
     "op4_mixing": op4_mixing,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLE_SQL = {
+    "op2_quality_rules": OP2_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
