@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from adlens.llm.language_id import op5_language_id
 from adlens.llm.mixing import op4_mixing
 from adlens.llm.quality_rules import OP2_SQL, op2_quality_rules
 from adlens.llm.sharding import op1_sharding
@@ -9,6 +10,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
     "op4_mixing": op4_mixing,
+    "op5_language_id": op5_language_id,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLE_SQL = {
