@@ -3,6 +3,7 @@
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from adlens.llm.language_id import op5_language_id
 from adlens.llm.mixing import op4_mixing
+from adlens.llm.near_dedup import op10_near_dedup
 from adlens.llm.quality_rules import OP2_SQL, op2_quality_rules
 from adlens.llm.sharding import op1_sharding
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 ORACLE_SQL = {
     "op2_quality_rules": OP2_SQL,
