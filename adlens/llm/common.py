@@ -32,6 +32,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -82,5 +90,5 @@ def prefix_sums(df: DataFrame, value: str, order: Sequence[str],
             .drop("_part", "_before", "_rank"))
 
 
-__all__ = ["WORD", "UPPER", "LOWER", "table", "stored", "shuffle_partitions", "ascii_lower",
+__all__ = ["WORD", "UPPER", "LOWER", "table", "stored", "free_name", "shuffle_partitions", "ascii_lower",
            "word_count", "prefix_sums"]

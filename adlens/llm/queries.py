@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from adlens.llm.importance import op3_quality_classifier
 from adlens.llm.language_id import op5_language_id
 from adlens.llm.mixing import op4_mixing
 from adlens.llm.near_dedup import op10_near_dedup
@@ -10,6 +11,7 @@ from adlens.llm.sharding import op1_sharding
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op8_exact_dedup": op8_exact_dedup,
