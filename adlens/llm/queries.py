@@ -6,6 +6,7 @@ from adlens.llm.language_id import op5_language_id
 from adlens.llm.mixing import op4_mixing
 from adlens.llm.near_dedup import op10_near_dedup
 from adlens.llm.quality_rules import OP2_SQL, op2_quality_rules
+from adlens.llm.quotation import op9_chat_formatting
 from adlens.llm.segmentation import op6_sentencepiece
 from adlens.llm.sharding import op1_sharding
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_near_dedup": op10_near_dedup,
 }
 ORACLE_SQL = {
