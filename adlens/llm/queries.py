@@ -3,6 +3,7 @@
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from adlens.llm.importance import op3_quality_classifier
 from adlens.llm.language_id import op5_language_id
+from adlens.llm.language_model import op7_lm_scoring
 from adlens.llm.mixing import op4_mixing
 from adlens.llm.near_dedup import op10_near_dedup
 from adlens.llm.quality_rules import OP2_SQL, op2_quality_rules
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_dedup": op10_near_dedup,
