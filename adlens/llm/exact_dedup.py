@@ -40,9 +40,9 @@ def chunks(text: Column) -> Column:
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """``_row, doc_id, recipe, text_sha256`` with verified chunk identifiers (stored)."""
-    norm = docs.select(F.monotonically_increasing_id().alias("_row"),
+            hash_of: Callable[[Column], Column] = F.xxhash64, row: Column | None = None) -> DataFrame:
+    """``_row, doc_id, recipe, text_sha256`` with verified chunk identifiers."""
+    norm = docs.select((F.monotonically_increasing_id() if row is None else row).alias("_row"),
                        F.col(id_col).cast("long").alias("doc_id"),
                        ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
     cut = stored(norm.select("_row", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
@@ -73,22 +73,26 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    listed = stored(recipes(docs, id_col, text_col, hash_of), "dedup-recipes")
+                hash_of: Callable[[Column], Column] = F.xxhash64, row: Column | None = None) -> DataFrame:
+    """One row per input row: ``_row, doc_id, keep_id, group_size, kept, text_sha256``.
+
+    ``_row`` is ``row``, a column that tells rows apart, or else the input
+    row's ``monotonically_increasing_id``.
+    """
+    listed = stored(recipes(docs, id_col, text_col, hash_of, row), "dedup-recipes")
     place = F.coalesce("doc_id", F.lit(LEAST))
     groups = listed.groupBy("recipe").agg(
         F.max("doc_id").alias("keep_id"), F.max_by("_row", place).alias("_keep"),
         F.count(F.lit(1)).alias("group_size"))
     groups = stored(groups, "dedup-groups")
     return listed.join(groups, "recipe").select(
-        "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"),
+        "_row", "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"),
         "text_sha256")
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:
     """All ``documents``, dropped ones too, with the document that stays of each text."""
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("_row")
 
 
 OP8_SQL = """

@@ -33,7 +33,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.llm.common import stored, table
@@ -168,15 +168,16 @@ def rooted(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+               text_col: str = "text", row: Column | None = None) -> DataFrame:
     """``_row, doc_id, n_shingles, component_id, kept, stays``, a row per input row.
 
-    ``_row`` is the input row's ``monotonically_increasing_id``; ``stays`` is
-    true for one row of each component.
+    ``_row`` is ``row``, a column that tells rows apart, or else the input
+    row's ``monotonically_increasing_id``; ``stays`` is true for one row of
+    each component.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"),
-                       F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    rows = docs.select((F.monotonically_increasing_id() if row is None else row).alias("_row"),
+                       F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     sig = stored(signatures(rows, shingle_words), "near-signatures")
     classes = sig.where("n > 0").groupBy("key").agg(F.min("_row").alias("node"), F.min("doc_id").alias("id"))
     nodes = stored(sig.withColumnRenamed("_row", "node").join(classes.drop("key"), "node").select(
