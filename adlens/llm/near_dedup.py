@@ -9,12 +9,12 @@ steps run on arrays over all shingles of a run of documents.
 Rows with equal shingle sets form a class first (128-bit digest of the sorted
 set), and only classes go on, so a text in thousands of copies is one node.
 Classes that share a band's hash are candidates. In each bucket all members
-are verified against one pivot, twice, with components found in between by
-union-find; what is then still in different components of one bucket is
-verified pair by pair, but for pairs that cannot reach the threshold: by the
-sets' sizes, or by the triangle inequality of the Jaccard distance through the
-pivot. So a large group of near copies costs a few comparisons for each
-member, and no link is given up. A link is confirmed on the full sets.
+are verified against one pivot, which settles most groups of copies in a few
+comparisons a member, and union-find gives the components so far. Members of
+one bucket that are still in different components are compared in blocks, each
+within one task that counts overlaps and returns links only; a large bucket is
+dealt into tiles. No pairs are emitted and no link is given up. A link is
+confirmed on the full sets.
 
 ``BANDS`` x ``ROWS`` finds a pair at similarity s with 1 - (1 - s^4)^24: all
 but 4 in a million at 0.8, and all more similar ones nearly surely.
@@ -41,6 +41,7 @@ from adlens.llm.components import components
 from adlens.llm.words import ODD, WordHash, mix, runs, words_of
 
 BANDS, ROWS = 24, 4
+BLOCK, BLOCK_ELEMENTS = 2000, 2_000_000  # most members and shingles of a tile
 RUN_WORDS = 200_000  # words handled at once; a longer text is a run of its own
 UNSET = np.uint64(2 ** 64 - 1)
 
@@ -167,6 +168,68 @@ def rooted(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with all, from the sets each element is in."""
+    both = np.zeros((len(sets), len(sets)), np.int32)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    elements = np.concatenate(sets)
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    cuts = np.flatnonzero(np.concatenate(([True], elements[1:] != elements[:-1], [True])))
+    for i, j in zip(cuts[:-1][np.diff(cuts) > 1].tolist(), cuts[1:][np.diff(cuts) > 1].tolist()):
+        at = owner[i:j]
+        both[at[:, None], at] += 1
+    return both
+
+
+def spanning_links(nodes: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], percent: int
+                   ) -> list[tuple[int, int]]:
+    """Links between different components of a block, as many as it takes to connect them."""
+    sizes = np.array([len(s) for s in sets])
+    both = overlaps(sets).astype(np.int64)
+    linked_ = both * 100 >= (sizes[:, None] + sizes - both) * percent
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    out = []
+    for a, b in zip(*np.nonzero(np.triu(linked_, 1) & (roots[:, None] != roots))):
+        x, y = find(int(roots[a])), find(int(roots[b]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(nodes[a]), int(nodes[b])))
+    return out
+
+
+def block_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of one bucket that are in different components (stored).
+
+    A bucket of more than ``BLOCK`` members or ``BLOCK_ELEMENTS`` shingles is
+    dealt into tiles by a hash, and each pair of its tiles is a block; a block
+    is compared in one task, which returns links only.
+    """
+    sizes = rest.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK),
+                                                  F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("long").alias("tiles"))
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
+    dealt = rest.select("bucket", "node", "root").join(sizes, "bucket").withColumn("own", tile).withColumn(
+        "other", F.explode(F.expr("sequence(0L, tiles - 1)"))).select(
+        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "root")
+
+    def compare(block: pa.Table) -> pa.Table:
+        nodes, roots = (block.column(c).to_numpy() for c in ("node", "root"))
+        elements = [x.values.to_numpy() for x in block.column("elements")]
+        order = np.argsort(nodes, kind="stable")
+        found = spanning_links(nodes[order], roots[order], [elements[k] for k in order], percent)
+        return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
+                        names=["a", "b"])
+
+    blocks = dealt.join(sets, "node").groupBy("bucket", "x", "y")
+    return stored(blocks.applyInArrow(compare, "a bigint, b bigint"), "near-links")
+
+
 def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id",
                text_col: str = "text", row: Column | None = None) -> DataFrame:
     """``_row, doc_id, n_shingles, component_id, kept, stays``, a row per input row.
@@ -218,25 +281,7 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_co
 
     rest = stored(unsettled(members), "near-unsettled")
     if not rest.isEmpty():
-        # a second pivot for each bucket
-        second = rest.groupBy("bucket").agg(F.min("node").alias("pivot"))
-        again = stored(rest.drop("pivot").join(second, "bucket"), "near-again")
-        checked = against_pivots(again)
-        links = stored(links.unionByName(linked(checked, percent)), "near-links")
-        rest = stored(unsettled(rooted(again, links)), "near-unsettled")
-        # distance to the pivot where it was measured; NULL elsewhere
-        far = checked.select(F.col("a").alias("pivot"), F.col("b").alias("node"),
-                             (1 - F.col("same") / F.col("either")).alias("far"))
-        rest = stored(rest.join(far, ["pivot", "node"], "left"), "near-rest")
-        x = rest.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"),
-                        F.col("far").alias("fa"))
-        y = rest.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"),
-                        F.col("far").alias("fb"))
-        reach = 1 - percent / 100 + 1e-9
-        near = F.coalesce(F.abs(F.col("fa") - F.col("fb")) <= reach, F.lit(True))
-        pairs = (x.join(y, "bucket").where((F.col("ra") < F.col("rb")) & close_sizes("na", "nb", percent) & near)
-                 .select("a", "b").distinct())
-        links = links.unionByName(linked(stored(verified(pairs, sets), "near-verified"), percent))
+        links = links.unionByName(block_links(rest, sets, percent))
     roots = components(links)
 
     # back from nodes to rows
