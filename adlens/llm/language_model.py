@@ -50,7 +50,7 @@ from adlens.llm.words import WordHash, mix, runs, words_of
 
 CHUNK_WORDS = 2_000_000
 BUCKET_TOKENS = 2_000_000
-EXACT = 32
+EXACT = 1024
 DISCOUNT, STRENGTH = 0.8, 1.0  # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 END = b""  # no word is empty
@@ -165,23 +165,42 @@ def stirling(discount: float) -> np.ndarray:
 
 
 def sample_tables(c: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Numbers of tables of ``c`` customers each; ``new`` weighs a new table against a customer."""
+    """Numbers of tables of ``c`` customers each; ``new`` weighs a new table against a customer.
+
+    t has probability in proportion to S(c, t) new^t, which is drawn as it is
+    for up to ``EXACT`` customers. For more, t - 1 is near to Poisson: the
+    tables are a Poisson number of mean new phi(r) with independent sizes of
+    generating function phi(r x) / phi(r), phi(x) = (1 - (1 - x)^d) / d, under the
+    condition that they hold c customers; r is where c is their mean, and the
+    condition takes the covariance's share off the variance.
+    """
     t = np.minimum(c, 1)
     new = np.maximum(new, 1e-300)
+    order = np.argsort(c, kind="stable")
+    sizes = np.arange(2, EXACT + 2)
+    cuts = np.searchsorted(c[order], sizes).tolist()
     log_s = stirling(discount)
-    for size in range(2, EXACT + 1):
-        at = np.flatnonzero(c == size)
-        if len(at):
+    for size, i, j in zip(sizes.tolist(), cuts, cuts[1:]):
+        for at in (order[k:min(k + 1_000_000 // size, j)] for k in range(i, j, 1_000_000 // size)):
             w = log_s[size, 1:size + 1] + np.log(new[at])[:, None] * np.arange(1, size + 1)
             w = np.exp(w - w.max(axis=1, keepdims=True)).cumsum(axis=1)
             t[at] = 1 + (w < (rng.random(len(at)) * w[:, -1])[:, None]).sum(axis=1)
-    at = np.flatnonzero(c > EXACT)
-    n, tables = np.ones(len(at), np.int64), np.ones(len(at), np.int64)
-    while len(at) and (n < c[at]).any():
-        step = np.minimum(np.maximum(n // 16, 1), c[at] - n)
-        tables += rng.binomial(step, new[at] / (new[at] + n - discount * tables))
-        n += step
-    t[at] = tables
+    at = order[cuts[-1]:]
+    if len(at):
+        many, a = c[at].astype(float), new[at]
+        low, high = np.full(len(at), -700.0), np.zeros(len(at))  # log(1 - r)
+        for _ in range(60):
+            mid = (low + high) / 2
+            over = np.log(a) + np.log(-np.expm1(mid)) + (discount - 1) * mid > np.log(many)
+            low, high = np.where(over, mid, low), np.where(over, high, mid)
+        s = np.exp(high)
+        mean = a * -np.expm1(discount * high) / discount
+        first = (1 - s) * s ** (discount - 1)  # r phi'(r)
+        second = (1 - s) ** 2 * (1 - discount) * s ** (discount - 2)
+        spread = np.maximum(mean - a * first * (first / (first + second)), 0)
+        drawn = np.where(mean < 30, rng.poisson(np.minimum(mean, 30)),
+                         np.rint(mean + np.sqrt(spread) * rng.standard_normal(len(at))))
+        t[at] = np.clip(1 + drawn, 1, c[at])
     return t
 
 
@@ -319,7 +338,8 @@ def parent_seating(chunks: DataFrame, seated: DataFrame, buckets: int, samples:
             for keys, values in ((sums[2][0], sums[2][1]), (word, mass)):
                 at = np.minimum(np.searchsorted(keys, asked), max(len(keys) - 1, 0))
                 hit = keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
-                got.append(np.where(hit, values[:, at] if len(keys) else 0, 0).astype(np.float32).T)
+                found = values[:, at] if len(keys) else np.zeros((samples, len(asked)))
+                got.append(np.where(hit, found, 0).astype(np.float32).T)
             out.append((dest, chunk, 4, pack(got[0]), pack(got[1]), None))
         totals = np.concatenate([customers.sum(axis=1), tables.sum(axis=1)]).astype(np.float64)
         return message_table([*out, (dest, None, 9, totals.tobytes(), None, None)])
