@@ -116,17 +116,23 @@ def parents(read: DataFrame) -> DataFrame:
 
 
 def roots(tree: DataFrame) -> DataFrame:
-    """``_row, root, depth`` of every row that has a parent; ``tree``: _row, parent."""
-    at = stored(tree.select("_row", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")), "quote-roots")
-    while True:
-        up = at.select(F.col("_row").alias("root"), F.col("root").alias("above"), F.col("depth").alias("more"))
-        jumped = stored(at.join(up, "root", "left").select(
-            "_row", F.coalesce("above", "root").alias("root"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            F.col("above").isNotNull().alias("moved")), "quote-roots")
-        at = jumped.drop("moved")
-        if jumped.where("moved").isEmpty():
-            return at
+    """``_row, root, depth`` of every row that has a parent; ``tree``: _row, parent.
+
+    Pointers double: a row whose pointer has not reached a root takes on its
+    target's pointer. Rows that have arrived take no part in later rounds.
+    """
+    target = tree.select(F.col("_row").alias("parent"), F.lit(True).alias("inner"))
+    at = stored(tree.select("_row", "parent").join(target, "parent", "left").select(
+        "_row", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"),
+        F.col("inner").isNull().alias("done")), "quote-roots")
+    while not (pending := at.where("not done")).isEmpty():
+        up = at.select(F.col("_row").alias("root"), F.col("root").alias("above"), F.col("depth").alias("more"),
+                       F.col("done").alias("arrived"))
+        moved = pending.join(up, "root").select(
+            "_row", F.col("above").alias("root"), (F.col("depth") + F.col("more")).alias("depth"),
+            F.col("arrived").alias("done"))
+        at = stored(at.where("done").unionByName(moved), "quote-roots")
+    return at.drop("done")
 
 
 def link_quotations(messages: DataFrame, id_col: str = "msg_id", role_col: str = "role", text_col: str = "text"
