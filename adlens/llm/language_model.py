@@ -34,11 +34,13 @@ for itself; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import gc
 import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -55,8 +57,8 @@ DISCOUNT, STRENGTH = 0.8, 1.0  # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 END = b""  # no word is empty
 
-CHUNKS = ("chunk bigint, doc_id array<bigint>, held array<boolean>, lengths array<bigint>, "
-          "words binary, counts binary, tokens binary")
+CHUNKS = ("chunk bigint, doc_id array<bigint>, held array<boolean>, lengths array<bigint>, end int, "
+          "high binary, low binary, counts binary, tokens binary, ranks binary")
 MESSAGES = "dest bigint, chunk bigint, kind int, a binary, b binary, c binary"
 
 
@@ -68,6 +70,25 @@ def unpack(b: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
 
 
+def pack_planes(x: np.ndarray) -> bytes:
+    """Packed with the first bytes of all numbers ahead, then the second ones, and so on."""
+    return pack(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T)
+
+
+def unpack_planes(b: bytes, dtype) -> np.ndarray:
+    planes = unpack(b, np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def pack_ascending(x: np.ndarray) -> bytes:
+    """Packed steps of an ascending array of numbers below 2^32."""
+    return pack_planes(np.diff(x.astype(np.uint64), prepend=np.uint64(0)).astype(np.uint32))
+
+
+def unpack_ascending(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack_planes(b, np.uint32).astype(np.uint64), dtype=np.uint64)
+
+
 def message_table(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows)) if rows else [[]] * 6
     types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -78,7 +99,12 @@ def message_table(rows: list[tuple]) -> pa.Table:
 # -- chunks -----------------------------------------------------------------------
 
 def tokenised(docs: DataFrame) -> DataFrame:
-    """Chunks of ``doc_id, held, text``: their distinct words, training counts and tokens."""
+    """Chunks of ``doc_id, held, text``: their distinct words, training counts and tokens.
+
+    Words are in order of their hash, stored as upper (``high``) and lower
+    halves; tokens are places in the order of the words' frequency, which packs
+    well, and ``ranks`` leads back.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, made = WordHash(), 0
         first = TaskContext.get().partitionId() << 32
@@ -90,12 +116,18 @@ def tokenised(docs: DataFrame) -> DataFrame:
             words, at = np.unique(np.concatenate([x for _, _, x in part]), return_inverse=True)
             train = np.repeat([not h for _, h, _ in part], lengths)
             counts = np.bincount(at[train], minlength=len(words)).astype(np.int32)
+            ranks = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")
+            place = np.empty(len(words), np.uint32)
+            place[ranks] = np.arange(len(words))
+            end = int(np.searchsorted(words, np.uint64(xxhash.xxh3_64_intdigest(END))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([first + made], pa.int64()), pa.array([[d for d, _, _ in part]], pa.list_(pa.int64())),
                  pa.array([[h for _, h, _ in part]], pa.list_(pa.bool_())),
-                 pa.array([lengths.tolist()], pa.list_(pa.int64())), pa.array([words.tobytes()], pa.binary()),
-                 pa.array([pack(counts)], pa.binary()), pa.array([pack(at.astype(np.int32))], pa.binary())],
-                names=["chunk", "doc_id", "held", "lengths", "words", "counts", "tokens"])
+                 pa.array([lengths.tolist()], pa.list_(pa.int64())), pa.array([end], pa.int32()),
+                 *[pa.array([x], pa.binary()) for x in (
+                     pack_ascending(words >> np.uint64(32)), words.astype(np.uint32).tobytes(), pack(counts),
+                     pack_planes(place[at]), pack_planes(ranks.astype(np.uint32)))]],
+                names=["chunk", "doc_id", "held", "lengths", "end", "high", "low", "counts", "tokens", "ranks"])
             made += 1
 
     return docs.mapInArrow(run, CHUNKS)
@@ -115,15 +147,14 @@ class Pairs:
     """A chunk's distinct (context, word) pairs, dealt to buckets and sorted within each."""
 
     def __init__(self, row: dict, buckets: int):
-        self.words = np.frombuffer(row["words"], np.uint64)
-        self.at = unpack(row["tokens"], np.int32).astype(np.int64)
+        top = unpack_ascending(row["high"])
+        ranks = unpack_planes(row["ranks"], np.uint32).astype(np.int64)
+        self.at = ranks[unpack_planes(row["tokens"], np.uint32)]
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.array(row["held"], bool)
-        end = int(np.searchsorted(self.words, np.uint64(WordHash()[END])))
-        before = np.concatenate(([end], self.at[:-1]))  # each text ends in an end
-        code, self.pair = np.unique(before * len(self.words) + self.at, return_inverse=True)
-        self.u, self.w = code // len(self.words), code % len(self.words)
-        top = upper(self.words)
+        before = np.concatenate(([row["end"]], self.at[:-1]))  # each text ends in an end
+        code, self.pair = np.unique(before * len(top) + self.at, return_inverse=True)
+        self.u, self.w = code // len(top), code % len(top)
         self.key = (top[self.u] << np.uint64(32)) | top[self.w]
         bucket = (mix(self.key) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(self.key, kind="stable")
@@ -219,15 +250,16 @@ def word_counts(chunks: DataFrame, buckets: int) -> tuple[DataFrame, int, int]:
     """Answers of kind 0 with the words' training counts; N and V."""
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, words, counts in zip(*(c.to_pylist() for c in b.columns)):
-                words, counts = np.frombuffer(words, np.uint64), unpack(counts, np.int32)
-                cuts = word_cuts(upper(words), buckets)
-                yield from message_table([(k, chunk, 0, pack(words[i:j]), pack(counts[i:j]), None) for k, (i, j)
-                                          in enumerate(zip(cuts, cuts[1:])) if i < j]).to_batches()
+            for chunk, high, low, counts in zip(*(c.to_pylist() for c in b.columns)):
+                high, low = unpack_ascending(high), np.frombuffer(low, np.uint32)
+                counts, cuts = unpack(counts, np.int32), word_cuts(high, buckets)
+                yield from message_table([(k, chunk, 0, pack_ascending(high[i:j]), low[i:j].tobytes(), pack(counts[i:j]))
+                                          for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]).to_batches()
 
     def answer(rows: pa.Table) -> pa.Table:
-        words = [unpack(x, np.uint64) for x in rows.column("a").to_pylist()]
-        _, sums, at = add_up(words, [unpack(x, np.int32) for x in rows.column("b").to_pylist()])
+        words = [(unpack_ascending(a) << np.uint64(32)) | np.frombuffer(b, np.uint32)
+                 for a, b in zip(rows.column("a").to_pylist(), rows.column("b").to_pylist())]
+        _, sums, at = add_up(words, [unpack(x, np.int32) for x in rows.column("c").to_pylist()])
         ends = np.cumsum([0, *map(len, words)])
         dest = rows.column("dest")[0].as_py()
         out = [(dest, chunk, 0, pack(sums[at[i:j]]), None, None) for chunk, i, j in
@@ -235,7 +267,7 @@ def word_counts(chunks: DataFrame, buckets: int) -> tuple[DataFrame, int, int]:
         totals = np.array([sums.sum(), (sums > 0).sum()], np.int64)
         return message_table([*out, (dest, None, 9, totals.tobytes(), None, None)])
 
-    answers = stored(chunks.select("chunk", "words", "counts").mapInArrow(ask, MESSAGES).groupBy("dest")
+    answers = stored(chunks.select("chunk", "high", "low", "counts").mapInArrow(ask, MESSAGES).groupBy("dest")
                      .applyInArrow(answer, MESSAGES), "lm-counts")
     n, v = totals_of(answers, np.int64, 2)
     return answers.where("kind = 0"), int(n), int(v)
@@ -249,6 +281,7 @@ def totals_of(answers: DataFrame, dtype, size: int) -> np.ndarray:
     return total
 
 
+TEXT = ["high", "end", "tokens", "ranks", "lengths", "held"]  # what Pairs needs of a chunk
 LEVELS = 4  # steps of a factor 2 in which a weight is sent, as one byte
 
 
@@ -265,7 +298,7 @@ def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: i
         for k, (i, j) in enumerate(zip(p.cuts, p.cuts[1:])):
             if i < j:
                 u, w = upper(key[i:j]), key[i:j] & np.uint64(0xFFFFFFFF)
-                out.append((k, row["chunk"], 1, pack(np.diff(u, prepend=np.uint64(0)).astype(np.uint32)),
+                out.append((k, row["chunk"], 1, pack_ascending(u),
                             w.astype(np.uint32).tobytes(),
                             pack(np.concatenate([counts[i:j].view(np.uint8), level[i:j]]))))
         return message_table(out)
@@ -274,7 +307,7 @@ def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: i
         dest = rows.column("dest")[0].as_py()
         keys, counts, levels = [], [], []
         for a, b, c in zip(*(rows.column(x).to_pylist() for x in "abc")):
-            u = np.cumsum(unpack(a, np.uint32).astype(np.uint64))
+            u = unpack_ascending(a)
             keys.append((u << np.uint64(32)) | np.frombuffer(b, np.uint32))
             n = len(u)
             both = unpack(c, np.uint8)
@@ -296,11 +329,11 @@ def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: i
             sums = np.stack([np.bincount(where, weights=t[some], minlength=len(distinct)) for t in tables]
                             ).astype(np.int32)
             cuts = word_cuts(distinct, buckets)
-            out += [(k, None, kind, pack(distinct[i:j].astype(np.uint32)), pack(sums[:, i:j]), None)
+            out += [(k, None, kind, pack_ascending(distinct[i:j]), pack(sums[:, i:j]), None)
                     for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
         return message_table(out)
 
-    asked = by_chunk(chunks.select("chunk", "words", "tokens", "lengths", "held"), answers, ask, MESSAGES)
+    asked = by_chunk(chunks.select("chunk", *TEXT), answers, ask, MESSAGES)
     return stored(asked.groupBy("dest").applyInArrow(seat, MESSAGES), "lm-pairs")
 
 
@@ -309,11 +342,10 @@ def parent_seating(chunks: DataFrame, seated: DataFrame, buckets: int, samples:
     """Answers of kind 4 (contexts' tables, words' mass in the parent); its customers and tables by sample."""
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, words in zip(*(c.to_pylist() for c in b.columns)):
-                top = upper(np.frombuffer(words, np.uint64))
+            for chunk, high in zip(*(c.to_pylist() for c in b.columns)):
+                top = unpack_ascending(high)
                 cuts = word_cuts(top, buckets)
-                yield from message_table([(k, chunk, 4, pack(np.diff(top[i:j], prepend=np.uint64(0)).astype(np.uint32)), None, None)
-                                          for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]).to_batches()
+                yield from message_table([(k, chunk, 4, pack_ascending(top[i:j]), None, None) for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]).to_batches()
 
     def answer(rows: pa.Table) -> pa.Table:
         dest = rows.column("dest")[0].as_py()
@@ -322,7 +354,7 @@ def parent_seating(chunks: DataFrame, seated: DataFrame, buckets: int, samples:
             parts[kind].append((chunk, a, b))
         sums = {}
         for kind in (2, 3):
-            keys = [unpack(a, np.uint32) for _, a, _ in parts[kind]]
+            keys = [unpack_ascending(a) for _, a, _ in parts[kind]]
             values = [unpack(b, np.int32).reshape(samples, -1) for _, _, b in parts[kind]]
             per = [add_up(keys, [x[s] for x in values]) for s in range(samples)]
             sums[kind] = (per[0][0], np.stack([x[1] for x in per]))
@@ -333,7 +365,7 @@ def parent_seating(chunks: DataFrame, seated: DataFrame, buckets: int, samples:
         mass = customers - ROOT_DISCOUNT * tables
         out = []
         for chunk, a, _ in parts[4]:
-            asked = np.cumsum(unpack(a, np.uint32).astype(np.uint64))
+            asked = unpack_ascending(a)
             got = []
             for keys, values in ((sums[2][0], sums[2][1]), (word, mass)):
                 at = np.minimum(np.searchsorted(keys, asked), max(len(keys) - 1, 0))
@@ -344,13 +376,23 @@ def parent_seating(chunks: DataFrame, seated: DataFrame, buckets: int, samples:
         totals = np.concatenate([customers.sum(axis=1), tables.sum(axis=1)]).astype(np.float64)
         return message_table([*out, (dest, None, 9, totals.tobytes(), None, None)])
 
-    asks = chunks.select("chunk", "words").mapInArrow(ask, MESSAGES)
+    asks = chunks.select("chunk", "high").mapInArrow(ask, MESSAGES)
     both = asks.unionByName(seated.where("kind in (2, 3)"))
     answers = stored(both.groupBy("dest").applyInArrow(answer, MESSAGES), "lm-parent")
     totals = totals_of(answers, np.float64, 2 * samples)
     return answers.where("kind = 4"), totals[:samples], totals[samples:]
 
 
+def release(spark) -> None:
+    """Let Spark remove the shuffle files of finished steps now.
+
+    It does so when the driver's JVM collects their handles, which on a large
+    heap may be late; nothing depends on it but the disk that is held.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def root_probability(mass: np.ndarray, customers: np.ndarray, tables: np.ndarray, v: int) -> np.ndarray:
     return (mass + (ROOT_STRENGTH + ROOT_DISCOUNT * tables) / (v + 1)) / (ROOT_STRENGTH + customers)
 
@@ -389,6 +431,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
             return np.log2(STRENGTH + DISCOUNT * seats[p.u]) + np.log2(p0[p.w])
 
         weigh, answers = from_sweep, parent
+        release(chunks.sparkSession)
 
     def score(row: dict, got: pa.Table) -> pa.Table:
         p = Pairs(row, buckets)
@@ -418,7 +461,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     final = counts.unionByName(seated.where("kind = 1")).unionByName(parent)
-    return by_chunk(chunks.drop("counts"), final, score, SCORED)
+    return by_chunk(chunks.select("chunk", "doc_id", *TEXT), final, score, SCORED)
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:
