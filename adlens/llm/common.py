@@ -40,6 +40,33 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """``docs`` itself where it is a plain scan, which numbers its rows alike every time; else a stored copy."""
+    return docs if docs._jdf.queryExecution().analyzed().children().isEmpty() else stored(docs, "scanned")
+
+
+def at_rows(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` joined to ``found`` by row; ``found`` has ``_row`` and ``_hash`` besides its columns.
+
+    ``_row`` is the ``monotonically_increasing_id`` of ``docs``, which has to be
+    ``scanned``, and ``_hash`` the ``text_hash`` of that row. Numbering the rows
+    again in place of keeping a copy of them rests on a scan that is cut as before
+    (files and settings unchanged); a row that has another text stops the job. ``docs`` keeps its
+    columns, and those of ``found`` must have other names.
+    """
+    row, text = free_name(docs, "_row_id"), free_name(docs, "_text_hash")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(text, text_hash(F.col(text_col)))
+    both = numbered.join(found.withColumnsRenamed({"_row": "_found_row", "_hash": "_found_hash"}),
+                         F.col(row) == F.col("_found_row"))
+    same = F.when(F.col(text) == F.col("_found_hash"), F.lit(True)).otherwise(
+        F.raise_error(F.lit("the rows were numbered differently when read again")))
+    return both.where(same).drop(row, text, "_found_row", "_found_hash")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -90,5 +117,5 @@ def prefix_sums(df: DataFrame, value: str, order: Sequence[str],
             .drop("_part", "_before", "_rank"))
 
 
-__all__ = ["WORD", "UPPER", "LOWER", "table", "stored", "free_name", "shuffle_partitions", "ascii_lower",
+__all__ = ["WORD", "UPPER", "LOWER", "table", "stored", "free_name", "text_hash", "scanned", "at_rows", "shuffle_partitions", "ascii_lower",
            "word_count", "prefix_sums"]

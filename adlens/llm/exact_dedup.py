@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import ascii_lower, stored, table
+from adlens.llm.common import ascii_lower, stored, table, text_hash
 
 MIN_CHUNK, MAX_CHUNK = 256, 4096
 LEAST = -(2 ** 63)
@@ -40,24 +40,22 @@ def chunks(text: Column) -> Column:
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            hash_of: Callable[[Column], Column] = F.xxhash64, row: Column | None = None) -> DataFrame:
-    """``_row, doc_id, recipe, text_sha256`` with verified chunk identifiers."""
-    norm = docs.select((F.monotonically_increasing_id() if row is None else row).alias("_row"),
+            hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """``_row, _hash, doc_id, recipe, text_sha256`` with verified chunk identifiers."""
+    norm = docs.select(F.monotonically_increasing_id().alias("_row"), text_hash(F.col(text_col)).alias("_hash"),
                        F.col(id_col).cast("long").alias("doc_id"),
                        ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
-    cut = stored(norm.select("_row", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
-                             chunks(F.col("norm")).alias("chunks")), "dedup-chunks")
-    hashed = F.transform("chunks", lambda c: hash_of(c))
-    owned = (cut.select(F.explode("chunks").alias("chunk"))
+    cut = norm.select("_row", "_hash", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
+                      chunks(F.col("norm")).alias("chunks"))
+    owned = (norm.select(F.explode(chunks(F.col("norm"))).alias("chunk"))
              .select(hash_of(F.col("chunk")).alias("h"), "chunk").distinct())
     # contents that share their hash with another content: none, but for a collision
-    shared = owned.groupBy("h").count().where("count > 1").select("h")
-    shared = stored(shared, "dedup-shared")
-    plain = cut.select("_row", "doc_id", "text_sha256",
-                       F.transform(hashed, lambda h: F.struct(h.alias("h"), F.lit(0).alias("rank"))
-                                   ).alias("recipe"))
+    shared = stored(owned.groupBy("h").count().where("count > 1").select("h"), "dedup-shared")
+    plain = cut.withColumn("recipe", F.transform("chunks", lambda c: F.struct(
+        hash_of(c).alias("h"), F.lit(0).alias("rank")))).drop("chunks")
     if shared.isEmpty():
         return plain
+    cut = stored(cut, "dedup-chunks")
     by_content = Window.partitionBy("h").orderBy("chunk")
     ranks = (owned.join(shared, "h")
              .select("h", "chunk", F.row_number().over(by_content).alias("rank")))
@@ -69,30 +67,29 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     exact = F.transform(F.coalesce("pieces", F.array().cast("array<struct<at:int,h:bigint,rank:int>>")),
                         lambda p: F.struct(p["h"].alias("h"), p["rank"].alias("rank")))
     return (cut.drop("chunks").join(lists, "_row", "left")
-            .select("_row", "doc_id", "text_sha256", exact.alias("recipe")))
+            .select("_row", "_hash", "doc_id", "text_sha256", exact.alias("recipe")))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                hash_of: Callable[[Column], Column] = F.xxhash64, row: Column | None = None) -> DataFrame:
-    """One row per input row: ``_row, doc_id, keep_id, group_size, kept, text_sha256``.
+                hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """One row per input row: ``_row, _hash, doc_id, keep_id, group_size, kept, text_sha256``.
 
-    ``_row`` is ``row``, a column that tells rows apart, or else the input
-    row's ``monotonically_increasing_id``.
+    ``_row`` and ``_hash`` lead back to the input (``common.at_rows``).
     """
-    listed = stored(recipes(docs, id_col, text_col, hash_of, row), "dedup-recipes")
+    listed = stored(recipes(docs, id_col, text_col, hash_of), "dedup-recipes")
     place = F.coalesce("doc_id", F.lit(LEAST))
     groups = listed.groupBy("recipe").agg(
         F.max("doc_id").alias("keep_id"), F.max_by("_row", place).alias("_keep"),
         F.count(F.lit(1)).alias("group_size"))
     groups = stored(groups, "dedup-groups")
     return listed.join(groups, "recipe").select(
-        "_row", "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"),
+        "_row", "_hash", "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"),
         "text_sha256")
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:
     """All ``documents``, dropped ones too, with the document that stays of each text."""
-    return exact_dedup(table(spark, sf_dir, "documents")).drop("_row")
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("_row", "_hash")
 
 
 OP8_SQL = """

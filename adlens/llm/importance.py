@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from adlens.llm.common import free_name, prefix_sums, stored, table
+from adlens.llm.common import free_name, prefix_sums, scanned, stored, table
 from adlens.llm.words import ODD, WordHash, mix, runs
 
 TOKENS = re.compile(r"\w+|[^\w\s]+")
@@ -139,19 +139,20 @@ def resample(docs: DataFrame, labels: DataFrame, temperature: float = 0.002, sam
              seed: int = 7, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False
              ) -> DataFrame:
     """``doc_id, log_weight, key, kept`` of every row; with ``keep_columns`` the kept rows of ``docs``."""
+    docs = scanned(docs) if keep_columns else docs
     sample = stored(labelled_sample(labels, sample_rows), "dsir-labels")
-    row, weight, key = (free_name(docs, x) for x in ("_row", "_weight", "_key"))
-    rows = docs if keep_columns else docs.select(F.col(id_col), F.col(text_col))
-    known = rows.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(
+    known = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(
         F.broadcast(sample), "_id", "left")
     ratios = log_ratios(gram_counts(known.select("_text", F.coalesce("_good", F.lit(False)).alias("good"))))
-    done = weighed(rows, ratios, text_col, weight)
-    if not keep_columns:
-        done = done.drop(text_col)
-    noise_of = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(seed)), F.lit(1 << 52))
-    uniform = (noise_of + 0.5) / float(1 << 52)
-    done = stored(done.withColumn(row, F.monotonically_increasing_id()).withColumn(
-        key, F.col(weight) / temperature - F.log(-F.log(uniform))), "dsir-weights")
+    row, weight, key = (free_name(docs, x) for x in ("_row", "_weight", "_key"))
+    noise = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(seed)), F.lit(1 << 52))
+    gumbel = -F.log(-F.log((noise + 0.5) / float(1 << 52)))
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return weighed(rows.withColumn(row, F.monotonically_increasing_id()), ratios, text_col, weight).withColumn(
+            key, F.col(weight) / temperature + gumbel)
+
+    done = stored(keyed(docs.select(F.col(id_col), F.col(text_col))).drop(text_col), "dsir-weights")
 
     # the cut, on the labelled sample (bounded)
     seen = done.select(F.col(id_col).cast("long").alias("_id"), F.col(weight).alias("w")).where("w is not null").join(
@@ -168,8 +169,8 @@ def resample(docs: DataFrame, labels: DataFrame, temperature: float = 0.002, sam
     if last is not None:
         edge = F.lit(-last["k"])
         kept = F.coalesce((F.col(key) > edge) | ((F.col(key) == edge) & (F.col(row) <= last["r"])), F.lit(False))
-    if keep_columns:
-        return done.where(kept).select(*docs.columns)
+    if keep_columns:  # weighed again in passing, which spares a copy of all texts
+        return keyed(docs).where(kept).select(*docs.columns)
     return done.select(F.col(id_col).alias("doc_id"), F.col(weight).alias("log_weight"), F.col(key).alias("key"),
                        kept.alias("kept"))
 

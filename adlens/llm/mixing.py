@@ -28,7 +28,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import prefix_sums, shuffle_partitions, stored, table, word_count
+from adlens.llm.common import (
+    at_rows,
+    free_name,
+    prefix_sums,
+    scanned,
+    shuffle_partitions,
+    stored,
+    table,
+    text_hash,
+    word_count,
+)
 
 SOURCE = ["_null", "_src"]
 CHUNK = 4096  # slots written out by one row
@@ -95,10 +105,10 @@ def mix_slots(targets: DataFrame, block_words: int, shard_slots: int, seed: int)
 
 
 def placed_documents(docs: DataFrame, source_col: str, id_col: str, text_col: str) -> DataFrame:
-    """``_row, doc_id, _null, _src, size, before, total``: places in the packed source (stored)."""
+    """``_row, _hash, doc_id, _null, _src, size, before, total``: places in the packed source (stored)."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
-        F.col(source_col).isNull().alias("_null"),
+        F.monotonically_increasing_id().alias("_row"), text_hash(F.col(text_col)).alias("_hash"),
+        F.col(id_col).alias("doc_id"), F.col(source_col).isNull().alias("_null"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_src"),
         word_count(F.col(text_col)).alias("size"))
     return stored(prefix_sums(rows, "size", ["doc_id", "_row"], SOURCE, "mix-placed")
@@ -152,26 +162,22 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_p
     follows each word. Rows keep the columns of ``docs``; documents of which
     nothing is taken go.
     """
-    marked = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-input")
-    placed = marked.select("_row", F.col(id_col).alias("doc_id"),
-                           F.col(source_col).isNull().alias("_null"),
-                           F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_src"),
-                           word_count(F.col(text_col)).alias("size"))
-    placed = stored(prefix_sums(placed, "size", ["doc_id", "_row"], SOURCE, "mix-placed")
-                    .drop("rank", "rows"), "mix-documents")
+    docs = scanned(docs)
+    placed = placed_documents(docs, source_col, id_col, text_col)
     _, slots = plan(placed, weights, max_passes, block_words, shard_slots, seed)
-    part = F.struct("first", "words")
-    parts = (pieces_of(placed, block_words)
+    parts, turn = free_name(docs, "_parts"), free_name(docs, "_pass")
+    taken = (pieces_of(placed, block_words)
              .join(slots.select(*SOURCE, "block", "pass"), [*SOURCE, "block"])
-             .groupBy("_row", "pass", "size")
-             .agg(F.sort_array(F.collect_list(part)).alias("parts"), F.sum("words").alias("n")))
-    parts = parts.select("_row", "pass", F.when(F.col("n") < F.col("size"), F.col("parts")).alias("parts"))
+             .groupBy("_row", "_hash", "pass", "size")
+             .agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("n")))
+    taken = taken.select("_row", "_hash", F.col("pass").alias(turn),
+                         F.when(F.col("n") < F.col("size"), F.col("parts")).alias(parts))
     # a word with the white space ahead of it
     words = F.regexp_extract_all(F.col(text_col), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    cut = F.concat_ws("", F.flatten(F.transform("parts", lambda p: F.slice(
+    cut = F.concat_ws("", F.flatten(F.transform(parts, lambda p: F.slice(
         words, (p["first"] + 1).cast("int"), p["words"].cast("int")))))
-    text = F.when(F.col("parts").isNull(), F.col(text_col)).otherwise(cut)
-    return marked.join(parts, "_row").select(
+    text = F.when(F.col(parts).isNull(), F.col(text_col)).otherwise(cut)
+    return at_rows(docs, taken, text_col).select(
         *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 

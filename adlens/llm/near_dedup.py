@@ -33,10 +33,10 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import stored, table
+from adlens.llm.common import stored, table, text_hash
 from adlens.llm.components import components
 from adlens.llm.words import ODD, WordHash, mix, runs, words_of
 
@@ -231,16 +231,15 @@ def block_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id",
-               text_col: str = "text", row: Column | None = None) -> DataFrame:
-    """``_row, doc_id, n_shingles, component_id, kept, stays``, a row per input row.
+               text_col: str = "text") -> DataFrame:
+    """``_row, _hash, doc_id, n_shingles, component_id, kept, stays``, a row per input row.
 
-    ``_row`` is ``row``, a column that tells rows apart, or else the input
-    row's ``monotonically_increasing_id``; ``stays`` is true for one row of
-    each component.
+    ``_row`` and ``_hash`` lead back to the input (``common.at_rows``);
+    ``stays`` is true for one row of each component.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select((F.monotonically_increasing_id() if row is None else row).alias("_row"),
-                       F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"),
+                       text_hash(text).alias("text_hash"), text.alias("text"))
     sig = stored(signatures(rows, shingle_words), "near-signatures")
     classes = sig.where("n > 0").groupBy("key").agg(F.min("_row").alias("node"), F.min("doc_id").alias("id"))
     nodes = stored(sig.withColumnRenamed("_row", "node").join(classes.drop("key"), "node").select(
@@ -289,17 +288,17 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_co
         "key", "id", F.coalesce("root", "node").alias("root"))
     ids = of.groupBy("root").agg(F.min("id").alias("component_id"))
     of = stored(of.join(ids, "root").select("key", "root", "component_id"), "near-classes")
-    out = sig.drop("bands", "text_hash").join(of, "key", "left").select(
-        "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "_row").alias("root"),
+    out = sig.drop("bands").join(of, "key", "left").select(
+        "_row", F.col("text_hash").alias("_hash"), "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "_row").alias("root"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     out = stored(out, "near-rows")
     best = out.groupBy("root").agg(F.min_by("_row", F.coalesce("doc_id", F.lit(2 ** 63 - 1))).alias("_stays"))
     return out.join(best, "root").select(
-        "_row", "doc_id", "n_shingles", "component_id",
+        "_row", "_hash", "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
         (F.col("_row") == F.col("_stays")).alias("stays"))
 
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` by near copies: 4-word shingles, similarity 0.8 or more."""
-    return near_dedup(table(spark, sf_dir, "documents"), shingle_words=4).drop("_row", "stays")
+    return near_dedup(table(spark, sf_dir, "documents"), shingle_words=4).drop("_row", "_hash", "stays")

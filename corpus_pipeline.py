@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import free_name, stored, table
+from adlens.llm.common import at_rows, scanned, stored, table
 from adlens.llm.exact_dedup import exact_dedup
 from adlens.llm.importance import resample
 from adlens.llm.mixing import mixed_documents
@@ -29,24 +29,18 @@ from adlens.llm.near_dedup import near_dedup
 from adlens.llm.segmentation import encoded
 
 
-def _kept_rows(docs: DataFrame, decide) -> DataFrame:
-    """Rows of ``docs`` that ``decide(numbered docs, row column)`` lists in ``_row``."""
-    row = free_name(docs, "_row")
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "stage-rows")
-    keep = decide(numbered, F.col(row)).select(F.col("_row").alias(row))
-    return numbered.join(keep, row, "left_semi").select(*docs.columns)
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return resample(docs, table(spark, sf_dir, "labels"), keep_columns=True)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _kept_rows(docs, lambda d, row: exact_dedup(d, row=row).where("kept"))
+    docs = scanned(docs)
+    return at_rows(docs, exact_dedup(docs).where("kept").select("_row", "_hash"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _kept_rows(docs, lambda d, row: near_dedup(d, row=row).where("stays"))
+    docs = scanned(docs)
+    return at_rows(docs, near_dedup(docs).where("stays").select("_row", "_hash"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
