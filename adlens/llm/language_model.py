@@ -36,6 +36,7 @@ from __future__ import annotations
 import functools
 import gc
 import math
+import time
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -387,9 +388,11 @@ def release(spark) -> None:
     """Let Spark remove the shuffle files of finished steps now.
 
     It does so when the driver's JVM collects their handles, which on a large
-    heap may be late; nothing depends on it but the disk that is held.
+    heap may be late; nothing depends on it but the disk that is held. The JVM
+    hears of the handles that Python has let go with a short delay.
     """
     gc.collect()
+    time.sleep(1)
     spark.sparkContext._jvm.System.gc()
 
 
