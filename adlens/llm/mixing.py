@@ -143,10 +143,12 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passe
     """What the mix takes: ``doc_id, size, source_size, target, taken``, a row per document."""
     placed = placed_documents(docs, source_col, id_col, text_col)
     targets, slots = plan(placed, weights, max_passes, block_words, shard_slots, seed)
-    uses = slots.groupBy(*SOURCE, "block").agg(F.count(F.lit(1)).alias("uses"))
+    # slots and blocks grow with the data, though they come out of a few rows of
+    # targets: Spark would take them for small and broadcast them
+    uses = slots.groupBy(*SOURCE, "block").agg(F.count(F.lit(1)).alias("uses")).hint("merge")
     taken = (pieces_of(placed, block_words).join(uses, [*SOURCE, "block"])
              .groupBy("_row").agg(F.sum(F.col("uses") * F.col("words")).alias("taken")))
-    return (placed.join(targets.select(*SOURCE, "target"), SOURCE).join(taken, "_row", "left")
+    return (placed.join(targets.select(*SOURCE, "target"), SOURCE).join(taken.hint("merge"), "_row", "left")
             .select("doc_id", "size", F.col("total").alias("source_size"), "target",
                     F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))
 
@@ -167,7 +169,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_p
     _, slots = plan(placed, weights, max_passes, block_words, shard_slots, seed)
     parts, turn = free_name(docs, "_parts"), free_name(docs, "_pass")
     taken = (pieces_of(placed, block_words)
-             .join(slots.select(*SOURCE, "block", "pass"), [*SOURCE, "block"])
+             .join(slots.select(*SOURCE, "block", "pass").hint("merge"), [*SOURCE, "block"])
              .groupBy("_row", "_hash", "pass", "size")
              .agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("n")))
     taken = taken.select("_row", "_hash", F.col("pass").alias(turn),
