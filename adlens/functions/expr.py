@@ -14,9 +14,12 @@ from pyspark.sql.types import DecimalType
 
 from adlens.config import NA_TOKENS, RAW_DATE_FORMAT
 
-# Money is summed exactly as a decimal and turned back into a double, so that
-# the sum does not depend on the order in which tasks add up their rows.
-MONEY = DecimalType(18, 6)
+# Money is summed as a decimal plus what the decimal leaves over, so that no
+# digit of a value is cut and the sum does not depend on the order in which
+# tasks add up their rows.
+MONEY = DecimalType(38, 12)
+# From here on a double has no digits below 1.
+WHOLE = 2.0 ** 53
 
 # Characters a plain number may consist of. Anything else ('NaN',
 # 'Infinity', a type suffix such as '1d', hex floats) is rejected before
@@ -34,17 +37,21 @@ def round_half_away(c: Column | str, digits: int) -> Column:
 
     ``F.round`` rounds the decimal text of the double instead, which gives
     another answer on values such as 1.005; this form is the one every
-    rounded column in the library goes through.
+    rounded column in the library goes through. Where ``x * 10^n`` is so large
+    that a double holds no digit below 1, and for infinities and NaN, ``x`` is
+    returned as it is.
     """
-    x = _c(c)
+    x = _c(c).cast("double")
     p = 10.0 ** digits
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)) / F.lit(p)
+    scaled = F.abs(x) * F.lit(p)
+    rounded = F.signum(x) * F.floor(scaled + F.lit(0.5)) / F.lit(p)
+    return F.when(scaled < F.lit(WHOLE), rounded).otherwise(x)
 
 
 def round_half_away_value(x: float, digits: int) -> float:
     """`round_half_away` for a single Python number (driver-side summaries)."""
     p = 10.0 ** digits
-    return math.copysign(math.floor(abs(x) * p + 0.5), x) / p
+    return math.copysign(math.floor(abs(x) * p + 0.5), x) / p if abs(x) * p < WHOLE else x
 
 
 def ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:
@@ -53,13 +60,32 @@ def ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:
     return q * F.lit(scale) if scale != 1.0 else q
 
 
-def money(c: Column | str) -> Column:
-    return _c(c).cast(MONEY)
+def whole_number(c: Column | str) -> Column:
+    """Text to BIGINT; NULL where the text is no whole number that fits.
+
+    Whole numbers are read as such, not through a double, so long ids keep
+    all digits; ``12.0`` is read as 12, but ``3.7`` is no whole number.
+    """
+    return F.regexp_replace(F.trim(_c(c)), r"\.0*$", "").try_cast("bigint")
+
+
+def money_sum(c: Column | str, window=None) -> Column:
+    """Sum of a money column as a double, the same in any order of its rows.
+
+    Each value is split into a decimal of 12 places, summed exactly, and the
+    rest that does not fit it (below 1e-12, or the whole of a value of 1e26 or
+    more), summed as a double. Where the decimal sum itself has no room the
+    plain double sum is given. With ``window``, the sum is taken over it.
+    """
+    x = _c(c).cast("double")
+    part = x.try_cast(MONEY)
+    rest = x - F.coalesce(part.cast("double"), F.lit(0.0))
 
+    def over(aggregate):
+        return aggregate if window is None else aggregate.over(window)
 
-def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column, returned as a double."""
-    return F.sum(money(c)).cast("double")
+    exact = over(F.try_sum(F.coalesce(part, F.lit(0).cast(MONEY)))).cast("double")
+    return F.when(over(F.count(x)) > 0, F.coalesce(exact + over(F.sum(rest)), over(F.sum(x))))
 
 
 def exact_mean(c: Column | str) -> Column:

@@ -1,45 +1,82 @@
 """Exact medians without gathering a column into one task.
 
 ``percentile``/``median`` aggregates keep every distinct value of the column
-in one final task. Here the values of all requested columns are stacked as
-(metric, value) rows and range-partitioned on both (a distributed sort).
-Each partition is counted per metric; the counts — one row per metric and
-partition, bounded by the partition count, not by the data — give every
-partition its starting rank, and only the one or two middle rows of each
-metric are kept. The median of an even count is the mean of the two middle
-values; missing values are skipped; a metric without values gives NULL.
+in one final task. Here the values of all requested columns are first counted
+by (group, metric, value), so a value that very many rows share is one row.
+The counts are range-partitioned on (group, metric, value) and written, with
+the number of the partition each row fell into, to the shared scratch folder;
+everything below reads that one copy. Each partition is totalled, the totals
+(one row for each group, metric and partition) give every partition its
+starting rank, and a running count inside it gives each value the ranks it
+covers. Only the values that cover a middle rank are kept. The median of an
+even count is the mean of the two middle values; missing values are skipped; a
+metric without values gives NULL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlens.session import fresh_dir
 
-def exact_medians(df: DataFrame, columns: dict[str, str], partitions: int | None = None
-                  ) -> DataFrame:
-    """One row: for each ``source column → output name``, the exact median."""
+
+def _middles(df: DataFrame, columns: dict[str, str], group: Sequence[str],
+             partitions: int | None) -> DataFrame:
+    """``group, k, v, lo, hi``: the values at the middle ranks of each metric."""
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = F.array(*[F.struct(F.lit(name).alias("k"), F.col(src).cast("double").alias("v"))
                       for src, name in columns.items()])
-    stacked = (df.select(F.explode(pairs).alias("s")).select("s.k", "s.v")
-               .where(F.col("v").isNotNull()))
-    ranged = stacked.repartitionByRange(n_parts, "k", "v").withColumn(
-        "pid", F.spark_partition_id())
-    counts = ranged.groupBy("k", "pid").agg(F.count(F.lit(1)).alias("cnt"))
-    before = Window.partitionBy("k").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "k", "pid", F.coalesce(F.sum("cnt").over(before), F.lit(0)).alias("offset"),
-        F.sum("cnt").over(Window.partitionBy("k")).alias("n"))
-    in_part = Window.partitionBy("k", "pid").orderBy("v")
-    ranked = (ranged.join(F.broadcast(offsets), ["k", "pid"])
-              .withColumn("rank", F.col("offset") + F.row_number().over(in_part) - 1))
-    lo = F.floor((F.col("n") - 1) / 2)
-    hi = F.ceil((F.col("n") - 1) / 2)
-    middle = ranked.where((F.col("rank") == lo) | (F.col("rank") == hi))
-    return middle.agg(*[F.avg(F.when(F.col("k") == name, F.col("v"))).alias(name)
-                        for name in columns.values()])
+    counts = (df.select(*group, F.explode(pairs).alias("s")).select(*group, "s.k", "s.v")
+              .where(F.col("v").isNotNull())
+              .groupBy(*group, "k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    path = fresh_dir(spark, "median-counts")
+    (counts.repartitionByRange(n_parts, *group, "k", "v")
+     .withColumn("pid", F.spark_partition_id()).write.parquet(path))
+    ranged = spark.read.parquet(path)
+    totals = ranged.groupBy(*group, "k", "pid").agg(F.sum("cnt").alias("part_cnt"))
+    metric = Window.partitionBy(*group, "k")
+    offsets = totals.select(
+        *[F.col(c).alias(f"_{c}") for c in (*group, "k", "pid")],
+        F.coalesce(F.sum("part_cnt").over(metric.orderBy("pid").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
+        F.sum("part_cnt").over(metric).alias("n"))
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*group, "k", "pid")]
+    inside = Window.partitionBy("pid", *group, "k").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, 0)
+    ranked = ranged.join(offsets, on).select(
+        *group, "k", "pid", "v", "cnt", "offset", "n")
+    last = F.col("offset") + F.sum("cnt").over(inside)
+    ranked = ranked.withColumn("last", last)
+    first = F.col("last") - F.col("cnt")
+
+    def covers(rank):
+        return (first <= rank) & (rank < F.col("last"))
+
+    lo, hi = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
+    return ranked.withColumn("lo", covers(lo)).withColumn("hi", covers(hi)).where("lo or hi")
+
+
+def _medians(names) -> list:
+    def middle(name, which):
+        return F.max(F.when((F.col("k") == name) & F.col(which), F.col("v")))
+
+    return [((middle(n, "lo") + middle(n, "hi")) / 2).alias(n) for n in names]
+
+
+def exact_medians(df: DataFrame, columns: dict[str, str], partitions: int | None = None
+                  ) -> DataFrame:
+    """One row: for each ``source column → output name``, the exact median."""
+    return _middles(df, columns, [], partitions).agg(*_medians(columns.values()))
+
+
+def grouped_medians(df: DataFrame, group: Sequence[str], columns: dict[str, str],
+                    partitions: int | None = None) -> DataFrame:
+    """One row per group that has a value: the exact median of each column."""
+    return _middles(df, columns, group, partitions).groupBy(*group).agg(*_medians(columns.values()))
 
 
 def exact_median(df: DataFrame, column: str, name: str | None = None,

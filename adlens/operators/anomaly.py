@@ -25,7 +25,7 @@ from adlens.config import (
     SEVERITY_MEDIUM,
     Rules,
 )
-from adlens.functions import fixed, money, round_half_away
+from adlens.functions import fixed, money_sum, round_half_away
 
 ANOMALY_COLUMNS = ["campaign_id", "date", "anomaly_type", "severity",
                    "metric_value", "baseline", "description"]
@@ -38,7 +38,7 @@ def with_avg_daily_spend(monitoring: DataFrame) -> DataFrame:
     so it does not depend on the order in which rows are added.
     """
     w = Window.partitionBy("campaign_id")
-    total = F.sum(money("spend")).over(w).cast("double")
+    total = money_sum("spend", w)
     return monitoring.withColumn("avg_daily_spend", total / F.count("spend").over(w))
 
 

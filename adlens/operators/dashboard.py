@@ -32,7 +32,7 @@ def d01_audience_kpis(fact: DataFrame, dim_audience: DataFrame) -> DataFrame:
     """KPIs per age × gender, with impressions and clicks."""
     spend = money_sum("spend")
     clicks, imps, appr = F.sum("clicks"), F.sum("impressions"), F.sum("approved_conversion")
-    return (fact.join(F.broadcast(dim_audience), "audience_id")
+    return (fact.join(dim_audience, "audience_id")
             .groupBy("age_group", "gender").agg(
                 imps.alias("impressions"), clicks.alias("clicks"),
                 R(spend, 2).alias("spend"), appr.alias("conversions"),

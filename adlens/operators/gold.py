@@ -66,7 +66,7 @@ def campaign_kpis(fact: DataFrame) -> DataFrame:
         round_half_away(spend, 2).alias("total_spend"),
         F.sum("total_conversion").cast("double").alias("total_conversions"),
         appr.cast("double").alias("total_approved_conv"),
-        F.count(F.lit(1)).cast("int").alias("fact_rows"),
+        F.count(F.lit(1)).alias("fact_rows"),
         round_half_away(ratio(clicks, imps, 100.0), 4).alias("ctr_pct"),
         round_half_away(ratio(spend, clicks), 4).alias("cpc"),
         round_half_away(ratio(spend, appr), 4).alias("cpa"),
@@ -118,36 +118,25 @@ def health_score(components: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
 
 # -- M10–M11: medians, tiers, recommendations ---------------------------------------
 
-# Up to this many campaigns the medians may be taken inside one task (the
-# median aggregate keeps the distinct values of its column there); beyond it
-# the distributed exact median is used.
-MEDIAN_IN_TASK_MAX_ROWS = 1_000_000
-
-
-def kpi_medians(kpis: DataFrame, in_one_task: bool = False) -> DataFrame:
+def kpi_medians(kpis: DataFrame) -> DataFrame:
     """Exact medians of CPA, conversion rate and spend (one row).
 
     Missing values are skipped; an even count averages the two middle
-    values. ``in_one_task`` is for callers that have checked the table holds
-    at most ``MEDIAN_IN_TASK_MAX_ROWS`` rows; otherwise the values are ranked
-    by a distributed sort (``functions.stats``) and never gathered.
+    values. The values are ranked by a distributed sort of their counts
+    (``functions.stats``) and never gathered.
     """
-    cols = {"cpa": "median_cpa", "conversion_rate_pct": "median_cr",
-            "total_spend": "median_spend"}
-    if in_one_task:
-        return kpis.agg(*[F.median(c).alias(n) for c, n in cols.items()])
-    return exact_medians(kpis, cols)
+    return exact_medians(kpis, {"cpa": "median_cpa", "conversion_rate_pct": "median_cr",
+                                "total_spend": "median_spend"})
 
 
-def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES,
-                    medians_in_one_task: bool = False) -> DataFrame:
+def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Tier and recommendation, four ordered cases.
 
     A comparison that meets a missing value is false, so such a row falls
     through to the next case.
     """
     r = rules.score
-    med = kpi_medians(scored, medians_in_one_task)  # exactly one row
+    med = kpi_medians(scored)  # exactly one row
     s, cpa, cr, spend = (F.col("health_score"), F.col("cpa"),
                          F.col("conversion_rate_pct"), F.col("total_spend"))
     high = (s >= r.high_performer_score) & (cpa <= F.col("median_cpa"))
@@ -169,11 +158,10 @@ def mart_campaign_kpis(fact: DataFrame, rules: Rules = DEFAULT_RULES,
     return mart_from_kpis(campaign_kpis(fact), rules, last_updated)
 
 
-def mart_from_kpis(kpis: DataFrame, rules: Rules = DEFAULT_RULES, last_updated=None,
-                   medians_in_one_task: bool = False) -> DataFrame:
+def mart_from_kpis(kpis: DataFrame, rules: Rules = DEFAULT_RULES, last_updated=None) -> DataFrame:
     """M7–M12 on a campaign KPI table (M1–M6)."""
     scored = health_score(health_components(kpis, rules), rules)
-    out = recommendations(scored, rules, medians_in_one_task)
+    out = recommendations(scored, rules)
     cols = [F.col(c) for c in MART_KPI_COLUMNS]
     if last_updated is not None:
         cols.append(F.lit(last_updated).cast("timestamp").alias("last_updated"))

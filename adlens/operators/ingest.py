@@ -1,23 +1,27 @@
 """Incremental load into bronze.
 
-* I1 the watermark (last loaded date) is a one-row table; absent or
-  unparsable means 1900-01-01.
+* I1 the watermark is the last loaded date; absent or unparsable means
+  1900-01-01.
 * I2 keep rows of allowed campaigns (rule 1 only, as the reference does;
   ``rules="all"`` loads only rows that pass all four rules instead).
 * I3 day-first date parse; unparsable text stops the job.
 * I4 keep rows strictly newer than the watermark.
 * I5 stamp ``loaded_at``, fix the column list, write.
-* I6 an empty batch writes nothing and keeps the watermark.
+* I6 an empty batch writes no row and keeps the watermark.
 * I7 the new watermark is the batch's latest date, written after the data.
 
-Bronze is append-only and each increment lands as its own partition,
-``load_after=<watermark the increment started from>``. The write replaces
-only that partition (dynamic partition overwrite): a run that died between
-the data write and the watermark write is simply redone and replaces its own
-partial output instead of appending it twice, and no earlier increment is
-touched. The write needs no shuffle: each task writes the rows of its own
-input split into the one partition of its increment, so file sizes follow
-the input splits whatever the spread of dates.
+Bronze is a set of increments. Each is a folder of its own,
+``load_after=<watermark it started from>/batch=<name>``, partitioned by
+``reporting_start``, so a filter on that date prunes folders. An increment is
+replaced as a whole and counts once its write is committed (``_SUCCESS``): a run
+that died while writing is redone and replaces its own partial output, and no
+other increment is touched. Rows are dealt by date with a rebalance, which splits
+a date that holds very many rows and joins small ones.
+
+The watermark table only ever grows by a row. What counts is the later of its
+latest readable date and the latest date that batch loads have committed to
+bronze, so neither a crash between data and watermark nor a lost watermark loads
+rows twice.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
     DoubleType,
-    IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -37,56 +41,79 @@ from pyspark.sql.types import (
 )
 
 from adlens.config import DEFAULT_CHECKPOINT, VALID_CAMPAIGN_IDS
-from adlens.functions import clean_number, parse_day_first
-from adlens.operators.validate import invalid_campaign, with_rejection_reason
-from adlens.session import exists
+from adlens.functions import clean_number, parse_day_first, whole_number
+from adlens.operators.validate import with_allowed, with_rejection_reason
+from adlens.session import exists, list_names
 
 BRONZE_SCHEMA = StructType([
-    StructField("ad_id", IntegerType()),
+    StructField("ad_id", LongType()),
     StructField("reporting_start", DateType()),
     StructField("reporting_end", DateType()),
     StructField("campaign_id", StringType()),
     StructField("fb_campaign_id", StringType()),
     StructField("age", StringType()),
     StructField("gender", StringType()),
-    StructField("interest1", IntegerType()),
-    StructField("interest2", IntegerType()),
-    StructField("interest3", IntegerType()),
+    StructField("interest1", LongType()),
+    StructField("interest2", LongType()),
+    StructField("interest3", LongType()),
     StructField("impressions", DoubleType()),
-    StructField("clicks", IntegerType()),
+    StructField("clicks", LongType()),
     StructField("spent", DoubleType()),
     StructField("total_conversion", DoubleType()),
     StructField("approved_conversion", DoubleType()),
     StructField("loaded_at", TimestampType()),
 ])
 BRONZE_COLUMNS = [f.name for f in BRONZE_SCHEMA.fields]
-# partition column of bronze: the watermark an increment started from
-LOAD_PARTITION = "load_after"
+BATCH_LOAD = "load"
+WATERMARK_SCHEMA = "last_loaded_date string"
 
 
-# -- watermark (I1, I7) ---------------------------------------------------------
+# -- increments and the watermark (I1, I7) -------------------------------------------
 
-def read_checkpoint(spark: SparkSession, path: str) -> dt.date:
-    """Last loaded date from the one-row watermark table; 1900-01-01 if none.
+def increment_path(bronze_path: str, last_loaded, batch: str = BATCH_LOAD) -> str:
+    return f"{bronze_path.rstrip('/')}/load_after={_as_date(last_loaded).isoformat()}/batch={batch}"
 
-    Reads a single row: the date becomes a literal in the incremental filter
-    and names the increment's bronze partition.
+
+def committed_increments(spark: SparkSession, bronze_path: str, batch: str | None = None) -> list[str]:
+    """Paths of the increments whose write has ended (a listing; no data is read)."""
+    root, found = bronze_path.rstrip("/"), []
+    for start in list_names(spark, root):
+        if start.startswith("load_after="):
+            for name in list_names(spark, f"{root}/{start}"):
+                path = f"{root}/{start}/{name}"
+                if (name == f"batch={batch}" if batch else name.startswith("batch=")) and exists(
+                        spark, f"{path}/_SUCCESS"):
+                    found.append(path)
+    return found
+
+
+def _read_increments(spark: SparkSession, bronze_path: str, paths: list[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    places = [StructField("load_after", StringType()), StructField("batch", StringType())]
+    return (spark.read.schema(StructType(BRONZE_SCHEMA.fields + places))
+            .option("basePath", bronze_path).parquet(*paths).select(*BRONZE_COLUMNS))
+
+
+def read_checkpoint(spark: SparkSession, path: str, bronze_path: str | None = None) -> dt.date:
+    """Last loaded date; 1900-01-01 if none. One row is read to the driver.
+
+    With ``bronze_path`` the dates that batch loads have committed there count
+    as well (partition values; no file of bronze is opened).
     """
-    default = dt.date.fromisoformat(DEFAULT_CHECKPOINT)
-    if not exists(spark, path):
-        return default
-    row = (spark.read.parquet(path)
-           .select(F.try_to_date(F.col("last_loaded_date").cast("string"), "yyyy-MM-dd")
-                   .alias("d"))
-           .where(F.col("d").isNotNull())
-           .agg(F.max("d").alias("d"))
-           .first())
-    return row["d"] if row and row["d"] else default
+    dates = [dt.date.fromisoformat(DEFAULT_CHECKPOINT)]
+    if exists(spark, path):
+        day = F.try_to_date(F.col("last_loaded_date"), "yyyy-MM-dd")
+        dates.append(spark.read.schema(WATERMARK_SCHEMA).parquet(path).agg(F.max(day)).first()[0])
+    if bronze_path is not None:
+        loads = committed_increments(spark, bronze_path, BATCH_LOAD)
+        dates.append(_read_increments(spark, bronze_path, loads).agg(F.max("reporting_start")).first()[0])
+    return max(d for d in dates if d is not None)
 
 
 def write_checkpoint(spark: SparkSession, path: str, last: dt.date) -> None:
-    (spark.createDataFrame([(last.isoformat(),)], "last_loaded_date string")
-     .coalesce(1).write.mode("overwrite").parquet(path))
+    """Add the date to the watermark table; what is there stays."""
+    spark.createDataFrame([(last.isoformat(),)], WATERMARK_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
 def next_checkpoint(new_rows: DataFrame) -> DataFrame:
@@ -97,7 +124,7 @@ def next_checkpoint(new_rows: DataFrame) -> DataFrame:
 # -- typed new rows (I2–I4) -------------------------------------------------------
 
 def _int(c: str):
-    return clean_number(c).cast("int")
+    return clean_number(c).cast("bigint")
 
 
 def parsed_dates(raw: DataFrame) -> DataFrame:
@@ -110,7 +137,7 @@ def typed_rows(raw: DataFrame) -> DataFrame:
     """Raw text rows cast to the bronze column types (without ``loaded_at``)."""
     d = parsed_dates(raw)
     return d.select(
-        _int("ad_id").alias("ad_id"),
+        whole_number("ad_id").alias("ad_id"),
         "reporting_start", "reporting_end",
         "campaign_id", "fb_campaign_id", "age", "gender",
         _int("interest1").alias("interest1"),
@@ -131,7 +158,7 @@ def allowed_rows(raw: DataFrame, rules: str = "campaign",
         kept = with_rejection_reason(raw, campaign_ids).where(
             F.col("rejection_reason").isNull())
     elif rules == "campaign":
-        kept = raw.where(~invalid_campaign(campaign_ids))
+        kept = with_allowed(raw, campaign_ids).where("_allowed")
     else:
         raise ValueError(f"rules must be 'campaign' or 'all', not {rules!r}")
     return typed_rows(kept)
@@ -159,57 +186,65 @@ def stamp(new_rows: DataFrame, loaded_at) -> DataFrame:
 
 # -- the load (I5–I7) ---------------------------------------------------------------
 
+def write_increment(new_rows: DataFrame, bronze_path: str, last_loaded, loaded_at,
+                    batch: str = BATCH_LOAD) -> dict:
+    """The stamped rows as one increment, replacing it; its statistics.
+
+    Returns ``{"n": rows, "last": latest date, "null_ids": rows whose ad_id is
+    no whole number}``, read back from the increment itself.
+    """
+    spark, path = new_rows.sparkSession, increment_path(bronze_path, last_loaded, batch)
+    (stamp(new_rows, loaded_at).hint("rebalance", "reporting_start")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("reporting_start").parquet(path))
+    return _stats(spark, bronze_path, last_loaded, batch)
+
+
 def load_increment(spark: SparkSession, raw: DataFrame, bronze_path: str,
-                   checkpoint_path: str, loaded_at=None, rules: str = "campaign") -> dict:
+                   checkpoint_path: str, loaded_at=None, rules: str = "campaign",
+                   campaign_ids=VALID_CAMPAIGN_IDS) -> dict:
     """Append the rows newer than the watermark to bronze; advance the watermark.
 
-    Returns ``{"last_loaded": date, "inserted": n, "new_checkpoint": date|None}``.
+    Returns ``{"last_loaded": date, "inserted": n, "new_checkpoint": date|None,
+    "null_ids": n}``.
     """
     loaded_at = loaded_at or dt.datetime.now()
-    last = read_checkpoint(spark, checkpoint_path)
-    # The batch's row count and latest date are read back from the increment's
-    # own partition after the write (file metadata and one column).
-    stamped = stamp(incremental_new_rows(raw, last, rules), loaded_at)
-    (stamped.withColumn(LOAD_PARTITION, F.lit(last.isoformat()))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(LOAD_PARTITION).parquet(bronze_path))
-    stats = increment_stats(spark, bronze_path, last)
-    if not stats.get("n"):  # I6: nothing loaded, watermark unchanged
-        return {"last_loaded": last, "inserted": 0, "new_checkpoint": None}
-    write_checkpoint(spark, checkpoint_path, stats["last"])
-    return {"last_loaded": last, "inserted": int(stats["n"]), "new_checkpoint": stats["last"]}
-
-
-def increment_stats(spark: SparkSession, bronze_path: str, last_loaded) -> dict:
-    """Row count and latest date of the increment that started at ``last_loaded``.
-
-    Reads only that increment's partition folder: the count comes from file
-    metadata and the latest date from one column.
-    """
-    part = f"{bronze_path.rstrip('/')}/{LOAD_PARTITION}={_as_date(last_loaded).isoformat()}"
-    if not exists(spark, part):
-        return {"n": 0, "last": None}
-    row = (spark.read.schema(BRONZE_SCHEMA).parquet(part)
-           .agg(F.count(F.lit(1)).alias("n"), F.max("reporting_start").alias("last")).first())
-    return {"n": int(row["n"]), "last": row["last"]}
+    last = read_checkpoint(spark, checkpoint_path, bronze_path)
+    new = incremental_new_rows(raw, last, rules, campaign_ids)
+    stats = write_increment(new, bronze_path, last, loaded_at)
+    if stats["n"]:  # I6: else nothing was loaded and the watermark stays
+        write_checkpoint(spark, checkpoint_path, stats["last"])
+    return {"last_loaded": last, "inserted": stats["n"], "new_checkpoint": stats["last"],
+            "null_ids": stats["null_ids"]}
+
+
+def increment_stats(spark: SparkSession, bronze_path: str, last_loaded, batch: str = BATCH_LOAD) -> dict:
+    """Row count and latest date of one increment; only its folder is read."""
+    found = _stats(spark, bronze_path, last_loaded, batch)
+    return {"n": found["n"], "last": found["last"]}
+
+
+def _stats(spark: SparkSession, bronze_path: str, last_loaded, batch: str) -> dict:
+    path = increment_path(bronze_path, last_loaded, batch)
+    paths = [path] if exists(spark, f"{path}/_SUCCESS") else []
+    row = _read_increments(spark, bronze_path, paths).agg(
+        F.count(F.lit(1)).alias("n"), F.max("reporting_start").alias("last"),
+        F.count_if(F.col("ad_id").isNull()).alias("null_ids")).first()
+    return row.asDict()
 
 
 def reset_load(spark: SparkSession, bronze_path: str, checkpoint_path: str) -> None:
-    """Start the incremental load over: empty bronze and rewind the watermark.
+    """Start the incremental load over: rewind the watermark and empty bronze.
 
-    Both are reset together; rewinding only the watermark would load every
-    row again on top of the rows bronze still holds.
+    The watermark goes first: a reset that dies in between leaves the rows
+    that bronze still holds counted.
     """
-    schema = StructType(BRONZE_SCHEMA.fields + [StructField(LOAD_PARTITION, StringType())])
-    (spark.createDataFrame([], schema).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static")
-     .partitionBy(LOAD_PARTITION).parquet(bronze_path))
-    write_checkpoint(spark, checkpoint_path, dt.date.fromisoformat(DEFAULT_CHECKPOINT))
+    (spark.createDataFrame([(DEFAULT_CHECKPOINT,)], WATERMARK_SCHEMA).coalesce(1)
+     .write.mode("overwrite").parquet(checkpoint_path))
+    (spark.createDataFrame([], BRONZE_SCHEMA).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").parquet(bronze_path))
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """Bronze with its declared schema; empty (same schema) before the first load."""
-    if not exists(spark, bronze_path):
-        return spark.createDataFrame([], BRONZE_SCHEMA)
-    schema = StructType(BRONZE_SCHEMA.fields + [StructField(LOAD_PARTITION, StringType())])
-    return spark.read.schema(schema).parquet(bronze_path).select(*BRONZE_COLUMNS)
+    return _read_increments(spark, bronze_path, committed_increments(spark, bronze_path))

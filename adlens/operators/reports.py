@@ -83,9 +83,10 @@ def q05_budget_efficiency(kpis: DataFrame) -> DataFrame:
 
 
 def _audience_kpis(fact: DataFrame, dim_audience: DataFrame, keys: list[str]) -> DataFrame:
+    """Ratio KPIs by ``keys``; how the small dimension is joined is left to AQE."""
     spend = money_sum("spend")
     clicks, imps, appr = F.sum("clicks"), F.sum("impressions"), F.sum("approved_conversion")
-    return (fact.join(F.broadcast(dim_audience), "audience_id")
+    return (fact.join(dim_audience, "audience_id")
             .groupBy(*keys).agg(
                 appr.alias("conversions"),
                 R(spend, 2).alias("spend"),

@@ -11,13 +11,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from adlens.config import AGE_GROUPS, GENDERS
 from adlens.functions import money_sum, round_half_away
 
 
-def standard_audience():
-    return F.col("age").isin(*AGE_GROUPS) & F.col("gender").isin(*GENDERS)
+FACT_SCHEMA = StructType([
+    StructField("campaign_id", StringType()),
+    StructField("date", DateType()),
+    StructField("audience_id", StringType()),
+    StructField("impressions", DoubleType()),
+    StructField("clicks", LongType()),
+    StructField("spend", DoubleType()),
+    StructField("total_conversion", DoubleType()),
+    StructField("approved_conversion", DoubleType()),
+    StructField("ad_count", LongType()),
+])
+
+
+def standard_audience(ages=AGE_GROUPS, genders=GENDERS):
+    return F.col("age").isin(*ages) & F.col("gender").isin(*genders)
 
 
 def audience_id():
@@ -34,21 +48,20 @@ def dim_campaign(bronze: DataFrame) -> DataFrame:
     ))
 
 
-def dim_audience(bronze: DataFrame) -> DataFrame:
+def dim_audience(bronze: DataFrame, ages=AGE_GROUPS, genders=GENDERS) -> DataFrame:
     """One row per standard age × gender pair, keyed ``age_gender``.
 
-    At most |AGE_GROUPS| × |GENDERS| = 8 rows, whatever the data size — the
-    bound that lets joins broadcast this table.
+    At most |ages| × |genders| rows, whatever the data size.
     """
-    return (bronze.where(standard_audience())
+    return (bronze.where(standard_audience(ages, genders))
             .groupBy("age", "gender").agg(F.count(F.lit(1)).alias("_n"))
             .select(audience_id().alias("audience_id"),
                     F.col("age").alias("age_group"), "gender"))
 
 
-def fact_campaign_performance(bronze: DataFrame) -> DataFrame:
+def fact_campaign_performance(bronze: DataFrame, ages=AGE_GROUPS, genders=GENDERS) -> DataFrame:
     """Sums per campaign × date × audience; spend exact, rounded to 4 dp."""
-    return (bronze.where(standard_audience())
+    return (bronze.where(standard_audience(ages, genders))
             .groupBy("campaign_id", F.col("reporting_start").alias("date"), "age", "gender")
             .agg(F.sum("impressions").alias("impressions"),
                  F.sum("clicks").alias("clicks"),

@@ -53,8 +53,29 @@ REASON = "rejection_reason"
 
 # -- single rules -------------------------------------------------------------
 
+# Lists of more ids than this are joined as a table instead of written into the plan.
+LISTED_IDS = 100
+
+
+def with_allowed(raw: DataFrame, campaign_ids=VALID_CAMPAIGN_IDS, flag: str = "_allowed") -> DataFrame:
+    """V1: flag rows whose id is in the allowed set; NULL counts as not allowed.
+
+    ``campaign_ids`` are the ids, or a DataFrame whose first column holds them.
+    A long list becomes a join; how is left to the size Spark sees.
+    """
+    if not isinstance(campaign_ids, DataFrame):
+        ids = [str(c) for c in campaign_ids]
+        if len(ids) <= LISTED_IDS:
+            known = F.col("campaign_id").isin(*ids) if ids else F.lit(False)
+            return raw.withColumn(flag, F.coalesce(known, F.lit(False)))
+        campaign_ids = raw.sparkSession.createDataFrame([(c,) for c in ids], "id string")
+    listed = campaign_ids.select(F.col(campaign_ids.columns[0]).cast("string").alias("_listed")).distinct()
+    return (raw.join(listed, F.col("campaign_id") == F.col("_listed"), "left")
+            .withColumn(flag, F.col("_listed").isNotNull()).drop("_listed"))
+
+
 def invalid_campaign(campaign_ids=VALID_CAMPAIGN_IDS) -> Column:
-    """V1: id not in the allowed set; NULL counts as not allowed."""
+    """V1 as an expression, for a short list of ids."""
     return ~F.coalesce(F.col("campaign_id").isin(*campaign_ids), F.lit(False))
 
 
@@ -93,12 +114,12 @@ def with_duplicate_flag(raw: DataFrame, key=DEDUP_KEY, seq: str = SEQ,
 
 def with_rejection_reason(raw: DataFrame, campaign_ids=VALID_CAMPAIGN_IDS) -> DataFrame:
     """V6: one reason per row, first failing rule wins; NULL for valid rows."""
-    flagged = with_duplicate_flag(raw)
-    reason = (F.when(invalid_campaign(campaign_ids), F.lit(REASON_INVALID_CAMPAIGN))
+    flagged = with_allowed(with_duplicate_flag(raw), campaign_ids)
+    reason = (F.when(~F.col("_allowed"), F.lit(REASON_INVALID_CAMPAIGN))
               .when(null_conversion(), F.lit(REASON_NULL_CONVERSION))
               .when(negative_spend(), F.lit(REASON_NEGATIVE_SPEND))
               .when(F.col("_is_dup"), F.lit(REASON_DUPLICATE)))
-    return flagged.withColumn(REASON, reason).drop("_is_dup")
+    return flagged.withColumn(REASON, reason).drop("_is_dup", "_allowed")
 
 
 # -- split, log, summary --------------------------------------------------------
@@ -145,11 +166,9 @@ def validation_summary(checked: DataFrame, run_timestamp=None) -> DataFrame:
     )
     pct = F.when(F.col("total_rows") > 0, round_half_away(
         F.col("rejected_rows") / F.col("total_rows") * 100, 2)).otherwise(F.lit(0.0))
-    cols = [F.col("total_rows").cast("int"), F.col("valid_rows").cast("int"),
-            F.col("rejected_rows").cast("int"), pct.alias("pct_rejected")] + [
-        F.col(c).cast("int").alias(c) for c in (
+    cols = ["total_rows", "valid_rows", "rejected_rows", pct.alias("pct_rejected"),
             "reason_invalid_campaign", "reason_null_conversion",
-            "reason_negative_spend", "reason_duplicate")]
+            "reason_negative_spend", "reason_duplicate"]
     if run_timestamp is not None:
         cols.insert(0, F.lit(run_timestamp).cast("timestamp").alias("run_timestamp"))
     return agg.select(*cols)

@@ -3,10 +3,10 @@
 ``Pipeline`` composes the stages as DataFrame transformations from raw ad
 rows (here built from the ``lineitem`` test table) to every mart and report,
 so Catalyst prunes each query's plan to the columns and stages it needs.
-Three things run while a query is being built: a coarse source is spread and
-checkpointed once (``sources.raw.spread``), the per-campaign KPI table is
-checkpointed once (it feeds statistics, medians and marts), and the keys that
-name a read or write (``raw_scan``, ``monitoring_scan``, ``bronze_append``,
+Three things run while a query is being built: the per-campaign KPI table is
+checkpointed once (it feeds statistics, medians and marts), the medians write
+the counts that they rank, and the keys that name a read or write (``raw_scan``,
+``raw_short_rows``, ``monitoring_scan``, ``bronze_append``, ``*_sorted``,
 ``stream_incremental_load``) perform it in a fresh sub-folder of the shared
 work folder. Everything else runs when the caller acts on the result.
 
@@ -24,19 +24,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.config import (
+    AGE_GROUPS,
     ANOMALY_CPA_SPIKE,
     ANOMALY_CTR_DROP,
     ANOMALY_SPEND_SPIKE,
     ANOMALY_ZERO_CONVERSIONS,
     DEFAULT_CHECKPOINT,
     DEFAULT_RULES,
+    GENDERS,
+    RAW_COLUMNS,
+    VALID_CAMPAIGN_IDS,
     Rules,
 )
 from adlens.operators import anomaly, dashboard, gold, ingest, reports, silver, validate
-from adlens.plans.pipeline import Warehouse
+from adlens.functions.stats import grouped_medians
+from adlens.plans.pipeline import Warehouse, sorted_tables
 from adlens.session import fresh_dir, work_dir
-from adlens.sources.raw import SEQ, read_raw_csv
-from adlens.sources.testdata import ad_rows_from_events, ad_rows_from_lineitem
+from adlens.sources.raw import SEQ, raw_rows, read_raw_csv, scan_csv
+from adlens.sources.testdata import ad_rows_from_events, ad_rows_from_lineitem, table
 
 # the second load of the events source starts after this date
 EVENTS_CHECKPOINT = "2024-01-15"
@@ -46,10 +51,12 @@ class Pipeline:
     """Every stage of the batch pipeline as a lazily built DataFrame."""
 
     def __init__(self, raw: DataFrame, rules: Rules = DEFAULT_RULES,
-                 load_rules: str = "campaign"):
+                 load_rules: str = "campaign", campaign_ids=VALID_CAMPAIGN_IDS,
+                 ages=AGE_GROUPS, genders=GENDERS):
         self.raw = raw
         self.rules = rules
         self.load_rules = load_rules
+        self.campaign_ids, self.ages, self.genders = campaign_ids, ages, genders
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
@@ -58,12 +65,13 @@ class Pipeline:
     # validation
     @cached_property
     def checked(self) -> DataFrame:
-        return validate.with_rejection_reason(self.raw)
+        return validate.with_rejection_reason(self.raw, self.campaign_ids)
 
     # load (first load: watermark absent → every allowed row)
     @cached_property
     def new_rows(self) -> DataFrame:
-        return ingest.incremental_new_rows(self.raw, DEFAULT_CHECKPOINT, self.load_rules)
+        return ingest.incremental_new_rows(self.raw, DEFAULT_CHECKPOINT, self.load_rules,
+                                           self.campaign_ids)
 
     @property
     def bronze(self) -> DataFrame:
@@ -72,11 +80,11 @@ class Pipeline:
     # silver
     @cached_property
     def fact(self) -> DataFrame:
-        return silver.fact_campaign_performance(self.bronze)
+        return silver.fact_campaign_performance(self.bronze, self.ages, self.genders)
 
     @cached_property
     def dim_audience(self) -> DataFrame:
-        return silver.dim_audience(self.bronze)
+        return silver.dim_audience(self.bronze, self.ages, self.genders)
 
     # gold
     @cached_property
@@ -152,6 +160,44 @@ def _raw_scan(spark: SparkSession, d: str) -> DataFrame:
     return _raw_cols(read_raw_csv(spark, path))
 
 
+def _raw_short_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose last two fields are missing are written without them, other missing
+    values as ``NA``; read back, short rows are padded and tokens are missing again."""
+    path = fresh_dir(spark, "raw-short")
+    raw = _p(spark, d).raw
+    whole = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("NA")) for c in RAW_COLUMNS])
+    short = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("NA")) for c in RAW_COLUMNS[:-2]])
+    missing = F.col(RAW_COLUMNS[-2]).isNull() & F.col(RAW_COLUMNS[-1]).isNull()
+    raw.select(F.when(missing, short).otherwise(whole).alias("line")).write.text(path)
+    # the written files have no header line: the reader would take the first row for it
+    scanned = scan_csv(spark.read, path, header=False)
+    return _raw_cols(raw_rows(scanned))
+
+
+def _other_fact(spark: SparkSession, d: str) -> DataFrame:
+    """T3 of a run with other campaigns, ages and genders than the default ones."""
+    ids = spark.createDataFrame([("916",), ("45-49",)], "id string")
+    return Pipeline.from_testdata(spark, d, campaign_ids=ids, ages=("30-34", "50-54"), genders=("F",)).fact
+
+
+def _supplier_medians(spark: SparkSession, d: str) -> DataFrame:
+    """M10's exact medians over a table of many groups: price and quantity by supplier."""
+    return grouped_medians(table(spark, d, "lineitem"), ["l_suppkey"],
+                           {"l_extendedprice": "median_price", "l_quantity": "median_quantity"})
+
+
+def _sorted(which: str):
+    """One of the getters over written marts, without its run time."""
+    def q(spark, d):
+        wh, p = Warehouse(fresh_dir(spark, "sorted-marts")), _p(spark, d)
+        marts = {"kpis": ("mart_campaign_kpis", lambda: p.kpis), "summary": ("campaign_summary", lambda: p.summary),
+                 "anomalies": ("anomaly_log", lambda: p.anomalies)}
+        name, made = marts[which]
+        wh.write(made(), name)
+        return sorted_tables(spark, wh, [which])[which]
+    return q
+
+
 def _monitoring_scan(spark: SparkSession, d: str) -> DataFrame:
     """The daily mart written as a table, then scanned back in (campaign, date) order."""
     wh = Warehouse(fresh_dir(spark, "monitoring-scan"))
@@ -177,7 +223,11 @@ def _stream_load(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "raw_scan": _raw_scan,
+    "raw_short_rows": _raw_short_rows,
     "monitoring_scan": _monitoring_scan,
+    "kpis_sorted": _sorted("kpis"),
+    "summary_sorted": _sorted("summary"),
+    "anomalies_sorted": _sorted("anomalies"),
     # validation
     "reject_invalid_campaign": _rule_rows("invalid_campaign_id"),
     "reject_null_conversion": _rule_rows("null_conversion"),
@@ -198,6 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_campaign": P(lambda p: silver.dim_campaign(p.bronze)),
     "dim_audience": P(lambda p: p.dim_audience),
     "fact_campaign_performance": P(lambda p: p.fact),
+    "fact_other_campaigns": _other_fact,
     "fact_sanity": P(lambda p: silver.fact_sanity(p.fact)),
     "fact_negative_rows": P(lambda p: silver.fact_negative_rows(p.fact)),
     # gold
@@ -205,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "health_components": P(lambda p: gold.health_components(p.campaign_kpis)),
     "health_score": P(lambda p: gold.health_score(gold.health_components(p.campaign_kpis))),
     "kpi_medians": P(lambda p: gold.kpi_medians(p.campaign_kpis)),
+    "supplier_medians": _supplier_medians,
     "recommendations": P(lambda p: p.kpis),
     "campaign_monitoring": P(lambda p: p.monitoring),
     "campaign_summary": P(lambda p: p.summary),

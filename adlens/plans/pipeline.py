@@ -12,10 +12,13 @@ Passes over the big inputs:
   the duplicated keys) and one full read that writes ``validation_log``; the
   counts of the summary are observed on that full read (``Observation``), so
   the checked rows are neither cached nor read again.
-* load: one pass over the raw source (rule 1, dates, watermark) into bronze.
-* silver: the fact from bronze; ``dim_audience`` from the written fact
-  (same rows, same filter, far smaller); ``dim_campaign`` needs bronze
-  (distinct FB campaigns over all audiences) and reads three columns.
+* load: one pass over the raw source (rule 1, dates, watermark) into bronze. It
+  starts when validation has succeeded: a failed validation leaves bronze and
+  watermark as they were.
+* silver: the fact by date, and of an increment the dates it brought only (the
+  strict date filter adds no row to an earlier one); ``dim_campaign`` and
+  ``dim_audience`` from a few columns of bronze. The written fact is then checked
+  (T4, T5) and the findings are part of the report.
 * gold and anomalies read the fact and the daily mart only.
 
 Steps without a dependency between them run as concurrent Spark jobs
@@ -34,11 +37,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.config import (
+    AGE_GROUPS,
+    DEFAULT_CHECKPOINT,
     DEFAULT_RULES,
+    GENDERS,
     REASON_DUPLICATE,
     REASON_INVALID_CAMPAIGN,
     REASON_NEGATIVE_SPEND,
     REASON_NULL_CONVERSION,
+    VALID_CAMPAIGN_IDS,
     Rules,
 )
 from adlens.functions import round_half_away_value
@@ -60,11 +67,14 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
     def write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         if name == "raw_campaign_performance":
             return ingest.read_bronze(spark, self.path(name))
+        if name == "fact_campaign_performance":
+            return spark.read.schema(silver.FACT_SCHEMA).parquet(self.path(name)).select(
+                *silver.FACT_SCHEMA.fieldNames())
         return spark.read.parquet(self.path(name))
 
     def register_views(self, spark: SparkSession) -> list[str]:
@@ -88,14 +98,15 @@ class RunReport:
     timings: dict = field(default_factory=dict)
     validation: dict = field(default_factory=dict)
     load: dict = field(default_factory=dict)
+    checks: dict = field(default_factory=dict)
 
 
 def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
-                   run_ts: dt.datetime) -> dict:
+                   run_ts: dt.datetime, campaign_ids=VALID_CAMPAIGN_IDS) -> dict:
     """Stage 1: ``validation_log`` and ``validation_summary`` in one pass."""
     obs = Observation()  # unique name: concurrent runs do not collide
     r = F.col(validate.REASON)
-    checked = validate.with_rejection_reason(raw).observe(
+    checked = validate.with_rejection_reason(raw, campaign_ids).observe(
         obs,
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(r.isNull()).alias("valid_rows"),
@@ -113,30 +124,39 @@ def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
            int(m["reason_null_conversion"]), int(m["reason_negative_spend"]),
            int(m["reason_duplicate"]))
     summary = spark.createDataFrame([row], (
-        "run_timestamp timestamp, total_rows int, valid_rows int, rejected_rows int, "
-        "pct_rejected double, reason_invalid_campaign int, reason_null_conversion int, "
-        "reason_negative_spend int, reason_duplicate int"))
+        "run_timestamp timestamp, total_rows long, valid_rows long, rejected_rows long, "
+        "pct_rejected double, reason_invalid_campaign long, reason_null_conversion long, "
+        "reason_negative_spend long, reason_duplicate long"))
     wh.write(summary.coalesce(1), "validation_summary")
     return dict(zip(summary.columns, row))
 
 
-def _write_fact(spark: SparkSession, wh: Warehouse) -> None:
+def _write_fact(spark: SparkSession, wh: Warehouse, since: dt.date, ages, genders) -> None:
+    """The fact of the dates after ``since``; a first load writes all of it.
+
+    Dates that are rewritten replace their folders (dynamic overwrite), others
+    stay. The rows are few for each date, so they are gathered by date.
+    """
     bronze = wh.read(spark, "raw_campaign_performance")
-    wh.write(silver.fact_campaign_performance(bronze), "fact_campaign_performance")
+    path, first = wh.path("fact_campaign_performance"), since == dt.date.fromisoformat(DEFAULT_CHECKPOINT)
+    fact = silver.fact_campaign_performance(bronze.where(F.col("reporting_start") > F.lit(since)), ages, genders)
+    (fact.hint("rebalance", "date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if first else "dynamic").partitionBy("date").parquet(path))
 
 
 def _write_dim_campaign(spark: SparkSession, wh: Warehouse) -> None:
     wh.write(silver.dim_campaign(wh.read(spark, "raw_campaign_performance")), "dim_campaign")
 
 
-def _write_dim_audience(spark: SparkSession, wh: Warehouse) -> None:
-    # same rows and filter as the fact, so its audiences; far smaller than bronze
+def _write_dim_audience(spark: SparkSession, wh: Warehouse, ages, genders) -> None:
+    dim = silver.dim_audience(wh.read(spark, "raw_campaign_performance"), ages, genders)
+    wh.write(dim.coalesce(1), "dim_audience")
+
+
+def _check_fact(spark: SparkSession, wh: Warehouse) -> dict:
+    """T4 and T5 over the written fact: two one-row aggregates."""
     fact = wh.read(spark, "fact_campaign_performance")
-    dim_aud = (fact.select("audience_id").distinct()
-               .select("audience_id",
-                       F.split("audience_id", "_").getItem(0).alias("age_group"),
-                       F.split("audience_id", "_").getItem(1).alias("gender")))
-    wh.write(dim_aud.coalesce(1), "dim_audience")
+    return {**silver.fact_sanity(fact).first().asDict(), **silver.fact_negative_rows(fact).first().asDict()}
 
 
 def _write_campaign_kpis(spark: SparkSession, wh: Warehouse) -> None:
@@ -150,16 +170,9 @@ def _write_monitoring(spark: SparkSession, wh: Warehouse, rules: Rules) -> None:
 
 def _write_kpi_mart(spark: SparkSession, wh: Warehouse, rules: Rules,
                     run_ts: dt.datetime) -> None:
-    """The KPI mart from the written per-campaign KPIs.
-
-    The score statistics and the medians each read that table instead of
-    re-aggregating the fact, and its row count (from file metadata) decides
-    whether the medians may be taken inside one task.
-    """
+    """The KPI mart from the written per-campaign KPIs, which its statistics read as well."""
     base = wh.read(spark, "_campaign_kpis")
-    small = base.count() <= gold.MEDIAN_IN_TASK_MAX_ROWS
-    wh.write(gold.mart_from_kpis(base, rules, run_ts, medians_in_one_task=small),
-             "mart_campaign_kpis")
+    wh.write(gold.mart_from_kpis(base, rules, run_ts), "mart_campaign_kpis")
 
 
 def _write_summary(spark: SparkSession, wh: Warehouse) -> None:
@@ -196,32 +209,37 @@ def _concurrently(rep: RunReport, steps: dict) -> dict:
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str | None = None,
                  rules: Rules = DEFAULT_RULES, load_rules: str = "campaign",
-                 run_ts: dt.datetime | None = None) -> tuple[Warehouse, RunReport]:
+                 run_ts: dt.datetime | None = None, campaign_ids=VALID_CAMPAIGN_IDS,
+                 ages=AGE_GROUPS, genders=GENDERS) -> tuple[Warehouse, RunReport]:
     """All five stages; returns the warehouse and per-step timings.
 
-    Steps that read the same inputs and write different tables run as
-    concurrent jobs, in four waves ordered by what each needs:
+    ``campaign_ids`` (ids, or a table of them), ``ages`` and ``genders`` are
+    what the run allows. Steps that read the same inputs and write different
+    tables run as concurrent jobs, in waves ordered by what each needs:
 
-    1. validation (raw → log, summary)  ‖  load (raw → bronze)
-    2. fact (bronze)  ‖  dim_campaign (bronze)
-    3. dim_audience (fact)  ‖  campaign KPIs (fact)  ‖  daily mart (fact)
-    4. KPI mart (campaign KPIs)  ‖  anomaly log (daily mart); then the summary
+    1. validation (raw → log, summary)
+    2. load (raw → bronze)
+    3. fact (bronze)  ‖  dim_campaign (bronze)  ‖  dim_audience (bronze)
+    4. campaign KPIs (fact)  ‖  daily mart (fact)  ‖  checks of the fact
+    5. KPI mart (campaign KPIs)  ‖  anomaly log (daily mart); then the summary
     """
     wh = Warehouse(warehouse or fresh_dir(spark, "warehouse"))
     run_ts = run_ts or dt.datetime.now()
     rep = RunReport()
     t0 = time.perf_counter()
-    out = _concurrently(rep, {
-        "validate": lambda: run_validation(spark, raw, wh, run_ts),
+    rep.validation = _concurrently(rep, {
+        "validate": lambda: run_validation(spark, raw, wh, run_ts, campaign_ids)})["validate"]
+    rep.load = _concurrently(rep, {
         "ingest": lambda: ingest.load_increment(spark, raw, wh.bronze, wh.watermark,
-                                                run_ts, load_rules),
-    })
-    rep.validation, rep.load = out["validate"], out["ingest"]
-    _concurrently(rep, {"fact": lambda: _write_fact(spark, wh),
-                        "dim_campaign": lambda: _write_dim_campaign(spark, wh)})
-    _concurrently(rep, {"dim_audience": lambda: _write_dim_audience(spark, wh),
-                        "campaign_kpis": lambda: _write_campaign_kpis(spark, wh),
-                        "monitoring": lambda: _write_monitoring(spark, wh, rules)})
+                                                run_ts, load_rules, campaign_ids)})["ingest"]
+    since = rep.load["last_loaded"]
+    _concurrently(rep, {"fact": lambda: _write_fact(spark, wh, since, ages, genders),
+                        "dim_campaign": lambda: _write_dim_campaign(spark, wh),
+                        "dim_audience": lambda: _write_dim_audience(spark, wh, ages, genders)})
+    out = _concurrently(rep, {"campaign_kpis": lambda: _write_campaign_kpis(spark, wh),
+                              "monitoring": lambda: _write_monitoring(spark, wh, rules),
+                              "checks": lambda: _check_fact(spark, wh)})
+    rep.checks = out["checks"]
     _concurrently(rep, {"kpi_mart": lambda: _write_kpi_mart(spark, wh, rules, run_ts),
                         "anomaly": lambda: _write_anomalies(spark, wh, rules, run_ts)})
     _concurrently(rep, {"summary": lambda: _write_summary(spark, wh)})
@@ -229,6 +247,35 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str | None = No
     return wh, rep
 
 
+# The written marts and the order in which each is shown (``-``: falling)
+SHOWN = {
+    "kpis": ("mart_campaign_kpis", ["campaign_id"]),
+    "monitoring": ("mart_campaign_monitoring", ["campaign_id", "date"]),
+    "summary": ("campaign_summary", ["-health_score", "campaign_id"]),
+    "anomalies": ("anomaly_log", ["severity", "date", "campaign_id", "anomaly_type"]),
+    "validation": ("validation_summary", []),
+}
+
+
+def sorted_tables(spark: SparkSession, wh: Warehouse, names=tuple(SHOWN)) -> dict[str, DataFrame]:
+    """The written marts in the order in which they are shown."""
+    out = {}
+    for name in names:
+        mart, order = SHOWN[name]
+        keys = [F.desc_nulls_last(k[1:]) if k[0] == "-" else F.col(k) for k in order]
+        out[name] = wh.read(spark, mart).orderBy(*keys) if keys else wh.read(spark, mart)
+    return out
+
+
+def audience_table(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The audience KPIs, computed once for the datasets that share them: written and read back."""
+    from adlens.operators import dashboard as d
+    path = fresh_dir(spark, "audience-kpis")
+    d.d01_audience_kpis(wh.read(spark, "fact_campaign_performance"),
+                        wh.read(spark, "dim_audience")).coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def warehouse_reports(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
     """The 13 named queries over the written marts."""
     from adlens.operators import reports as q
@@ -262,8 +309,7 @@ def warehouse_dashboard(spark: SparkSession, wh: Warehouse) -> dict[str, DataFra
     kpis = wh.read(spark, "mart_campaign_kpis")
     mon = wh.read(spark, "mart_campaign_monitoring")
     log = wh.read(spark, "anomaly_log")
-    audience = d.d01_audience_kpis(wh.read(spark, "fact_campaign_performance"),
-                                   wh.read(spark, "dim_audience"))
+    audience = audience_table(spark, wh)
     return {
         "d01_audience_kpis": audience,
         "d02_blended_kpis": d.d02_blended_kpis(kpis),

@@ -2,8 +2,9 @@
 
 On a cluster the folder for written intermediate tables and stream
 checkpoints is the one the cluster names in ``spark.checkpoint.dir``; it
-must be shared storage. Only when that setting is absent (local tests) does
-``work_dir`` pick a fresh local folder and set it.
+must be shared storage. Only when that setting is absent and the master is
+local (tests) does ``work_dir`` pick a fresh local folder and set it; on any
+other master a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ def work_dir(spark: SparkSession) -> str:
          or spark.conf.get("spark.checkpoint.dir", None)
          or sc.getCheckpointDir())
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="adlens-work-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -83,4 +86,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(hconf).exists(p)
 
 
-__all__ = ["SPARK_CONF", "build_session", "work_dir", "fresh_dir", "exists", "local_path"]
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder, in order, asked through the cluster's file system; [] if there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+__all__ = ["SPARK_CONF", "build_session", "work_dir", "fresh_dir", "exists", "list_names", "local_path"]

@@ -1,15 +1,21 @@
 """The incremental load as a Structured Streaming job (I8).
 
 A file source tracks which input files were already read; each micro-batch
-goes through the same load as the batch path (``operators.ingest``):
-allowed campaigns, day-first dates, rows strictly newer than the watermark,
-written by dynamic partition overwrite, then the watermark. The trigger is
-``availableNow``: process everything present, then stop — a scheduled
-incremental run with streaming's file bookkeeping.
-
-A micro-batch that is replayed after a failure (the sink saw it, the
-stream's commit log did not) rewrites the same date partitions instead of
-appending them twice, and the watermark is written only after the data.
+goes through the same reading and the same load as the batch path: width
+check, missing tokens, allowed campaigns, day-first dates, rows strictly newer
+than the watermark. The trigger is ``availableNow``: process everything
+present, then stop — a scheduled incremental run with streaming's file
+bookkeeping.
+
+One run reads the watermark once, at its start, and moves it once, at its end.
+Every micro-batch is filtered against the start, so neither the order of the
+files nor how many of them a micro-batch takes changes what is loaded. Each
+micro-batch is an increment of bronze of its own, named by the stream's batch
+number; one that is replayed after a failure replaces its own folder. The start
+of a run is kept beside the stream's checkpoint until the run has ended, so a run
+that is taken up again after a crash goes on from the same start.
+
+``rules="all"`` applies rule 4 (duplicates) within each micro-batch.
 
 The daily marts use row-based windows (rolling means, ``lag``), which
 Structured Streaming does not support; they are recomputed in batch from
@@ -22,23 +28,58 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from adlens.operators.ingest import load_increment, read_bronze
-from adlens.session import fresh_dir
-from adlens.sources.raw import RAW_SCHEMA, SEQ
+from pyspark.sql import functions as F
+
+from adlens.config import VALID_CAMPAIGN_IDS
+from adlens.operators.ingest import (
+    committed_increments,
+    incremental_new_rows,
+    increment_stats,
+    read_bronze,
+    read_checkpoint,
+    write_checkpoint,
+    write_increment,
+)
+from adlens.session import exists, fresh_dir
+from adlens.sources.raw import CORRUPT, raw_rows, scan_csv
 from adlens.sources.testdata import lineitem_to_ad_rows
 
+RUNS = "at long, start string, ended boolean"
+
+
+def _record(spark: SparkSession, path: str, at: int, start: dt.date, ended: bool) -> None:
+    spark.createDataFrame([(at, start.isoformat(), ended)], RUNS).coalesce(1).write.mode("append").parquet(path)
+
+
+def _open_run(spark: SparkSession, path: str, watermark_path: str, bronze_path: str) -> tuple[int, dt.date]:
+    """Number and start of the run that did not end, or of a new one."""
+    last = None
+    if exists(spark, path):
+        last = (spark.read.schema(RUNS).parquet(path).groupBy("at", "start").agg(F.max("ended").alias("ended"))
+                .orderBy(F.col("at").desc()).first())
+    if last is not None and not last["ended"]:
+        return last["at"], dt.date.fromisoformat(last["start"])
+    at, start = (last["at"] + 1 if last is not None else 0), read_checkpoint(spark, watermark_path, bronze_path)
+    _record(spark, path, at, start, False)
+    return at, start
+
 
 def stream_incremental_load(spark: SparkSession, stream: DataFrame, bronze_path: str,
                             watermark_path: str, checkpoint_location: str,
-                            loaded_at=None, rules: str = "campaign") -> list[dict]:
+                            loaded_at=None, rules: str = "campaign",
+                            campaign_ids=VALID_CAMPAIGN_IDS) -> list[dict]:
     """Run the load over every file available now; returns one report per batch."""
     reports: list[dict] = []
     stamp = loaded_at or dt.datetime.now()
+    runs = f"{checkpoint_location.rstrip('/')}-runs"
+    at, start = _open_run(spark, runs, watermark_path, bronze_path)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        report = load_increment(spark, batch, bronze_path, watermark_path, stamp, rules)
-        reports.append({"batch_id": batch_id, **report})
+        raw = raw_rows(batch) if CORRUPT in batch.columns else batch
+        stats = write_increment(incremental_new_rows(raw, start, rules, campaign_ids),
+                                bronze_path, start, stamp, f"s{batch_id}")
+        reports.append({"batch_id": batch_id, "last_loaded": start, "inserted": stats["n"],
+                        "null_ids": stats["null_ids"]})
 
     query = (stream.writeStream
              .foreachBatch(load_batch)
@@ -46,23 +87,27 @@ def stream_incremental_load(spark: SparkSession, stream: DataFrame, bronze_path:
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+    # the latest date over the batches of this run, also those before a crash
+    prefix = f"/load_after={start.isoformat()}/batch="
+    names = [p.split(prefix)[1] for p in committed_increments(spark, bronze_path) if prefix + "s" in p]
+    dates = [d for d in (increment_stats(spark, bronze_path, start, n)["last"] for n in names) if d]
+    if dates:
+        write_checkpoint(spark, watermark_path, max(dates))
+    _record(spark, runs, at, start, True)
     return reports
 
 
 def raw_csv_stream(spark: SparkSession, source_dir: str,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Raw ad-row CSV files arriving in a folder, every column as text.
+    """Raw ad-row CSV files arriving in a folder, read as ``read_raw_csv`` reads them.
 
     ``max_files_per_trigger`` bounds each micro-batch (a large backlog is then
-    loaded in several batches instead of one). Each batch advances the
-    watermark, so with several batches a row in a later file dated at or
-    before an earlier batch's latest date is skipped, as the strict date
-    filter of the batch load skips it on a later run.
+    loaded in several batches instead of one); the rows loaded are the same.
     """
-    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.csv(source_dir)
+    return scan_csv(reader, source_dir)
 
 
 def stream_load_testdata(spark: SparkSession, sf_dir: str,
@@ -76,6 +121,6 @@ def stream_load_testdata(spark: SparkSession, sf_dir: str,
     root = fresh_dir(spark, "stream-load")
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema
     source = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/lineitem*.parquet")
-    stream_incremental_load(spark, to_raw(source).drop(SEQ), f"{root}/bronze",
+    stream_incremental_load(spark, to_raw(source), f"{root}/bronze",
                             f"{root}/watermark", f"{root}/checkpoint")
     return read_bronze(spark, f"{root}/bronze").drop("loaded_at")

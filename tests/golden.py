@@ -1,4 +1,4 @@
-"""Rows of the reference's exported tables, typed in as test fixtures.
+"""Rows of the reference's exported tables. They must equal the exports.
 
 Daily monitoring mart (34 rows):
 campaign_id, date, impressions, clicks, spend, approved_conversion, ctr_pct,

@@ -1,11 +1,12 @@
 """Incremental load: watermark, strict date filter, empty batch, replay."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from adlens.operators import ingest
-from adlens.session import fresh_dir
+from adlens.session import fresh_dir, local_path
 from tests.test_validate import ok, raw_frame
 
 TS = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -107,3 +108,53 @@ def test_increment_stats_reads_only_its_partition(spark):
         "n": 2, "last": dt.date(2017, 8, 18)}
     assert ingest.increment_stats(spark, bronze, dt.date(2017, 8, 18)) == {
         "n": 1, "last": dt.date(2017, 8, 19)}
+
+
+def test_lost_watermark_does_not_load_twice(spark):
+    root = fresh_dir(spark, "t-lost")
+    bronze, ck = f"{root}/bronze", f"{root}/ck"
+    src = raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"]))
+    ingest.load_increment(spark, src, bronze, ck, TS)
+    # the table gone, and then an empty folder in its place
+    assert ingest.load_increment(spark, src, bronze, f"{root}/other", TS)["inserted"] == 0
+    spark.createDataFrame([], "last_loaded_date string").write.parquet(f"{root}/empty")
+    assert ingest.read_checkpoint(spark, f"{root}/empty") == dt.date(1900, 1, 1)
+    assert ingest.load_increment(spark, src, bronze, f"{root}/empty", TS)["inserted"] == 0
+    assert ingest.read_bronze(spark, bronze).count() == 2
+
+
+def test_an_increment_that_died_while_writing_is_redone(spark):
+    root = fresh_dir(spark, "t-died")
+    bronze, ck = f"{root}/bronze", f"{root}/ck"
+    src = raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"]))
+    ingest.write_increment(ingest.incremental_new_rows(src, "1900-01-01"), bronze, "1900-01-01", TS)
+    os.remove(local_path(ingest.increment_path(bronze, "1900-01-01")) + "/_SUCCESS")  # not committed
+    assert ingest.read_bronze(spark, bronze).count() == 0
+    assert ingest.load_increment(spark, src, bronze, ck, TS)["inserted"] == 2
+    assert ingest.read_bronze(spark, bronze).count() == 2
+
+
+def test_a_date_filter_prunes_bronze(spark):
+    root = fresh_dir(spark, "t-prune")
+    bronze, ck = f"{root}/bronze", f"{root}/ck"
+    ingest.load_increment(spark, raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"])), bronze, ck, TS)
+    late = ingest.read_bronze(spark, bronze).where("reporting_start > date'2017-08-17'")
+    assert late.count() == 1
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reporting_start" in plan
+
+
+def test_ids_keep_their_digits(spark):
+    src = raw_frame(spark, [ok(ad_id=x) for x in ("9007199254740993", "3000000000", "12.0", "3.7", "x")])
+    ids = [r.ad_id for r in ingest.incremental_new_rows(src, "1900-01-01").collect()]
+    assert ids == [9007199254740993, 3000000000, 12, None, None]
+    root = fresh_dir(spark, "t-ids")
+    assert ingest.load_increment(spark, src, f"{root}/b", f"{root}/ck", TS)["null_ids"] == 2
+
+
+def test_a_long_list_of_campaigns_is_joined(spark):
+    src = raw_frame(spark, rows_for(["17/08/2017"], "c7") + rows_for(["17/08/2017"], "916"))
+    ids = [f"c{i}" for i in range(500)]
+    assert [r.campaign_id for r in ingest.incremental_new_rows(src, "1900-01-01", campaign_ids=ids).collect()] == ["c7"]
+    frame = spark.createDataFrame([("916",)], "id string")
+    assert [r.campaign_id for r in ingest.incremental_new_rows(src, "1900-01-01", campaign_ids=frame).collect()] == ["916"]

@@ -18,7 +18,7 @@ def kpis(spark, rows):
 
 def mart(df):
     return {r.campaign_id: r for r in
-            gold.mart_from_kpis(df, medians_in_one_task=False).collect()}
+            gold.mart_from_kpis(df).collect()}
 
 
 def test_all_equal_kpis_score_12_5(spark):

@@ -34,10 +34,12 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    """The training-data operators (op1_ to op10_, pipeline) have SQL where SQL can express them."""
+    own = {k for k in E.queries() if not (k == "pipeline" or k.startswith("op"))}
+    assert own <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF001)
     cur = con.execute(E.oracle_sql()[key])

@@ -1,13 +1,14 @@
 """Raw CSV source: all text, NA tokens, source order, over-long rows."""
 
+import os
+
 import pytest
 
 from adlens.config import RAW_COLUMNS
 from adlens.operators import validate
 from adlens.session import fresh_dir, local_path
-from adlens.sources.raw import SEQ, read_raw_csv, spread
-from adlens.sources.testdata import ad_rows_from_lineitem
-from tests.conftest import SF001
+from adlens.sources.raw import SEQ, land_raw, raw_rows, read_raw_csv
+from adlens.streaming.incremental import raw_csv_stream
 
 
 def _write(path, lines):
@@ -46,10 +47,47 @@ def test_over_long_row_stops_the_job(spark):
         read_raw_csv(spark, d).collect()
 
 
-def test_spread_only_coarse_scans(spark):
-    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    assert li.rdd.getNumPartitions() == 1
-    assert spread(li, 4).rdd.getNumPartitions() == 4
-    wide = li.repartition(8)
-    assert spread(wide, 4) is wide
-    assert ad_rows_from_lineitem(spark, SF001).count() == li.count()
+def _folder(spark, name, files):
+    d = local_path(fresh_dir(spark, name))
+    os.makedirs(d)
+    for f, lines in files.items():
+        _write(f"{d}/{f}", lines)
+    return d
+
+
+SHIFTED = "{id},17/08/2017,17/08/2017,45-49,M,10,16,17,7350,1,1.43,2,1"  # two fields lost on the way
+
+
+def test_short_rows_are_padded_and_rejected_by_name(spark):
+    d = _folder(spark, "t-csv-short", {"a.csv": [ROW.format(id="1", tc="2"), SHIFTED.format(id="2"),
+                                                 ROW.format(id="3", tc="2")]})
+    raw = read_raw_csv(spark, d)
+    rows = {r.ad_id: r for r in validate.with_rejection_reason(raw).collect()}
+    assert rows["2"].approved_conversion is None and rows["2"].total_conversion is None
+    assert rows["2"].rejection_reason == "invalid_campaign_id"
+    assert rows["1"].rejection_reason is None and rows["3"].rejection_reason is None
+
+
+def test_commas_in_quotes_are_no_fields(spark):
+    d = _folder(spark, "t-csv-quotes", {"a.csv": ['1,17/08/2017,17/08/2017,"9,1,6",1,30-34,M,15']})
+    assert [r.campaign_id for r in read_raw_csv(spark, d).collect()] == ["9,1,6"]
+
+
+def test_landed_rows_keep_their_order_as_one_number(spark):
+    files = {f"f{k}.csv": [ROW.format(id=f"{k}{i}", tc="2") for i in range(20)] for k in (3, 1, 2)}
+    raw = read_raw_csv(spark, _folder(spark, "t-csv-land", files))
+    landed = land_raw(raw, 3)
+    assert dict(landed.dtypes)[SEQ] == "bigint" and landed.columns[:-1] == list(RAW_COLUMNS)
+    want = [f"{k}{i}" for k in (1, 2, 3) for i in range(20)]
+    assert [r.ad_id for r in landed.orderBy(SEQ).collect()] == want
+    plan = validate.with_rejection_reason(landed)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_a_stream_reads_as_the_batch_does(spark):
+    d = _folder(spark, "t-csv-both", {"a.csv": [ROW.format(id="1", tc="NA"), SHIFTED.format(id="2")]})
+    path, seen = fresh_dir(spark, "t-csv-both-ck"), []
+    (raw_csv_stream(spark, d).writeStream.foreachBatch(
+        lambda b, _: seen.extend(tuple(r) for r in raw_rows(b).drop(SEQ).collect()))
+     .option("checkpointLocation", path).trigger(availableNow=True).start().awaitTermination())
+    assert sorted(seen, key=str) == sorted((tuple(r) for r in read_raw_csv(spark, d).drop(SEQ).collect()), key=str)

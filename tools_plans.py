@@ -55,7 +55,7 @@ def main():
     show("fact (T3) from bronze", silver.fact_campaign_performance(bronze))
     show("dim_campaign (T1) from bronze", silver.dim_campaign(bronze))
     show("KPI mart (M7–M12) from the written campaign KPIs",
-         gold.mart_from_kpis(base, medians_in_one_task=True))
+         gold.mart_from_kpis(base))
     show("daily monitoring mart (M13–M15) from the fact", gold.campaign_monitoring(fact))
     show("anomaly log (A1–A10) from the daily mart", anomaly.anomaly_log(mon))
     show("Q5 budget efficiency", reports.q05_budget_efficiency(kpis))
