@@ -11,12 +11,13 @@
 * I7 the new watermark is the batch's latest date, written after the data.
 
 Bronze is a set of increments. Each is a folder of its own,
-``load_after=<watermark it started from>/batch=<name>``, partitioned by
-``reporting_start``, so a filter on that date prunes folders. An increment is
-replaced as a whole and counts once its write is committed (``_SUCCESS``): a run
-that died while writing is redone and replaces its own partial output, and no
-other increment is touched. Rows are dealt by date with a rebalance, which splits
-a date that holds very many rows and joins small ones.
+``load_after=<watermark it started from>/batch=<name>``, partitioned by the month
+of ``reporting_start``: reading from a date on prunes folders, and the folders of
+a small source stay few. An increment is replaced as a whole and counts once its
+write is committed (``_SUCCESS``): a run that died while writing is redone and
+replaces its own partial output, and no other increment is touched. Rows are
+dealt by month with a rebalance, which splits a month that holds very many rows
+and joins small ones.
 
 The watermark table only ever grows by a row. What counts is the later of its
 latest readable date and the latest date that batch loads have committed to
@@ -65,6 +66,7 @@ BRONZE_SCHEMA = StructType([
 ])
 BRONZE_COLUMNS = [f.name for f in BRONZE_SCHEMA.fields]
 BATCH_LOAD = "load"
+MONTH = "month"  # partition column of bronze and of the fact: yyyy-MM
 WATERMARK_SCHEMA = "last_loaded_date string"
 
 
@@ -87,26 +89,34 @@ def committed_increments(spark: SparkSession, bronze_path: str, batch: str | Non
     return found
 
 
-def _read_increments(spark: SparkSession, bronze_path: str, paths: list[str]) -> DataFrame:
+def month_of(date):
+    return F.date_format(date, "yyyy-MM")
+
+
+def _read_increments(spark: SparkSession, bronze_path: str, paths: list[str],
+                     from_month_of: dt.date | None = None) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], BRONZE_SCHEMA)
-    places = [StructField("load_after", StringType()), StructField("batch", StringType())]
-    return (spark.read.schema(StructType(BRONZE_SCHEMA.fields + places))
-            .option("basePath", bronze_path).parquet(*paths).select(*BRONZE_COLUMNS))
+    places = [StructField(c, StringType()) for c in ("load_after", "batch", MONTH)]
+    found = (spark.read.schema(StructType(BRONZE_SCHEMA.fields + places))
+             .option("basePath", bronze_path).parquet(*paths))
+    if from_month_of is not None:
+        found = found.where(F.col(MONTH) >= F.lit(f"{from_month_of:%Y-%m}"))
+    return found.select(*BRONZE_COLUMNS)
 
 
 def read_checkpoint(spark: SparkSession, path: str, bronze_path: str | None = None) -> dt.date:
     """Last loaded date; 1900-01-01 if none. One row is read to the driver.
 
     With ``bronze_path`` the dates that batch loads have committed there count
-    as well (partition values; no file of bronze is opened).
+    as well (one column, of the load that started last).
     """
     dates = [dt.date.fromisoformat(DEFAULT_CHECKPOINT)]
     if exists(spark, path):
         day = F.try_to_date(F.col("last_loaded_date"), "yyyy-MM-dd")
         dates.append(spark.read.schema(WATERMARK_SCHEMA).parquet(path).agg(F.max(day)).first()[0])
     if bronze_path is not None:
-        loads = committed_increments(spark, bronze_path, BATCH_LOAD)
+        loads = committed_increments(spark, bronze_path, BATCH_LOAD)[-2:]  # the last may be empty
         dates.append(_read_increments(spark, bronze_path, loads).agg(F.max("reporting_start")).first()[0])
     return max(d for d in dates if d is not None)
 
@@ -194,9 +204,9 @@ def write_increment(new_rows: DataFrame, bronze_path: str, last_loaded, loaded_a
     no whole number}``, read back from the increment itself.
     """
     spark, path = new_rows.sparkSession, increment_path(bronze_path, last_loaded, batch)
-    (stamp(new_rows, loaded_at).hint("rebalance", "reporting_start")
+    (stamp(new_rows, loaded_at).withColumn(MONTH, month_of("reporting_start")).hint("rebalance", MONTH)
      .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("reporting_start").parquet(path))
+     .partitionBy(MONTH).parquet(path))
     return _stats(spark, bronze_path, last_loaded, batch)
 
 
@@ -245,6 +255,9 @@ def reset_load(spark: SparkSession, bronze_path: str, checkpoint_path: str) -> N
      .option("partitionOverwriteMode", "static").parquet(bronze_path))
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Bronze with its declared schema; empty (same schema) before the first load."""
-    return _read_increments(spark, bronze_path, committed_increments(spark, bronze_path))
+def read_bronze(spark: SparkSession, bronze_path: str, from_month_of: dt.date | None = None) -> DataFrame:
+    """Bronze with its declared schema; empty (same schema) before the first load.
+
+    ``from_month_of`` leaves out the folders of months before that date's.
+    """
+    return _read_increments(spark, bronze_path, committed_increments(spark, bronze_path), from_month_of)

@@ -15,8 +15,8 @@ Passes over the big inputs:
 * load: one pass over the raw source (rule 1, dates, watermark) into bronze. It
   starts when validation has succeeded: a failed validation leaves bronze and
   watermark as they were.
-* silver: the fact by date, and of an increment the dates it brought only (the
-  strict date filter adds no row to an earlier one); ``dim_campaign`` and
+* silver: the fact by month, and of an increment the months it touched only (the
+  strict date filter adds no row to an earlier date); ``dim_campaign`` and
   ``dim_audience`` from a few columns of bronze. The written fact is then checked
   (T4, T5) and the findings are part of the report.
 * gold and anomalies read the fact and the daily mart only.
@@ -132,16 +132,16 @@ def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
 
 
 def _write_fact(spark: SparkSession, wh: Warehouse, since: dt.date, ages, genders) -> None:
-    """The fact of the dates after ``since``; a first load writes all of it.
+    """The fact from the month of ``since`` on; a first load writes all of it.
 
-    Dates that are rewritten replace their folders (dynamic overwrite), others
-    stay. The rows are few for each date, so they are gathered by date.
+    An increment brings dates after ``since`` only, so months before it stay;
+    the others are computed anew and replace their folders (dynamic overwrite).
     """
-    bronze = wh.read(spark, "raw_campaign_performance")
+    bronze = ingest.read_bronze(spark, wh.bronze, since)
     path, first = wh.path("fact_campaign_performance"), since == dt.date.fromisoformat(DEFAULT_CHECKPOINT)
-    fact = silver.fact_campaign_performance(bronze.where(F.col("reporting_start") > F.lit(since)), ages, genders)
-    (fact.hint("rebalance", "date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "static" if first else "dynamic").partitionBy("date").parquet(path))
+    fact = silver.fact_campaign_performance(bronze, ages, genders)
+    (fact.withColumn(ingest.MONTH, ingest.month_of("date")).hint("rebalance", ingest.MONTH).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if first else "dynamic").partitionBy(ingest.MONTH).parquet(path))
 
 
 def _write_dim_campaign(spark: SparkSession, wh: Warehouse) -> None:

@@ -66,8 +66,7 @@ def test_scan_prunes_columns(spark, warehouse):
     df = silver.dim_campaign(wh.read(spark, "raw_campaign_performance"))
     plan = df._jdf.queryExecution().sparkPlan().toString()
     schema = plan.split("ReadSchema: ")[1].split("\n")[0]
-    # reporting_start is the partition column: it comes from the folders' names
-    assert schema == "struct<campaign_id:string,fb_campaign_id:string>"
+    assert schema == "struct<reporting_start:date,campaign_id:string,fb_campaign_id:string>"
 
 
 def test_rerun_on_same_warehouse_adds_nothing(spark, warehouse):
@@ -99,3 +98,21 @@ def test_dashboard_over_warehouse(spark, warehouse):
     wh, _ = warehouse
     for name, df in warehouse_dashboard(spark, wh).items():
         assert rows(df) == rows(QUERIES[name](spark, SF001)), name
+
+
+def test_increments_equal_a_full_build(spark):
+    """Two loads, the second from the middle of a month on, against one load of all rows."""
+    import datetime as dt
+
+    from tests.test_ingest import rows_for
+    from tests.test_validate import raw_frame
+    days = ["17/07/2017", "17/08/2017", "18/08/2017", "19/08/2017", "02/09/2017"]
+    all_rows = raw_frame(spark, rows_for(days))
+    ts = dt.datetime(2024, 1, 1)
+    wh, _ = run_pipeline(spark, raw_frame(spark, rows_for(days[:3])), run_ts=ts)
+    wh, rep = run_pipeline(spark, all_rows, wh.root, run_ts=ts)
+    whole, full = run_pipeline(spark, all_rows, run_ts=ts)
+    assert rep.load["inserted"] == 2 and full.load["inserted"] == 5
+    for name in ("fact_campaign_performance", "mart_campaign_kpis", "mart_campaign_monitoring", "dim_campaign"):
+        assert rows(wh.read(spark, name), ["last_updated"]) == rows(whole.read(spark, name), ["last_updated"]), name
+    assert rep.checks == full.checks and rep.checks["negative_rows"] == 0
