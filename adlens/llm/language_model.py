@@ -286,17 +286,27 @@ TEXT = ["high", "end", "tokens", "ranks", "lengths", "held"]  # what Pairs needs
 LEVELS = 4  # steps of a factor 2 in which a weight is sent, as one byte
 
 
-def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: int, seed: int, weigh) -> DataFrame:
-    """Answers of kind 1 (counts and tables of each chunk's pairs) and sums by word of kind 2.
-
-    ``weigh(pairs, answers)`` gives log2 of the weight of a new table for each pair.
+def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: int, seed: int, weigh,
+                 again: bool = False) -> DataFrame:
+    """Answers of kind 1 (counts and tables of each chunk's pairs) and sums by word.
+
+    The sums are of kind 2 by context and 3 by word, over the pairs of two
+    customers or more, and 5 and 6 over those of one, who always sits alone.
+    ``weigh(pairs, answers)`` gives log2 of the weight of a new table for each
+    pair. ``again`` is for later sweeps, in which only pairs of two customers or
+    more have anything to sample; the first sweep's counts are then among the
+    answers.
     """
     def ask(row: dict, got: pa.Table) -> pa.Table:
         p = Pairs(row, buckets)
         level = np.clip(np.rint((weigh(p, got) + 48) * LEVELS), 0, 255).astype(np.uint8)[p.order]
-        counts, key = p.train_counts().astype(np.int32)[p.order], p.key[p.order]
+        counts, key, cuts = p.train_counts().astype(np.int32)[p.order], p.key[p.order], p.cuts
+        if again:
+            keep = joined(got, 1, "a", np.int32) >= 2
+            level, counts, key = level[keep], counts[keep], key[keep]
+            cuts = np.concatenate(([0], np.cumsum(keep)))[cuts]
         out = []
-        for k, (i, j) in enumerate(zip(p.cuts, p.cuts[1:])):
+        for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
             if i < j:
                 u, w = upper(key[i:j]), key[i:j] & np.uint64(0xFFFFFFFF)
                 out.append((k, row["chunk"], 1, pack_ascending(u),
@@ -324,10 +334,11 @@ def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: i
         seated = np.stack([c, *tables]).astype(np.int32)
         out = [(dest, chunk, 1, *(pack(x) for x in (seated[0, at[i:j]], seated[1:, at[i:j]])), None)
                for chunk, i, j in zip(rows.column("chunk").to_pylist(), ends, ends[1:])]
-        some = c > 0
-        for kind, word in ((2, upper(key[some])), (3, key[some] & np.uint64(0xFFFFFFFF))):
-            distinct, where = np.unique(word, return_inverse=True)
-            sums = np.stack([np.bincount(where, weights=t[some], minlength=len(distinct)) for t in tables]
+        high, low = upper(key), key & np.uint64(0xFFFFFFFF)
+        for kind, word, some, drawn in ((2, high, c > 1, tables), (3, low, c > 1, tables),
+                                        (5, high, c == 1, [c]), (6, low, c == 1, [c])):
+            distinct, where = np.unique(word[some], return_inverse=True)
+            sums = np.stack([np.bincount(where, weights=t[some], minlength=len(distinct)) for t in drawn]
                             ).astype(np.int32)
             cuts = word_cuts(distinct, buckets)
             out += [(k, None, kind, pack_ascending(distinct[i:j]), pack(sums[:, i:j]), None)
@@ -350,13 +361,16 @@ def parent_seating(chunks: DataFrame, seated: DataFrame, buckets: int, samples:
 
     def answer(rows: pa.Table) -> pa.Table:
         dest = rows.column("dest")[0].as_py()
-        parts: dict[int, list] = {2: [], 3: [], 4: []}
+        parts: dict[int, list] = {k: [] for k in range(2, 7)}
         for chunk, kind, a, b in zip(*(rows.column(x).to_pylist() for x in ("chunk", "kind", "a", "b"))):
             parts[kind].append((chunk, a, b))
         sums = {}
         for kind in (2, 3):
-            keys = [unpack_ascending(a) for _, a, _ in parts[kind]]
-            values = [unpack(b, np.int32).reshape(samples, -1) for _, _, b in parts[kind]]
+            rows_of = parts[kind] + parts[kind + 3]  # the ones alone are the same in each sample
+            keys = [unpack_ascending(a) for _, a, _ in rows_of]
+            values = [np.broadcast_to(x, (samples, x.shape[1])) for x in
+                      (unpack(b, np.int32).reshape(samples if k < len(parts[kind]) else 1, -1)
+                       for k, (_, _, b) in enumerate(rows_of))]
             per = [add_up(keys, [x[s] for x in values]) for s in range(samples)]
             sums[kind] = (per[0][0], np.stack([x[1] for x in per]))
         rng = np.random.default_rng([seed, 1, dest])
@@ -378,7 +392,7 @@ def parent_seating(chunks: DataFrame, seated: DataFrame, buckets: int, samples:
         return message_table([*out, (dest, None, 9, totals.tobytes(), None, None)])
 
     asks = chunks.select("chunk", "high").mapInArrow(ask, MESSAGES)
-    both = asks.unionByName(seated.where("kind in (2, 3)"))
+    both = asks.unionByName(seated)
     answers = stored(both.groupBy("dest").applyInArrow(answer, MESSAGES), "lm-parent")
     totals = totals_of(answers, np.float64, 2 * samples)
     return answers.where("kind = 4"), totals[:samples], totals[samples:]
@@ -425,9 +439,12 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
     weigh, answers, drawn = from_counts, counts, 1
     for sweep in range(sweeps):
         drawn = samples if sweep == sweeps - 1 else 1
-        seated = pair_seating(chunks, answers, buckets, drawn, seed + 10 * sweep, weigh)
+        seated = pair_seating(chunks, answers, buckets, drawn, seed + 10 * sweep, weigh, sweep > 0)
+        if sweep == 0:
+            first = seated
+        sums = seated.where("kind in (2, 3)").unionByName(first.where("kind in (5, 6)"))
         release(chunks.sparkSession)
-        parent, customers, tables = parent_seating(chunks, seated, buckets, drawn, seed + 10 * sweep, v)
+        parent, customers, tables = parent_seating(chunks, sums, buckets, drawn, seed + 10 * sweep, v)
 
         def from_sweep(p: Pairs, got: pa.Table, customers=customers, tables=tables, drawn=drawn) -> np.ndarray:
             seats = joined(got, 4, "a", np.float32).reshape(-1, drawn)[:, 0].astype(np.float64)
@@ -435,7 +452,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
             p0 = root_probability(mass, customers[0], tables[0], v)
             return np.log2(STRENGTH + DISCOUNT * seats[p.u]) + np.log2(p0[p.w])
 
-        weigh, answers = from_sweep, parent
+        weigh, answers = from_sweep, parent.unionByName(first.where("kind = 1"))
         release(chunks.sparkSession)
 
     def score(row: dict, got: pa.Table) -> pa.Table:
@@ -443,11 +460,15 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
         c = joined(got, 0, "a", np.int64)
         seats = joined(got, 4, "a", np.float32).reshape(-1, drawn).astype(np.float64)
         mass = joined(got, 4, "b", np.float32).reshape(-1, drawn).astype(np.float64)
-        found = sorted((d, a, b) for d, k, a, b in zip(*(got.column(x).to_pylist() for x in ("dest", "kind", "a", "b")))
-                       if k == 1)
+        dealt = joined(got, 1, "a", np.int32)
+        sat = np.tile(np.minimum(dealt, 1), (drawn, 1))
+        last = sorted((d, b) for d, k, b in zip(*(got.column(x).to_pylist() for x in ("dest", "kind", "b"))) if k == 7)
+        if last:  # of all pairs after one sweep, else of those of two customers or more
+            drawn_tables = np.concatenate([unpack(b, np.int32).reshape(drawn, -1) for _, b in last], axis=1)
+            sat[:, dealt >= 2 if sweeps > 1 else slice(None)] = drawn_tables
         seen, at_tables = np.zeros(len(p.key)), np.zeros((drawn, len(p.key)))
-        seen[p.order] = np.concatenate([unpack(a, np.int32) for _, a, _ in found])
-        at_tables[:, p.order] = np.concatenate([unpack(b, np.int32).reshape(drawn, -1) for _, _, b in found], axis=1)
+        seen[p.order] = dealt
+        at_tables[:, p.order] = sat
         chance = np.zeros(len(p.key))
         for s in range(drawn):
             p0 = root_probability(mass[:, s], customers[s], tables[s], v)
@@ -465,7 +486,8 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
                          pa.array(per(logs[p.pair]))],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    final = counts.unionByName(seated.where("kind = 1")).unionByName(parent)
+    last_seats = seated.where("kind = 1").withColumn("kind", F.lit(7))
+    final = counts.unionByName(first.where("kind = 1")).unionByName(last_seats).unionByName(parent)
     return by_chunk(chunks.select("chunk", "doc_id", *TEXT), final, score, SCORED)
 
 
