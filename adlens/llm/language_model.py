@@ -64,7 +64,7 @@ MESSAGES = "dest bigint, chunk bigint, kind int, a binary, b binary, c binary"
 
 
 def pack(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x).tobytes())
 
 
 def unpack(b: bytes, dtype) -> np.ndarray:
@@ -442,6 +442,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
         seated = pair_seating(chunks, answers, buckets, drawn, seed + 10 * sweep, weigh, sweep > 0)
         if sweep == 0:
             first = seated
+            customers_of = seated.where("kind = 1").withColumn("b", F.lit(None).cast("binary"))
         sums = seated.where("kind in (2, 3)").unionByName(first.where("kind in (5, 6)"))
         release(chunks.sparkSession)
         parent, customers, tables = parent_seating(chunks, sums, buckets, drawn, seed + 10 * sweep, v)
@@ -452,7 +453,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
             p0 = root_probability(mass, customers[0], tables[0], v)
             return np.log2(STRENGTH + DISCOUNT * seats[p.u]) + np.log2(p0[p.w])
 
-        weigh, answers = from_sweep, parent.unionByName(first.where("kind = 1"))
+        weigh, answers = from_sweep, parent.unionByName(customers_of)
         release(chunks.sparkSession)
 
     def score(row: dict, got: pa.Table) -> pa.Table:
@@ -487,7 +488,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     last_seats = seated.where("kind = 1").withColumn("kind", F.lit(7))
-    final = counts.unionByName(first.where("kind = 1")).unionByName(last_seats).unionByName(parent)
+    final = counts.unionByName(customers_of).unionByName(last_seats).unionByName(parent)
     return by_chunk(chunks.select("chunk", "doc_id", *TEXT), final, score, SCORED)
 
 
