@@ -4,12 +4,17 @@ A message is parsed into blocks of lines of one quote level (the number of
 leading ``>`` marks); blank lines and changes of level end a block. Level 0 is
 the author's own text, level 1 what is quoted, level 2 what that quoted. Each
 block, and each line of a longer block, is normalised (lower case, single
-spaces) and hashed to 128 bits. Quoted passages are joined to the earliest
-message that has the passage as own text; an original's passages are reduced
-to one row a hash first, so a passage that very many messages share links each
-quote to one row, not to all. Of a message's links those of the lowest level
-win, then the original with the most quoted words in whole blocks, then in
-single lines, then the earliest: that is its parent, always an earlier message.
+spaces) and hashed to 128 bits, alone and with what it answers: the nearest
+block one level deeper, with that block's own, and so on (1, 2, 4, ... levels
+deep). The blocks of a level are also taken together. Quoted passages are
+joined to messages that have the passage as own text, by each of these hashes;
+the deepest that matches counts, so a text that many messages share links to
+the one that answered the same. Originals are reduced to one row a hash first
+(the earliest), so a quote links to one row, not to all. Of a message's links
+those of the lowest level win, then the original with the most quoted words in
+whole blocks, then in single lines, then the earliest: that is its parent,
+always an earlier message. Only originals that are alike in all that the quote
+shows of them cannot be told apart; the earliest stands for them.
 
 Parents make trees. Roots and depths come from pointer doubling, which needs
 the logarithm of the deepest thread in rounds; the order within each
@@ -43,8 +48,10 @@ MARKS = re.compile(r"(?: ?>)+ ?")
 INTRODUCTIONS = ("wrote:", "writes:", "schrieb:", "a écrit :", "escribió:")
 MIN_LINE_WORDS = 3
 
-PASSAGE = pa.struct([("level", pa.int32()), ("whole", pa.bool_()), ("words", pa.int64()), ("hash", pa.binary())])
-PARSED = ("_row bigint, own string, passages array<struct<level:int, whole:boolean, words:bigint, hash:binary>>")
+PASSAGE = pa.struct([("level", pa.int32()), ("whole", pa.bool_()), ("words", pa.int64()),
+                     ("keys", pa.list_(pa.binary()))])
+PARSED = ("_row bigint, own string, passages array<struct<level:int, whole:boolean, words:bigint, keys:array<binary>>>")
+NOTHING = bytes(16)  # stands for what a text answers that quotes nothing
 
 
 def blocks(text: str) -> list[tuple[int, list[str]]]:
@@ -72,22 +79,67 @@ def blocks(text: str) -> list[tuple[int, list[str]]]:
     return out
 
 
-def passage(level: int, whole: bool, lines: list[str]) -> dict:
-    words = " ".join(lines).lower().split()
+def text_words(lines: list[str]) -> list[str]:
+    return " ".join(lines).lower().split()
+
+
+def words_hash(words: list[str]) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(words).encode())
+
+
+def passage(level: int, whole: bool, words: list[str], answers: list[bytes]) -> dict:
+    """``keys``: the hash of the words, then with what they answer, ever deeper."""
+    alone = words_hash(words)
     return {"level": level, "whole": whole, "words": len(words),
-            "hash": xxhash.xxh3_128_digest(" ".join(words).encode())}
+            "keys": [alone, *[xxhash.xxh3_128_digest(alone + x) for x in answers]]}
+
+
+def chain(at: int | None, deeper: dict[int, int], hashes: dict[int, bytes]) -> list[bytes]:
+    """Hashes of what stands at ``at`` and ``deeper`` from there, over 1, 2, 4, ... steps."""
+    if at is None:
+        return [NOTHING]
+    out, so_far, steps = [], b"", 0
+    while at is not None:
+        so_far, steps = xxhash.xxh3_128_digest(so_far + hashes[at]), steps + 1
+        if steps & (steps - 1) == 0:
+            out.append(so_far)
+        at = deeper.get(at)
+    return out
+
+
+def answered(levels: list[int]) -> dict[int, int]:
+    """For each block the nearest one a level deeper: the last ahead of it, else the first behind it."""
+    out: dict[int, int] = {}
+    for order in (range(len(levels)), range(len(levels) - 1, -1, -1)):
+        last: dict[int, int] = {}
+        for k in order:
+            if levels[k] + 1 in last:
+                out.setdefault(k, last[levels[k] + 1])
+            last[levels[k]] = k
+    return out
 
 
 def parse(text: str | None) -> tuple[str, list[dict]]:
     """The own text and the passages of all levels."""
-    own, found = [], []
-    for level, lines in blocks(text or ""):
+    own, found, parts = [], [], blocks(text or "")
+    deeper = answered([level for level, _ in parts])
+    words = [text_words(lines) for _, lines in parts]
+    hashes = {k: words_hash(w) for k, w in enumerate(words)}
+    together: dict[int, list[int]] = {}
+    for k, (level, lines) in enumerate(parts):
         if level == 0:
             own.append("\n".join(lines))
-        found.append(passage(level, True, lines))
+        together.setdefault(level, []).append(k)
+        answers = chain(deeper.get(k), deeper, hashes)
+        found.append(passage(level, True, words[k], answers))
         if len(lines) > 1:
-            single = [passage(level, False, [x]) for x in lines]
+            single = [passage(level, False, text_words([x]), answers) for x in lines]
             found.extend(p for p in single if p["words"] >= MIN_LINE_WORDS)
+    joined = {level: [w for k in at for w in words[k]] for level, at in together.items()}
+    hashes, deeper = {n: words_hash(w) for n, w in joined.items()}, {n: n + 1 for n in joined if n + 1 in joined}
+    for level, at in together.items():  # a level of several blocks, or that answers several
+        if len(at) > 1 or len(together.get(level + 1, ())) > 1:
+            found.append(passage(level, True, joined[level], chain(deeper.get(level), deeper, hashes)))
     return "\n\n".join(own), found
 
 
@@ -105,10 +157,13 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 def parents(read: DataFrame) -> DataFrame:
     """``_row, parent, parent_id`` of messages that quote an earlier one; ``read``: _row, id, passages."""
-    one = read.select("_row", "id", F.explode("passages").alias("p")).select("_row", "id", "p.*")
-    originals = one.where("level = 0 and id is not null").groupBy("hash").agg(
+    one = read.select("_row", "id", F.posexplode("passages").alias("n", "p")).select("_row", "id", "n", "p.*")
+    one = one.select("*", F.posexplode("keys").alias("depth", "key")).drop("keys")
+    originals = one.where("level = 0 and id is not null").groupBy("key").agg(
         F.min("id").alias("parent_id"), F.min_by("_row", "id").alias("parent"))
-    links = one.where("level > 0").join(originals, "hash").where("parent_id < id")
+    found = F.struct("level", "whole", "words", "parent", "parent_id")
+    links = one.where("level > 0").join(originals, "key").where("parent_id < id").groupBy("_row", "n").agg(
+        F.max_by(found, "depth").alias("l")).select("_row", "l.*")
     each = links.groupBy("_row", "level", "parent", "parent_id").agg(
         F.sum(F.when(F.col("whole"), F.col("words")).otherwise(0)).alias("in_blocks"), F.sum("words").alias("in_all"))
     rank = F.struct(-F.col("level"), "in_blocks", "in_all", -F.col("parent_id"), "parent")

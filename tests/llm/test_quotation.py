@@ -73,6 +73,46 @@ def test_hot_passage(spark):
     assert [got[k][1] for k in range(100, 300)] == list(range(1, 201))
 
 
+def test_shared_texts_link_by_what_they_answer(spark):
+    got = linked(spark, [
+        (1, "a", "Do you want tea?"),
+        (2, "a", "Do you want coffee?"),
+        (3, "u", "> Do you want tea?\nyes, please"),
+        (4, "u", "> Do you want coffee?\nyes, please"),
+        (5, "a", "> > Do you want tea?\n> yes, please\nHere is tea"),
+        (6, "a", "> > Do you want coffee?\n> yes, please\nHere is coffee"),
+        (7, "u", "yes, please"),
+        (8, "a", "> yes, please\nYes what?"),  # quoted nothing, as 7 did
+        (9, "u", "yes, please\n\n> Do you want coffee?"),  # the answer on top
+        (10, "a", "Good\n\n> yes, please\n> > Do you want coffee?"),
+        (11, "u", "> Do you want tea?\nno thanks\n\nKind regards of the whole team"),
+        (12, "u", "> Do you want tea?\nwith milk\n\nKind regards of the whole team"),
+        (13, "a", "> > Do you want tea?\n> with milk\n>\n> Kind regards of the whole team\nMilk is out"),
+    ])
+    assert {k: v[2] for k, v in got.items()} == {
+        1: None, 2: None, 3: 1, 4: 2, 5: 3, 6: 4, 7: None, 8: 7, 9: 2, 10: 4, 11: 1, 12: 1, 13: 12}
+
+
+def test_deeper_quotes_tell_apart(spark):
+    """Two threads share two texts in a row; only the third level differs."""
+    rows = []
+    for k, first in enumerate(("one of them", "the other one")):
+        said = [first, "go on", "and then?", f"the end of {first}"]
+        rows += [(10 * k + n, "u", "".join("> " * d + said[n - d] + "\n" for d in range(n, 0, -1)) + said[n])
+                 for n in range(4)]
+    assert {k: v[2] for k, v in linked(spark, rows).items()} == {
+        10 * k + n: 10 * k + n - 1 if n else None for k in (0, 1) for n in range(4)}
+
+
+def test_hot_turn_keeps_its_conversation(spark):
+    """A third of all turns say the same in answer to different turns."""
+    talks = [(c, n, "u", "yes, please" if n == 1 else f"turn {n} of talk {c}") for c in range(60) for n in range(3)]
+    out = link_quotations(mails(spark.createDataFrame(talks, "conv_id long, turn long, role string, text string")))
+    for r in out.collect():
+        talk, turn = divmod(r["msg_id"], 1_000_000)
+        assert (r["conversation_id"], r["position"], r["depth"]) == (talk * 1_000_000, turn, turn)
+
+
 def test_empty(spark):
     assert link_quotations(spark.createDataFrame([], SCHEMA)).collect() == []
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
