@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adlens.llm.importance import best_cut, resample
 
@@ -14,6 +15,18 @@ def test_follows_the_labels(spark, small):
     assert bad.where("not kept").count() >= 0.95 * bad.count()
 
 
+def test_few_labels(spark):
+    """Good documents without a label stay, however few labels there are."""
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    learned = F.expr("pmod(xxhash64(doc_id), 20) = 0")
+    rows = resample(spark.read.parquet(f"{d}/documents.parquet"), labels.where(learned))
+    seen = rows.join(labels.where(~learned), "doc_id")
+    good, bad = seen.where("quality = 1 and toxic = 0"), seen.where("quality = 0")
+    rates = good.where("kept").count() / good.count(), bad.where("not kept").count() / bad.count()
+    assert rates[0] >= 0.95 and rates[1] >= 0.85, rates
+
+
 def test_is_gumbel_top_k(spark, small):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = resample(small, labels).collect()
