@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
+from adlens.llm.alignment import op13_cross_tokenizer_alignment
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from adlens.llm.importance import op3_quality_classifier
 from adlens.llm.language_id import op5_language_id
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_dedup": op10_near_dedup,
+    "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 ORACLE_SQL = {
     "op2_quality_rules": OP2_SQL,
