@@ -2,6 +2,7 @@
 
 from adlens.llm.alignment import op13_cross_tokenizer_alignment
 from adlens.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from adlens.llm.extraction import op11_html_extraction
 from adlens.llm.importance import op3_quality_classifier
 from adlens.llm.language_id import op5_language_id
 from adlens.llm.language_model import op7_lm_scoring
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_dedup": op10_near_dedup,
+    "op11_html_extraction": op11_html_extraction,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 ORACLE_SQL = {
