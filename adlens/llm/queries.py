@@ -6,6 +6,7 @@ from adlens.llm.extraction import op11_html_extraction
 from adlens.llm.importance import op3_quality_classifier
 from adlens.llm.language_id import op5_language_id
 from adlens.llm.language_model import op7_lm_scoring
+from adlens.llm.lexical_search import OP12_SQL, op12_lexical_search
 from adlens.llm.mixing import op4_mixing
 from adlens.llm.near_dedup import op10_near_dedup
 from adlens.llm.quality_rules import OP2_SQL, op2_quality_rules
@@ -25,9 +26,11 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_near_dedup": op10_near_dedup,
     "op11_html_extraction": op11_html_extraction,
+    "op12_lexical_search": op12_lexical_search,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 ORACLE_SQL = {
     "op2_quality_rules": OP2_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
