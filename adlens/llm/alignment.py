@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -48,6 +49,10 @@ from adlens.llm.common import stored, table
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
+# Fixed value: how byte-level vocabularies of this kind part a text ahead of merging.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_TEXT = 20_000  # characters; in longer texts, where they have a long run, the general library applies A
+LONG_RUN = re.compile(r"(?:^|\s)\S{1000}|\s{200}")
 CHUNK_BYTES = 4 << 20
 LANE = 1024       # tokens of A after which a long text goes on in a lane of its own
 EXPANDED = 4096   # links up to which a group's pairs are written out one by one
@@ -64,42 +69,64 @@ def byte_letters() -> dict[str, int]:
 
 
 class Encoders:
-    """Both tokenizers with the bytes of each id, made once in a task from the files' contents."""
+    """Both tokenizers with the bytes of each id, made once in a task from the files' contents.
+
+    Where A's merges are in the order of its ids (the file says so), ``tiktoken`` applies
+    the same vocabulary several times faster; texts with very long runs, and other
+    vocabularies, go to ``tokenizers``. The ids are the same.
+    """
 
     def __init__(self, byte_bpe: bytes, piece_bpe: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_buffer(byte_bpe)
-        self.a.encode_special_tokens = True
         letters, spec = byte_letters(), json.loads(byte_bpe)
-        entries = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        plain = spec["model"]["vocab"]
-        size = max([*plain.values(), *entries.values()]) + 1
-        self.bytes_a = [b""] * size
+        plain, special = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.bytes_a = [b""] * (max([*plain.values(), *special.values()]) + 1)
         for token, i in plain.items():
             self.bytes_a[i] = bytes(letters[c] for c in token)
-        for token, i in entries.items():
+        ranks = {x: i for i, x in enumerate(self.bytes_a) if x}
+        for token, i in special.items():
             self.bytes_a[i] = token.encode()
+        self.file_a, self.general, self.fast = byte_bpe, None, None
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        pre, first = spec["pre_tokenizer"], len(plain) - len(pairs)
+        if (spec["normalizer"] is None and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
+                and all(plain.get("".join(p)) == first + k for k, p in enumerate(pairs))):
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("a", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
         self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
                         else self.b.id_to_piece(i).replace(SPACE_MARK, " ").encode()
                         for i in range(self.b.get_piece_size())]
         self.size_a, self.size_b = (np.array([len(x) for x in v], np.int64) for v in (self.bytes_a, self.bytes_b))
         # an id as text with the sign behind it: within a side, before the links' other side, behind the group
-        self.text_a = [f"{i}{sign}" for sign in ",|" for i in range(len(self.bytes_a))]
-        self.text_b = [f"{i}{sign}" for sign in ",;" for i in range(len(self.bytes_b))]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B, a list for each text; both empty where a side does not spell the text."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for k, text in enumerate(texts):
-            raw = b" " + text.encode()
-            if not text or (b"".join(map(self.bytes_a.__getitem__, a[k])) != raw
-                            or b"".join(map(self.bytes_b.__getitem__, b[k])) != raw):
-                a[k] = b[k] = []
+        self.texts = [f"{i}{sign}" for n, signs in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
+                      for sign in signs for i in range(n)]
+
+    def ids_a(self, text: str) -> list[int]:
+        if self.fast and (len(text) <= LONG_TEXT or not LONG_RUN.search(text)):
+            return self.fast.encode_ordinary(text)
+        if not self.general:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
+            from tokenizers import Tokenizer
+
+            self.general = Tokenizer.from_buffer(self.file_a)
+            self.general.encode_special_tokens = True
+        return self.general.encode(text, add_special_tokens=False).ids
+
+    def encode(self, texts: list[str]) -> tuple[list, list]:
+        """Ids of A and of B, int32 for each text; both empty where a side does not spell the text."""
+        none = np.zeros(0, np.int32)
+        a, b = [], []
+        for at in range(0, len(texts), 64):  # few at once: lists of ids take much room
+            some = texts[at:at + 64]
+            for text, pieces in zip(some, self.b.encode(some, num_threads=1)):
+                raw, ids = b" " + text.encode(), self.ids_a(" " + text) if text else []
+                spelt = text and (b"".join(map(self.bytes_a.__getitem__, ids)) == raw
+                                  and b"".join(map(self.bytes_b.__getitem__, pieces)) == raw)
+                a.append(np.array(ids, np.int32) if spelt else none)
+                b.append(np.array(pieces, np.int32) if spelt else none)
         return a, b
 
 
@@ -162,46 +189,47 @@ def link_pairs(groups: np.ndarray, doc: np.ndarray, a: np.ndarray, b: np.ndarray
     """
     n_a, n_b = groups[:, 1] - groups[:, 0], groups[:, 3] - groups[:, 2]
     small = n_a * n_b <= EXPANDED
-    g, d = groups[small], doc[small]
-    links = n_a[small] * n_b[small]
+    g, d, links = groups[small], doc[small], (n_a * n_b)[small]
     owner = np.repeat(np.arange(len(g)), links)
     inside = np.arange(links.sum()) - np.repeat(np.cumsum(links) - links, links)
     at_a = g[owner, 0] + inside // n_b[small][owner]
     at_b = g[owner, 2] + inside % n_b[small][owner]
-    docs, pairs, times = [d[owner]], [a[at_a] * width + b[at_b]], [np.ones(len(owner), np.int64)]
+    bits = int(width * (int(a.max(initial=0)) + 1)).bit_length()
+    if int(doc.max(initial=0)).bit_length() + bits > 63:
+        raise ValueError("ids and documents of a chunk do not fit 63 bits")
+    keys = np.sort((d[owner] << bits) | (a[at_a] * width + b[at_b]))
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    keys, times = [keys[first]], [np.diff(first, append=len(keys))]
     for k in np.flatnonzero(~small).tolist():  # by distinct ids, not by occurrences
         ids_a, times_a = np.unique(a[groups[k, 0]:groups[k, 1]], return_counts=True)
         ids_b, times_b = np.unique(b[groups[k, 2]:groups[k, 3]], return_counts=True)
-        pairs.append((ids_a[:, None] * width + ids_b).ravel())
+        keys.append((int(doc[k]) << bits) | (ids_a[:, None] * width + ids_b).ravel())
         times.append((times_a[:, None] * times_b).ravel())
-        docs.append(np.full(len(pairs[-1]), doc[k]))
-    docs, pairs, times = np.concatenate(docs), np.concatenate(pairs), np.concatenate(times)
-    order = np.lexsort((pairs, docs))
-    docs, pairs, times = docs[order], pairs[order], times[order]
-    if not len(docs):
-        return docs, pairs, times
-    new = np.concatenate(([True], (docs[1:] != docs[:-1]) | (pairs[1:] != pairs[:-1])))
-    return docs[new], pairs[new], np.add.reduceat(times, np.flatnonzero(new))
+    keys, times = np.concatenate(keys), np.concatenate(times)
+    if not small.all():
+        keys, at = np.unique(keys, return_inverse=True)
+        summed = np.zeros(len(keys), np.int64)
+        np.add.at(summed, at, times)
+        times = summed
+    return keys >> bits, keys & ((1 << bits) - 1), times
 
 
 def group_digests(groups: np.ndarray, doc: np.ndarray, n_docs: int, a: np.ndarray, b: np.ndarray,
                   enc: Encoders) -> list[str]:
     """SHA-256 of each document's groups as ``a1,a2|b1;a3|b2,b3``; '' without groups."""
     n_a, n_b = groups[:, 1] - groups[:, 0], groups[:, 3] - groups[:, 2]
-    text = np.empty(len(a) + len(b), object)
-    place_a = np.arange(len(a)) + np.repeat(groups[:, 2], n_a)
-    place_b = np.arange(len(b)) + np.repeat(groups[:, 1], n_b)
-    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    entry = np.empty(len(a) + len(b), np.int64)  # places in ``enc.texts``
+    last_a, last_b = np.zeros(len(a), np.int64), np.full(len(b), 2 * len(enc.bytes_a))
     last_a[groups[:, 1] - 1] = len(enc.bytes_a)
-    last_b[groups[:, 3] - 1] = len(enc.bytes_b)
-    text[place_a] = list(map(enc.text_a.__getitem__, (a + last_a).tolist()))
-    text[place_b] = list(map(enc.text_b.__getitem__, (b + last_b).tolist()))
+    last_b[groups[:, 3] - 1] += len(enc.bytes_b)
+    entry[np.arange(len(a)) + np.repeat(groups[:, 2], n_a)] = a + last_a
+    entry[np.arange(len(b)) + np.repeat(groups[:, 1], n_b)] = b + last_b
     ends = np.zeros(n_docs, np.int64)
     np.maximum.at(ends, doc, groups[:, 1] + groups[:, 3])
     out, at = [], 0
     for end in ends.tolist():
         if end > at:
-            out.append(hashlib.sha256("".join(text[at:end])[:-1].encode()).hexdigest())
+            out.append(hashlib.sha256("".join(map(enc.texts.__getitem__, entry[at:end].tolist()))[:-1].encode()).hexdigest())
             at = end
         else:
             out.append("")
@@ -212,7 +240,7 @@ def aligned(texts: list[str | None], enc: Encoders) -> dict:
     """A chunk of texts: numbers and digest by document, dictionary of id pairs, and links into it."""
     ids_a, ids_b = enc.encode([t or "" for t in texts])
     count_a, count_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-    a, b = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (ids_a, ids_b))
+    a, b = (np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64) for ids in (ids_a, ids_b))
     del ids_a, ids_b
     first_a, first_b = (np.concatenate(([0], np.cumsum(c))) for c in (count_a, count_b))
     # ends over all texts in a row: texts spell the same bytes on both sides, so offsets agree

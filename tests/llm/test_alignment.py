@@ -13,11 +13,23 @@ def encoders():
     return Encoders(open(BYTE_BPE, "rb").read(), open(PIECE_BPE, "rb").read())
 
 
+def test_both_libraries_give_the_same_ids(small, encoders, edge_rows):
+    from tokenizers import Tokenizer
+
+    general = Tokenizer.from_file(BYTE_BPE)
+    general.encode_special_tokens = True
+    texts = [" " + (r[0] or "") for r in small.select("text").collect()] + [" " + (r[1] or "") for r in edge_rows]
+    texts += [" a\u00a0\u2003b  c\t\td\r\n\n e\x85", " I'm you'LL we've 's ''s", " ½²³٣ⅷ x1y2", " \u200b\ufeff\u0301e", " <|endoftext|>!"]
+    texts += [" " * 15_000 + "x", "ab" * 9_000 + " " * 30_000 + "y"]
+    assert encoders.fast is not None
+    assert [encoders.ids_a(t) for t in texts] == [general.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def brute(texts, enc):
     """Groups and links by sets of ends and all pairs of a group."""
     out, linked = [], []
     for text in texts:
-        a, b = (x[0] for x in enc.encode([text or ""]))
+        a, b = (x[0].tolist() for x in enc.encode([text or ""]))
         ends = [[], []]
         for side, ids, size in ((0, a, enc.size_a), (1, b, enc.size_b)):
             at = 0
