@@ -1,10 +1,13 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from adlens.llm import segmentation
 from adlens.llm.segmentation import Lattice, decoded, encoded, read_vocabulary
 
 
@@ -39,9 +42,8 @@ def test_n_best_is_exact(vocabulary, text):
     found = lattice.nbest(text)
     want = every(lattice, vocabulary, " " + text, 4)
     assert [s for s, _ in found] == pytest.approx([s for s, _ in want])
-    assert len({ids for _, ids in found}) == len(found)
+    assert len({tuple(ids) for _, ids in found}) == len(found)
     for s, ids in found:
-        ids = np.frombuffer(ids, np.int32).tolist()
         assert lattice.decode(ids) == text
         assert sum(lattice.scores[k] for k in ids) == pytest.approx(s)
 
@@ -52,7 +54,7 @@ def test_round_trip(text):
     lattice = Lattice(read_vocabulary(), 2) if not hasattr(test_round_trip, "l") else test_round_trip.l
     test_round_trip.l = lattice
     for _, ids in lattice.nbest(text):
-        assert lattice.decode(np.frombuffer(ids, np.int32).tolist()) == text
+        assert lattice.decode(ids) == text
 
 
 def test_scores_are_probabilities(vocabulary):
@@ -73,7 +75,7 @@ def test_many_units(vocabulary):
 
 def test_edge_rows(edge, edge_rows):
     out = encoded(edge)
-    assert [c for c in edge.columns if c != "text"] == out.columns[:-3]
+    assert [c for c in edge.columns if c != "text"] == out.columns[:-4]
     rows = out.collect()
     assert len(rows) == len(edge_rows) and all(r["round_trip"] for r in rows)
     back = decoded(out, pieces_col="pieces").select("text").collect()
@@ -92,4 +94,55 @@ def test_empty(empty):
 
 def test_clashing_names(spark):
     df = spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, pieces string")
-    assert encoded(df).columns == ["doc_id", "pieces", "pieces_", "nbest_scores", "round_trip"]
+    assert encoded(df).columns == ["doc_id", "pieces", "pieces_", "nbest_scores", "nbest_changes", "round_trip"]
+
+
+def test_every_rank_decodes(spark, small, vocabulary):
+    """Ranks 2 and 3 are other segmentations of the same text, each with its score."""
+    out = encoded(small.select("doc_id", "text")).cache()
+    for rank in (1, 2, 3):
+        back = decoded(out, rank=rank).select("doc_id", F.col("text").alias("back")).join(small, "doc_id")
+        assert back.where("back is not null and back != coalesce(text, '')").count() == 0
+        assert back.where("back is not null").count() > 900
+    scores = [s for _, s, _ in vocabulary]
+    for r in out.limit(150).collect():
+        ranks = [r["pieces"], *[Lattice.changed(r["pieces"], c) for c in r["nbest_changes"]]]
+        assert len({tuple(x) for x in ranks}) == len(ranks) == len(r["nbest_scores"])
+        assert [sum(scores[k] for k in ids) for ids in ranks] == pytest.approx(r["nbest_scores"])
+    out.unpersist()
+
+
+def test_units_at_once_or_alone(vocabulary, small):
+    """The passes over many units at once against the A* search of each."""
+    lattice, alone = Lattice(vocabulary, 2), Lattice(vocabulary, 2)
+    units = sorted({u for r in small.limit(60).collect() for u in lattice.units(r["text"] or "")})[:1500]
+    units += [" ☃x", "éa", " 日本語", "x" * 60, " " * 70]
+    lattice.learn(units)
+    for u in units:
+        k, found = lattice.index[u], alone.search(u)
+        assert lattice.best[k] == pytest.approx(found[0][0])
+        assert lattice.gap[k] == pytest.approx(found[0][0] - found[1][0] if len(found) > 1 else np.inf)
+        own = lattice.ids[lattice.first[k]:lattice.first[k + 1]].tolist()
+        assert b"".join(map(lattice.surface.__getitem__, own)) == u.encode()
+        assert sum(lattice.scores[i] for i in own) == pytest.approx(found[0][0])
+
+
+def test_a_long_text_without_spaces(vocabulary):
+    """Work in step with the length of a unit."""
+    lattice = Lattice(vocabulary, 3)
+    text = "abcdefghij" * 20_000
+    took = time.process_time()
+    found = lattice.nbest(text)
+    assert time.process_time() - took < 30 and len(found) == 3
+    assert all(lattice.decode(ids) == text for _, ids in found)
+
+
+def test_what_is_remembered_is_bounded(vocabulary, monkeypatch):
+    monkeypatch.setattr(segmentation, "KEPT_UNITS", 10)
+    lattice = Lattice(vocabulary, 2)
+    texts = ["one two three four five six seven eight nine ten eleven", "other words that are not the same as before at all"] * 3
+    whole = Lattice(vocabulary, 2).ranked(texts)
+    for t, want in zip(texts, whole):
+        (ids, scores, changes), = lattice.ranked([t])
+        assert ids.tolist() == want[0].tolist() and scores == pytest.approx(want[1]) and changes == want[2]
+        assert len(lattice.index) <= 30
