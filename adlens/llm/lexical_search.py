@@ -49,7 +49,7 @@ from adlens.llm.words import mix, runs
 
 TILE = 1024          # documents of a tile
 BLOCK = 64           # documents of a block, about
-SCORED_OUTRIGHT = 3  # blocks of so few documents have no summary
+SCORED_OUTRIGHT = 16  # blocks of so few documents have no summary
 FIRST = 16           # one tile in so many is searched first
 STEP = 3922          # an impact is below 10^6, so 255 steps of a summary cover it
 DIMS = 16            # of the space in which documents are compared
@@ -243,10 +243,10 @@ def build_tile(rows: np.ndarray, doc_ids: np.ndarray, no_id: np.ndarray, sizes:
         starts = np.concatenate(([0], np.cumsum([len(blocks[k]) for k in part])[:-1]))
         most = np.maximum.reduceat(level[np.concatenate([blocks[k] for k in part])], starts, axis=0)
         at, col = np.nonzero(most)
-        found_block.append(np.array(part)[at])
-        found_col.append(col)
+        found_block.append(np.array(part, np.uint32)[at])
+        found_col.append(col.astype(np.uint16 if len(terms) < 1 << 16 else np.uint32))
         found_value.append(most[at, col])
-    sum_block, sum_col, sum_value = (np.concatenate(x) if x else np.zeros(0, np.int64)
+    sum_block, sum_col, sum_value = (np.concatenate(x) if x else np.zeros(0, np.uint32)
                                      for x in (found_block, found_col, found_value))
     order = np.argsort(sum_col, kind="stable")
     sum_first = np.concatenate(([0], np.cumsum(np.bincount(sum_col, minlength=len(terms)))))
@@ -262,7 +262,8 @@ def tile_row(tile: Tile) -> list[bytes]:
 def row_tile(values: list[bytes]) -> Tile:
     unpack = zstandard.ZstdDecompressor().decompress
     arrays = [np.frombuffer(unpack(v), kind) for v, kind in zip(values, KINDS.values())]
-    return Tile(*[a if a.dtype == np.bool_ else a.astype(np.int64) for a in arrays])
+    small = ("no_id", "sum_blocks", "sum_values")  # as they are: the others become places and sums
+    return Tile(*[a if name in small else a.astype(np.int64) for name, a in zip(KINDS, arrays)])
 
 
 def index(found: DataFrame, corpus: Corpus) -> DataFrame:
