@@ -22,6 +22,9 @@ may hold a third of the rows) in one task. Instead:
 4. every row is joined (left, null-safe on the key) to step 3; it is a
    duplicate when its position is not the first one.
 
+With an index of the keys of earlier loads (``seen``), a row whose key is in it is
+a duplicate as well.
+
 Steps 3–4 only move the rows of duplicated keys plus one row per such key.
 When there are few, AQE sees their actual size at run time and broadcasts
 them, so the wide rows are never shuffled; when there are many, the join
@@ -91,8 +94,11 @@ def negative_spend() -> Column:
 
 
 def with_duplicate_flag(raw: DataFrame, key=DEDUP_KEY, seq: str = SEQ,
-                        flag: str = "_is_dup") -> DataFrame:
-    """V5: flag every row that is not the first of its key in source order."""
+                        flag: str = "_is_dup", seen: DataFrame | None = None) -> DataFrame:
+    """V5: flag every row that is not the first of its key in source order.
+
+    ``seen`` holds the keys of earlier rows, each once, under the names in ``key``.
+    """
     fk = [f"_dk_{i}" for i in range(len(key))]
 
     def on_key(right: DataFrame):
@@ -106,15 +112,17 @@ def with_duplicate_flag(raw: DataFrame, key=DEDUP_KEY, seq: str = SEQ,
               .groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)])
               .agg(F.min(seq).alias("_first_seq")))
     joined = raw.join(firsts, on_key(firsts), "left")
-    return joined.select(
-        *raw.columns,
-        F.coalesce(F.col(seq) != F.col("_first_seq"), F.lit(False)).alias(flag),
-    )
+    repeated = F.coalesce(F.col(seq) != F.col("_first_seq"), F.lit(False))
+    if seen is not None:
+        known = seen.select(*[F.col(k).alias(f"_seen_{n}") for k, n in zip(key, fk)], F.lit(True).alias("_seen"))
+        joined = joined.join(known, [F.col(k).eqNullSafe(F.col(f"_seen_{n}")) for k, n in zip(key, fk)], "left")
+        repeated = repeated | F.coalesce("_seen", F.lit(False))
+    return joined.select(*raw.columns, repeated.alias(flag))
 
 
-def with_rejection_reason(raw: DataFrame, campaign_ids=VALID_CAMPAIGN_IDS) -> DataFrame:
+def with_rejection_reason(raw: DataFrame, campaign_ids=VALID_CAMPAIGN_IDS, seen: DataFrame | None = None) -> DataFrame:
     """V6: one reason per row, first failing rule wins; NULL for valid rows."""
-    flagged = with_allowed(with_duplicate_flag(raw), campaign_ids)
+    flagged = with_allowed(with_duplicate_flag(raw, seen=seen), campaign_ids)
     reason = (F.when(~F.col("_allowed"), F.lit(REASON_INVALID_CAMPAIGN))
               .when(null_conversion(), F.lit(REASON_NULL_CONVERSION))
               .when(negative_spend(), F.lit(REASON_NEGATIVE_SPEND))

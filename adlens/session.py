@@ -26,6 +26,8 @@ SPARK_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # tables kept by month have many small folders: list them on the driver, not by a job for each read
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024",
 }
 
 
@@ -93,4 +95,41 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-__all__ = ["SPARK_CONF", "build_session", "work_dir", "fresh_dir", "exists", "list_names", "local_path"]
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not exist yet; it is there as a whole or not at all."""
+    jvm, (p, fs) = spark.sparkContext._jvm, _fs(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    stream = fs.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+            fs.makeQualified(beside), fs.makeQualified(p), options)
+    except Exception:
+        fs.delete(beside, False)
+        raise
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+__all__ = ["SPARK_CONF", "build_session", "work_dir", "fresh_dir", "exists", "list_names", "read_text", "write_new", "delete", "local_path"]

@@ -10,12 +10,14 @@ bookkeeping.
 One run reads the watermark once, at its start, and moves it once, at its end.
 Every micro-batch is filtered against the start, so neither the order of the
 files nor how many of them a micro-batch takes changes what is loaded. Each
-micro-batch is an increment of bronze of its own, named by the stream's batch
-number; one that is replayed after a failure replaces its own folder. The start
-of a run is kept beside the stream's checkpoint until the run has ended, so a run
-that is taken up again after a crash goes on from the same start.
+micro-batch is an increment of bronze, added by one commit that also holds how far
+the stream has come: a micro-batch that is replayed after a failure is found there
+and not loaded again. The run's start stays in bronze's state until the run
+has ended, so a run that is taken up again after a crash goes on from the same start.
 
-``rules="all"`` applies rule 4 (duplicates) within each micro-batch.
+With ``rules="all"`` duplicates (rule 4) are told over all micro-batches and all
+earlier loads, by the index of keys that bronze keeps: the first row of a key in
+the order of the files counts, however they are batched.
 
 The daily marts use row-based windows (rolling means, ``lag``), which
 Structured Streaming does not support; they are recomputed in batch from
@@ -25,43 +27,33 @@ bronze after the stream stops.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from adlens.config import VALID_CAMPAIGN_IDS
-from adlens.operators.ingest import (
-    committed_increments,
-    incremental_new_rows,
-    increment_stats,
-    read_bronze,
-    read_checkpoint,
-    write_checkpoint,
-    write_increment,
-)
-from adlens.session import exists, fresh_dir
+from adlens.operators.ingest import BRONZE_SCHEMA, add_increment, read_bronze, read_checkpoint, write_checkpoint
+from adlens.session import fresh_dir, read_text
 from adlens.sources.raw import CORRUPT, raw_rows, scan_csv
 from adlens.sources.testdata import lineitem_to_ad_rows
+from adlens.versions import VersionedTable
 
-RUNS = "at long, start string, ended boolean"
 
+def _with_run(state: dict, place: str, **run) -> dict:
+    return {**state, "runs": {**state.get("runs", {}), place: {**state.get("runs", {}).get(place, {}), **run}}}
 
-def _record(spark: SparkSession, path: str, at: int, start: dt.date, ended: bool) -> None:
-    spark.createDataFrame([(at, start.isoformat(), ended)], RUNS).coalesce(1).write.mode("append").parquet(path)
 
-
-def _open_run(spark: SparkSession, path: str, watermark_path: str, bronze_path: str) -> tuple[int, dt.date]:
-    """Number and start of the run that did not end, or of a new one."""
-    last = None
-    if exists(spark, path):
-        last = (spark.read.schema(RUNS).parquet(path).groupBy("at", "start").agg(F.max("ended").alias("ended"))
-                .orderBy(F.col("at").desc()).first())
-    if last is not None and not last["ended"]:
-        return last["at"], dt.date.fromisoformat(last["start"])
-    at, start = (last["at"] + 1 if last is not None else 0), read_checkpoint(spark, watermark_path, bronze_path)
-    _record(spark, path, at, start, False)
-    return at, start
+def _open_run(spark: SparkSession, place: str, watermark_path: str, bronze_path: str) -> dt.date:
+    """The start of the run that did not end, or of a new one."""
+    table = VersionedTable(spark, bronze_path)
+    base = table.current()
+    run = base.state.get("runs", {}).get(place, {})
+    if run.get("open"):
+        return dt.date.fromisoformat(run["start"])
+    start = read_checkpoint(spark, watermark_path, bronze_path)
+    table.commit(base, base.folders, BRONZE_SCHEMA, _with_run(base.state, place, open=True, start=start.isoformat(), last=None))
+    return start
 
 
 def stream_incremental_load(spark: SparkSession, stream: DataFrame, bronze_path: str,
@@ -71,13 +63,23 @@ def stream_incremental_load(spark: SparkSession, stream: DataFrame, bronze_path:
     """Run the load over every file available now; returns one report per batch."""
     reports: list[dict] = []
     stamp = loaded_at or dt.datetime.now()
-    runs = f"{checkpoint_location.rstrip('/')}-runs"
-    at, start = _open_run(spark, runs, watermark_path, bronze_path)
+    place = checkpoint_location.rstrip("/")
+    start = _open_run(spark, place, watermark_path, bronze_path)
+    table = VersionedTable(spark, bronze_path)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        # the stream's own id: a new stream at the same place counts its batches from 0 again
+        stream_id = json.loads(read_text(spark, f"{place}/metadata").splitlines()[0])["id"]
+        run = table.current().state["runs"][place]
+        if run.get("id") == stream_id and batch_id <= run.get("batch", -1):
+            return  # replayed, and its rows are in
         raw = raw_rows(batch) if CORRUPT in batch.columns else batch
-        stats = write_increment(incremental_new_rows(raw, start, rules, campaign_ids),
-                                bronze_path, start, stamp, f"s{batch_id}")
+
+        def state_of(state: dict, stats: dict) -> dict:
+            dates = [d for d in (state["runs"][place].get("last"), stats["last"] and stats["last"].isoformat()) if d]
+            return _with_run(state, place, id=stream_id, batch=batch_id, last=max(dates, default=None))
+
+        stats = add_increment(spark, raw, bronze_path, start, stamp, rules, campaign_ids, state_of)
         reports.append({"batch_id": batch_id, "last_loaded": start, "inserted": stats["n"],
                         "null_ids": stats["null_ids"]})
 
@@ -88,12 +90,14 @@ def stream_incremental_load(spark: SparkSession, stream: DataFrame, bronze_path:
              .start())
     query.awaitTermination()
     # the latest date over the batches of this run, also those before a crash
-    prefix = f"/load_after={start.isoformat()}/batch="
-    names = [p.split(prefix)[1] for p in committed_increments(spark, bronze_path) if prefix + "s" in p]
-    dates = [d for d in (increment_stats(spark, bronze_path, start, n)["last"] for n in names) if d]
-    if dates:
-        write_checkpoint(spark, watermark_path, max(dates))
-    _record(spark, runs, at, start, True)
+    base = table.current()
+    last = base.state["runs"][place].get("last")
+    state = _with_run(base.state, place, open=False)
+    if last:
+        state["last"] = max(filter(None, [state.get("last"), last]))
+    table.commit(base, base.folders, BRONZE_SCHEMA, state)
+    if last:
+        write_checkpoint(spark, watermark_path, max(dt.date.fromisoformat(last), read_checkpoint(spark, watermark_path)))
     return reports
 
 

@@ -1,12 +1,13 @@
 """Incremental load: watermark, strict date filter, empty batch, replay."""
 
 import datetime as dt
-import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from adlens.operators import ingest
-from adlens.session import fresh_dir, local_path
+from adlens.session import fresh_dir
+from adlens.versions import VersionedTable
 from tests.test_validate import ok, raw_frame
 
 TS = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -26,7 +27,8 @@ def test_checkpoint_defaults_and_roundtrip(spark):
 
 def test_unparsable_checkpoint_falls_back(spark):
     root = fresh_dir(spark, "t-ck2")
-    spark.createDataFrame([("garbage",)], "last_loaded_date string").write.parquet(f"{root}/ck")
+    table = VersionedTable(spark, f"{root}/ck")
+    table.commit(table.current(), [], state={"last_loaded_date": "garbage"})
     assert ingest.read_checkpoint(spark, f"{root}/ck") == dt.date(1900, 1, 1)
 
 
@@ -97,17 +99,12 @@ def test_reset_clears_bronze_and_watermark(spark):
     assert r["inserted"] == 2 and ingest.read_bronze(spark, bronze).count() == 2
 
 
-def test_increment_stats_reads_only_its_partition(spark):
+def test_statistics_are_those_of_the_increment(spark):
     root = fresh_dir(spark, "t-stats")
     bronze, ck = f"{root}/bronze", f"{root}/ck"
-    assert ingest.increment_stats(spark, bronze, "1900-01-01") == {"n": 0, "last": None}
-    ingest.load_increment(spark, raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"])),
-                          bronze, ck, TS)
-    ingest.load_increment(spark, raw_frame(spark, rows_for(["19/08/2017"])), bronze, ck, TS)
-    assert ingest.increment_stats(spark, bronze, "1900-01-01") == {
-        "n": 2, "last": dt.date(2017, 8, 18)}
-    assert ingest.increment_stats(spark, bronze, dt.date(2017, 8, 18)) == {
-        "n": 1, "last": dt.date(2017, 8, 19)}
+    ingest.load_increment(spark, raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"])), bronze, ck, TS)
+    second = ingest.load_increment(spark, raw_frame(spark, rows_for(["18/08/2017", "19/08/2017"])), bronze, ck, TS)
+    assert (second["inserted"], second["new_checkpoint"], second["null_ids"]) == (1, dt.date(2017, 8, 19), 0)
 
 
 def test_lost_watermark_does_not_load_twice(spark):
@@ -115,34 +112,68 @@ def test_lost_watermark_does_not_load_twice(spark):
     bronze, ck = f"{root}/bronze", f"{root}/ck"
     src = raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"]))
     ingest.load_increment(spark, src, bronze, ck, TS)
-    # the table gone, and then an empty folder in its place
+    assert ingest.read_checkpoint(spark, f"{root}/other") == dt.date(1900, 1, 1)  # gone
     assert ingest.load_increment(spark, src, bronze, f"{root}/other", TS)["inserted"] == 0
-    spark.createDataFrame([], "last_loaded_date string").write.parquet(f"{root}/empty")
-    assert ingest.read_checkpoint(spark, f"{root}/empty") == dt.date(1900, 1, 1)
-    assert ingest.load_increment(spark, src, bronze, f"{root}/empty", TS)["inserted"] == 0
     assert ingest.read_bronze(spark, bronze).count() == 2
 
 
-def test_an_increment_that_died_while_writing_is_redone(spark):
+def test_an_increment_that_died_while_writing_is_redone(spark, monkeypatch):
     root = fresh_dir(spark, "t-died")
     bronze, ck = f"{root}/bronze", f"{root}/ck"
     src = raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"]))
-    ingest.write_increment(ingest.incremental_new_rows(src, "1900-01-01"), bronze, "1900-01-01", TS)
-    os.remove(local_path(ingest.increment_path(bronze, "1900-01-01")) + "/_SUCCESS")  # not committed
+
+    def dead(*a, **k):
+        raise RuntimeError("dead before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "commit", dead)
+        with pytest.raises(RuntimeError):
+            ingest.load_increment(spark, src, bronze, ck, TS)
     assert ingest.read_bronze(spark, bronze).count() == 0
     assert ingest.load_increment(spark, src, bronze, ck, TS)["inserted"] == 2
     assert ingest.read_bronze(spark, bronze).count() == 2
 
 
-def test_a_date_filter_prunes_bronze(spark):
+def test_a_date_prunes_bronze(spark):
     root = fresh_dir(spark, "t-prune")
     bronze, ck = f"{root}/bronze", f"{root}/ck"
     ingest.load_increment(spark, raw_frame(spark, rows_for(["17/08/2017", "18/08/2017"])), bronze, ck, TS)
     ingest.load_increment(spark, raw_frame(spark, rows_for(["01/10/2017"])), bronze, ck, TS)
     late = ingest.read_bronze(spark, bronze, dt.date(2017, 9, 17))
-    assert late.count() == 1
-    plan = late._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan
+    assert late.count() == 1 and all("month=2017-10" in f for f in late.inputFiles())
+
+
+def test_duplicates_over_all_loads(spark):
+    """Rule 4 with an index: a key of an earlier load, of a rejected row too, is a duplicate."""
+    root = fresh_dir(spark, "t-keys")
+    args = (f"{root}/bronze", f"{root}/ck", TS, "all")
+    first = raw_frame(spark, [ok(ad_id="1"), ok(ad_id="2", reporting_start="19/08/2017", campaign_id="0"),
+                              ok(ad_id=None, reporting_start="01/09/2017", campaign_id="0")])
+    assert ingest.load_increment(spark, first, *args)["inserted"] == 1
+    later = raw_frame(spark, [ok(ad_id="2", reporting_start="19/08/2017"), ok(ad_id="3", reporting_start="19/08/2017"),
+                              ok(ad_id=None, reporting_start="01/09/2017"), ok(ad_id="4", reporting_start="02/09/2017"),
+                              ok(ad_id="4", reporting_start="02/09/2017")])
+    assert ingest.load_increment(spark, later, *args)["inserted"] == 2
+    ids = sorted(r[0] for r in ingest.read_bronze(spark, args[0]).select("ad_id").collect())
+    assert ids == [1, 3, 4]
+    table = VersionedTable(spark, args[0])
+    keys = table.read(schema=ingest.KEY_SCHEMA, kind=ingest.KEYS)
+    assert keys.count() == 5 == keys.distinct().count()
+
+
+def test_many_increments_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "MOST_FOLDERS", 3)
+    root = fresh_dir(spark, "t-compact")
+    args = (f"{root}/bronze", f"{root}/ck", TS, "all")
+    for d in range(1, 8):
+        ingest.load_increment(spark, raw_frame(spark, rows_for([f"{d:02d}/08/2017"])), *args)
+        table = VersionedTable(spark, args[0])
+        ingest.compact(spark, args[0], 3)
+    at = table.current()
+    assert sum(1 for f in at.folders if not f.kind) <= 4 and at.state["seq"] == 7
+    assert ingest.read_bronze(spark, args[0]).count() == 7
+    assert table.read(at, schema=ingest.KEY_SCHEMA, kind=ingest.KEYS).count() == 7
+    assert at.months(after_seq=6) == ["2017-08"] and at.months(after_seq=7) == []
 
 
 def test_ids_keep_their_digits(spark):

@@ -4,10 +4,11 @@ import csv
 import datetime as dt
 import os
 
+import pytest
+
 from adlens.config import RAW_COLUMNS
 from adlens.operators import ingest
 from adlens.session import fresh_dir, local_path
-from adlens.streaming import incremental
 from adlens.streaming.incremental import raw_csv_stream, stream_incremental_load
 from tests.test_validate import ok
 
@@ -91,17 +92,43 @@ def test_all_rules_on_a_stream(spark):
     assert len(load_all(spark, "t-stream-all", files, None, "all")[0]) == 1
 
 
+def test_all_rules_do_not_depend_on_batches(spark):
+    """The same key in two files, once behind a rejected row: one batch or two load the same rows."""
+    files = [("p1.csv", [ok(ad_id="1"), ok(ad_id="2", campaign_id="0")]), ("p2.csv", [ok(ad_id="1", spent="7"), ok(ad_id="2"), ok(ad_id="3")])]
+    once = load_all(spark, "t-stream-key-once", files, None, "all")
+    assert len(once[0]) == 2
+    assert load_all(spark, "t-stream-key-two", files, 1, "all") == once
+
+
 def test_a_run_taken_up_again_goes_on_from_its_start(spark):
-    """A crash after some micro-batches: later files of the run may hold older dates."""
+    """A run dies in its second micro-batch; taken up again it loads that one, and nothing twice."""
     root = fresh_dir(spark, "t-stream-crash")
     src = local_path(root) + "/incoming"
     os.makedirs(src)
     args = (f"{root}/bronze", f"{root}/wm", f"{root}/ck")
     write_csv(f"{src}/p1.csv", day_rows("a", ["20/08/2017"]))
-    stream_incremental_load(spark, raw_csv_stream(spark, src), *args, loaded_at=TS)
-    # as if the run had died before its end: its record is open, the watermark is not yet moved
-    incremental._record(spark, f"{root}/ck-runs", 1, dt.date(1900, 1, 1), False)
+    write_csv(f"{src}/p2.csv", [ok(ad_id="b0", reporting_start="no date")])
+    for i, name in enumerate(["p1.csv", "p2.csv"]):
+        os.utime(f"{src}/{name}", (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    with pytest.raises(Exception, match="unparsable"):
+        stream_incremental_load(spark, raw_csv_stream(spark, src, 1), *args, loaded_at=TS)
+    assert ingest.read_bronze(spark, args[0]).count() == 1
+    assert ingest.read_checkpoint(spark, args[1], args[0]) == dt.date(1900, 1, 1)  # the run has not ended
     write_csv(f"{src}/p2.csv", day_rows("b", ["18/08/2017"]))
+    stream_incremental_load(spark, raw_csv_stream(spark, src, 1), *args, loaded_at=TS)
+    assert ingest.read_bronze(spark, args[0]).count() == 2
+    assert ingest.read_checkpoint(spark, args[1]) == dt.date(2017, 8, 20)
+
+
+def test_a_replayed_micro_batch_is_not_loaded_again(spark):
+    """The commit of a micro-batch is in, the stream's own note of it is lost: it comes once more."""
+    root = fresh_dir(spark, "t-stream-replay")
+    src = local_path(root) + "/incoming"
+    os.makedirs(src)
+    args = (f"{root}/bronze", f"{root}/wm", f"{root}/ck")
+    write_csv(f"{src}/p1.csv", day_rows("a", ["20/08/2017", "21/08/2017"]))
     stream_incremental_load(spark, raw_csv_stream(spark, src), *args, loaded_at=TS)
-    assert ingest.read_bronze(spark, f"{root}/bronze").count() == 2
-    assert ingest.read_checkpoint(spark, f"{root}/wm") == dt.date(2017, 8, 20)
+    for f in os.listdir(local_path(root) + "/ck/commits"):
+        os.remove(f"{local_path(root)}/ck/commits/{f}")
+    assert stream_incremental_load(spark, raw_csv_stream(spark, src), *args, loaded_at=TS) == []
+    assert ingest.read_bronze(spark, args[0]).count() == 2
