@@ -88,6 +88,25 @@ def money_sum(c: Column | str, window=None) -> Column:
     return F.when(over(F.count(x)) > 0, F.coalesce(exact + over(F.sum(rest)), over(F.sum(x))))
 
 
+def money_parts(c: Column | str, name: str) -> list[Column]:
+    """Aggregates from which ``merged_money`` gives ``money_sum`` over several groups, to the last digit.
+
+    The decimal part and the rest are kept apart; the decimal is NULL where it had no room.
+    """
+    x = _c(c).cast("double")
+    part = x.try_cast(MONEY)
+    return [F.try_sum(F.coalesce(part, F.lit(0).cast(MONEY))).cast(MONEY).alias(f"{name}_exact"),
+            F.sum(x - F.coalesce(part.cast("double"), F.lit(0.0))).alias(f"{name}_rest"),
+            F.sum(x).alias(f"{name}_plain"), F.count(x).alias(f"{name}_count")]
+
+
+def merged_money(name: str) -> Column:
+    """``money_sum`` of all rows behind the ``money_parts`` in a group."""
+    held = F.sum(f"{name}_count")
+    exact = F.when(F.count_if(F.col(f"{name}_exact").isNull()) == 0, F.try_sum(f"{name}_exact")).cast("double")
+    return F.when(held > 0, F.coalesce(exact + F.sum(f"{name}_rest"), F.sum(f"{name}_plain")))
+
+
 def exact_mean(c: Column | str) -> Column:
     """Mean of a money-like column from its exact sum; NULLs are skipped."""
     return money_sum(c) / F.nullif(F.count(_c(c)), F.lit(0))

@@ -35,8 +35,8 @@ from adlens.config import (
     Rules,
 )
 from adlens.functions import money_sum, ratio, round_half_away
-from adlens.functions.expr import attach_row, with_scalars
-from adlens.functions.stats import exact_medians
+from adlens.functions.expr import attach_row, merged_money, with_scalars
+from adlens.functions.stats import exact_medians, sketched_medians
 
 KPI_COLUMNS = [
     "campaign_id", "total_impressions", "total_clicks", "total_spend",
@@ -56,17 +56,14 @@ SUMMARY_COLUMNS = ["campaign_id", "health_score", "health_label", "performance_t
 
 # -- M1–M6: campaign KPIs ---------------------------------------------------------
 
-def campaign_kpis(fact: DataFrame) -> DataFrame:
-    """M1–M6: totals and ratio KPIs per campaign, each ratio of sums, 4 dp."""
-    spend = money_sum("spend")
-    clicks, imps, appr = F.sum("clicks"), F.sum("impressions"), F.sum("approved_conversion")
-    return fact.groupBy("campaign_id").agg(
+def _kpis(grouped, imps: Column, clicks: Column, spend: Column, conversions: Column, appr: Column, rows: Column) -> DataFrame:
+    return grouped.agg(
         imps.cast("double").alias("total_impressions"),
         clicks.cast("double").alias("total_clicks"),
         round_half_away(spend, 2).alias("total_spend"),
-        F.sum("total_conversion").cast("double").alias("total_conversions"),
+        conversions.cast("double").alias("total_conversions"),
         appr.cast("double").alias("total_approved_conv"),
-        F.count(F.lit(1)).alias("fact_rows"),
+        rows.alias("fact_rows"),
         round_half_away(ratio(clicks, imps, 100.0), 4).alias("ctr_pct"),
         round_half_away(ratio(spend, clicks), 4).alias("cpc"),
         round_half_away(ratio(spend, appr), 4).alias("cpa"),
@@ -75,6 +72,18 @@ def campaign_kpis(fact: DataFrame) -> DataFrame:
     )
 
 
+def campaign_kpis(fact: DataFrame) -> DataFrame:
+    """M1–M6: totals and ratio KPIs per campaign, each ratio of sums, 4 dp."""
+    return _kpis(fact.groupBy("campaign_id"), F.sum("impressions"), F.sum("clicks"), money_sum("spend"),
+                 F.sum("total_conversion"), F.sum("approved_conversion"), F.count(F.lit(1)))
+
+
+def kpis_from_totals(totals: DataFrame) -> DataFrame:
+    """M1–M6 from the months' totals (``silver.fact_totals``)."""
+    return _kpis(totals.groupBy("campaign_id"), F.sum("impressions"), F.sum("clicks"), merged_money("spend"),
+                 F.sum("total_conversion"), F.sum("approved_conversion"), F.sum("fact_rows"))
+
+
 # -- M7–M9: relative health score -------------------------------------------------
 
 def health_components(kpis: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -118,25 +127,28 @@ def health_score(components: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFra
 
 # -- M10–M11: medians, tiers, recommendations ---------------------------------------
 
-def kpi_medians(kpis: DataFrame) -> DataFrame:
-    """Exact medians of CPA, conversion rate and spend (one row).
+MEDIANS = {"cpa": "median_cpa", "conversion_rate_pct": "median_cr", "total_spend": "median_spend"}
+
+
+def kpi_medians(kpis: DataFrame, approximate: bool = False) -> DataFrame:
+    """Medians of CPA, conversion rate and spend (one row), exact unless asked otherwise.
 
     Missing values are skipped; an even count averages the two middle
     values. The values are ranked by a distributed sort of their counts
-    (``functions.stats``) and never gathered.
+    (``functions.stats``) and never gathered. ``approximate`` takes them from KLL
+    sketches, which need one pass and no sort.
     """
-    return exact_medians(kpis, {"cpa": "median_cpa", "conversion_rate_pct": "median_cr",
-                                "total_spend": "median_spend"})
+    return sketched_medians(kpis, MEDIANS) if approximate else exact_medians(kpis, MEDIANS)
 
 
-def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def recommendations(scored: DataFrame, rules: Rules = DEFAULT_RULES, approximate: bool = False) -> DataFrame:
     """Tier and recommendation, four ordered cases.
 
     A comparison that meets a missing value is false, so such a row falls
     through to the next case.
     """
     r = rules.score
-    med = kpi_medians(scored)  # exactly one row
+    med = kpi_medians(scored, approximate)  # exactly one row
     s, cpa, cr, spend = (F.col("health_score"), F.col("cpa"),
                          F.col("conversion_rate_pct"), F.col("total_spend"))
     high = (s >= r.high_performer_score) & (cpa <= F.col("median_cpa"))
@@ -158,10 +170,11 @@ def mart_campaign_kpis(fact: DataFrame, rules: Rules = DEFAULT_RULES,
     return mart_from_kpis(campaign_kpis(fact), rules, last_updated)
 
 
-def mart_from_kpis(kpis: DataFrame, rules: Rules = DEFAULT_RULES, last_updated=None) -> DataFrame:
+def mart_from_kpis(kpis: DataFrame, rules: Rules = DEFAULT_RULES, last_updated=None,
+                   approximate: bool = False) -> DataFrame:
     """M7–M12 on a campaign KPI table (M1–M6)."""
     scored = health_score(health_components(kpis, rules), rules)
-    out = recommendations(scored, rules)
+    out = recommendations(scored, rules, approximate)
     cols = [F.col(c) for c in MART_KPI_COLUMNS]
     if last_updated is not None:
         cols.append(F.lit(last_updated).cast("timestamp").alias("last_updated"))
@@ -170,15 +183,14 @@ def mart_from_kpis(kpis: DataFrame, rules: Rules = DEFAULT_RULES, last_updated=N
 
 # -- M13–M15: daily monitoring --------------------------------------------------
 
-def campaign_monitoring(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Daily metrics per campaign with 3-row rolling CTR and CPA.
+RAW_RATIOS = ["_ctr_raw", "_cpa_raw"]
 
-    The rolling means average the unrounded daily ratios over the current
-    and two preceding rows (rows, not calendar days); AVG skips missing days.
-    """
+
+def daily_rows(fact: DataFrame) -> DataFrame:
+    """Daily metrics per campaign, and the unrounded ratios that rolling means average."""
     spend = money_sum("spend")
     clicks, imps, appr = F.sum("clicks"), F.sum("impressions"), F.sum("approved_conversion")
-    daily = fact.groupBy("campaign_id", "date").agg(
+    return fact.groupBy("campaign_id", "date").agg(
         imps.cast("double").alias("impressions"),
         clicks.alias("clicks"),
         round_half_away(spend, 2).alias("spend"),
@@ -190,13 +202,43 @@ def campaign_monitoring(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFr
         ratio(clicks, imps, 100.0).alias("_ctr_raw"),
         ratio(spend, appr).alias("_cpa_raw"),
     )
+
+
+def rolling(daily: DataFrame, rules: Rules = DEFAULT_RULES, before: DataFrame | None = None) -> DataFrame:
+    """``daily`` with its rolling means, the unrounded ratios last.
+
+    ``before`` holds each campaign's last rows ahead of ``daily`` (``last_rows``); they
+    are averaged with the first ones and are not in the result.
+    """
     n = rules.anomaly.rolling_rows
+    new = daily.withColumn("_new", F.lit(True))
+    if before is not None:
+        new = new.unionByName(before.withColumn("_new", F.lit(False)), allowMissingColumns=True)
     w = Window.partitionBy("campaign_id").orderBy("date").rowsBetween(-(n - 1), 0)
-    return daily.select(
+    return new.select(
         *MONITORING_COLUMNS[:-2],
         round_half_away(F.avg("_ctr_raw").over(w), 4).alias("ctr_3day_avg"),
         round_half_away(F.avg("_cpa_raw").over(w), 4).alias("cpa_3day_avg"),
-    )
+        *RAW_RATIOS, "_new",
+    ).where("_new").drop("_new")
+
+
+def last_rows(daily: DataFrame, before: DataFrame | None, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Each campaign's last rows: as many as a rolling mean looks back."""
+    some = daily.select("campaign_id", "date", *RAW_RATIOS)
+    some = some if before is None else some.unionByName(before)
+    last = Window.partitionBy("campaign_id").orderBy(F.desc("date"))
+    return (some.withColumn("_back", F.row_number().over(last))
+            .where(F.col("_back") < rules.anomaly.rolling_rows).drop("_back"))
+
+
+def campaign_monitoring(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Daily metrics per campaign with 3-row rolling CTR and CPA.
+
+    The rolling means average the unrounded daily ratios over the current
+    and two preceding rows (rows, not calendar days); AVG skips missing days.
+    """
+    return rolling(daily_rows(fact), rules).select(*MONITORING_COLUMNS)
 
 
 # -- M16–M18: campaign summary ------------------------------------------------------

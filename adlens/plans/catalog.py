@@ -33,13 +33,15 @@ from adlens.config import (
     DEFAULT_RULES,
     GENDERS,
     RAW_COLUMNS,
+    RAW_DATE_FORMAT,
     VALID_CAMPAIGN_IDS,
     Rules,
 )
 from adlens.operators import anomaly, dashboard, gold, ingest, reports, silver, validate
-from adlens.functions.stats import grouped_medians
+from adlens.functions.stats import grouped_medians, merged_medians, sketches
+from adlens.plans import pipeline as steps
 from adlens.plans.pipeline import Warehouse, sorted_tables
-from adlens.session import fresh_dir, work_dir
+from adlens.session import fresh_dir, list_names, set_time, work_dir
 from adlens.sources.raw import SEQ, raw_rows, read_raw_csv, scan_csv
 from adlens.sources.testdata import ad_rows_from_events, ad_rows_from_lineitem, table
 
@@ -215,6 +217,78 @@ def _bronze_append(spark: SparkSession, d: str) -> DataFrame:
     return wh.read(spark, "raw_campaign_performance").drop("loaded_at")
 
 
+# the first of two loads of the lineitem source ends with this date, in the middle of a month
+FIRST_LOAD = "1995-06-17"
+
+
+def _two_loads(spark: SparkSession, d: str, after_each) -> Warehouse:
+    """All rows in two loads; ``after_each(warehouse, number)`` brings derived tables up to bronze."""
+    wh, raw = Warehouse(fresh_dir(spark, "two-loads")), _p(spark, d).raw
+    first = raw.where(F.to_date("reporting_start", RAW_DATE_FORMAT) <= F.lit(FIRST_LOAD).cast("date"))
+    for k, rows in enumerate((first, raw)):
+        ingest.load_increment(spark, rows, wh.bronze, wh.watermark)
+        after_each(wh, k)
+    return wh
+
+
+def _fact_after_restart(spark: SparkSession, d: str) -> DataFrame:
+    """The run of the first load dies before its fact; the next run makes good both loads."""
+    def after(wh, k):
+        if k:
+            steps._write_fact(spark, wh, AGE_GROUPS, GENDERS)
+
+    return _two_loads(spark, d, after).read(spark, "fact_campaign_performance")
+
+
+def _monitoring_by_increments(spark: SparkSession, d: str) -> DataFrame:
+    """The daily mart of two loads, the second going on from the frontier of the first."""
+    def after(wh, k):
+        steps._write_fact(spark, wh, AGE_GROUPS, GENDERS)
+        steps._write_monitoring(spark, wh, DEFAULT_RULES, AGE_GROUPS, GENDERS)
+        steps._write_frontier(spark, wh, DEFAULT_RULES)
+
+    return _two_loads(spark, d, after).read(spark, "mart_campaign_monitoring")
+
+
+def _kpis_by_increments(spark: SparkSession, d: str) -> DataFrame:
+    """M1–M6: KPIs of two loads, merged from the fact's totals by month."""
+    def after(wh, k):
+        steps._write_fact(spark, wh, AGE_GROUPS, GENDERS)
+        steps._write_totals(spark, wh, AGE_GROUPS, GENDERS)
+
+    return gold.kpis_from_totals(_two_loads(spark, d, after).read(spark, "_fact_totals"))
+
+
+def _dim_campaign_by_increments(spark: SparkSession, d: str) -> DataFrame:
+    """The campaigns of two loads, distinct FB campaigns merged by month."""
+    return _two_loads(spark, d, lambda wh, k: steps._write_dim_campaign(spark, wh)).read(spark, "dim_campaign")
+
+
+def _sketched_supplier_medians(spark: SparkSession, d: str) -> DataFrame:
+    """M10's approximate medians by supplier, merged from sketches by supplier and ship month."""
+    columns = {"l_extendedprice": "median_price", "l_quantity": "median_quantity"}
+    items = table(spark, d, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    return merged_medians(sketches(items, ["l_suppkey", "month"], list(columns)), ["l_suppkey"], columns)
+
+
+def _stream_all_rules(spark: SparkSession, d: str) -> DataFrame:
+    """I8/V5: raw rows in four files in source order, streamed one file a micro-batch under all rules;
+    a key's first row counts wherever the files are cut."""
+    from adlens.streaming.incremental import raw_csv_stream, stream_incremental_load
+
+    root = fresh_dir(spark, "stream-all-rules")
+    raw = _p(spark, d).raw
+    (raw.repartitionByRange(4, SEQ).sortWithinPartitions(SEQ).drop(SEQ)
+     .write.option("header", True).option("nullValue", "").csv(f"{root}/incoming"))
+    # the file source takes files by their time: that of the source order
+    names = [n for n in list_names(spark, f"{root}/incoming") if n.startswith("part-")]
+    for k, name in enumerate(names):
+        set_time(spark, f"{root}/incoming/{name}", 1_700_000_000_000 + 60_000 * k)
+    stream_incremental_load(spark, raw_csv_stream(spark, f"{root}/incoming", 1), f"{root}/bronze", f"{root}/watermark",
+                            f"{root}/checkpoint", rules="all")
+    return ingest.read_bronze(spark, f"{root}/bronze").drop("loaded_at")
+
+
 def _stream_load(spark: SparkSession, d: str) -> DataFrame:
     from adlens.streaming.incremental import stream_load_testdata
     return stream_load_testdata(spark, d)
@@ -244,6 +318,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_append": _bronze_append,
     "next_checkpoint": lambda s, d: ingest.next_checkpoint(_events_new_rows(s, d)),
     "stream_incremental_load": _stream_load,
+    "stream_all_rules": _stream_all_rules,
+    "fact_after_restart": _fact_after_restart,
+    "monitoring_by_increments": _monitoring_by_increments,
+    "kpis_by_increments": _kpis_by_increments,
+    "dim_campaign_by_increments": _dim_campaign_by_increments,
     # silver
     "dim_campaign": P(lambda p: silver.dim_campaign(p.bronze)),
     "dim_audience": P(lambda p: p.dim_audience),
@@ -257,6 +336,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "health_score": P(lambda p: gold.health_score(gold.health_components(p.campaign_kpis))),
     "kpi_medians": P(lambda p: gold.kpi_medians(p.campaign_kpis)),
     "supplier_medians": _supplier_medians,
+    "supplier_medians_sketched": _sketched_supplier_medians,
     "recommendations": P(lambda p: p.kpis),
     "campaign_monitoring": P(lambda p: p.monitoring),
     "campaign_summary": P(lambda p: p.summary),

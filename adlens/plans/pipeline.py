@@ -1,12 +1,15 @@
 """The five stages run end to end over written tables.
 
 validate → load → silver → gold → anomalies, then the reports read the
-written marts. Each stage writes its tables (parquet) under a warehouse
-folder on shared storage and the next stage reads them back: lineage is cut
-at every stage, so a lost executor costs at most a re-run of the stage that
-was running, never a recomputation from the raw source.
+written marts. Every table is versioned (``adlens.versions``): a step writes new
+folders and one commit makes them the table, so readers see a table whole, before or
+after, and a step that dies leaves it as it was.
 
-Passes over the big inputs:
+Each table derived from bronze notes, in the commit of its data, up to which load
+(``through``) it holds bronze. What a run has to do follows from these notes and not from
+the watermark: the months that bronze got since then. A run that died between any two
+steps is therefore made good by the next one, and a first load is the case that
+nothing is held yet. Other settings or a bronze begun anew make a table whole again.
 
 * validation: two narrow reads (key columns, then key and source order of
   the duplicated keys) and one full read that writes ``validation_log``; the
@@ -15,11 +18,12 @@ Passes over the big inputs:
 * load: one pass over the raw source (rule 1, dates, watermark) into bronze. It
   starts when validation has succeeded: a failed validation leaves bronze and
   watermark as they were.
-* silver: the fact by month, and of an increment the months it touched only (the
-  strict date filter adds no row to an earlier date); ``dim_campaign`` and
-  ``dim_audience`` from a few columns of bronze. The written fact is then checked
-  (T4, T5) and the findings are part of the report.
-* gold and anomalies read the fact and the daily mart only.
+* silver, by month: the fact and the FB campaigns of each campaign, of the months that
+  bronze got; ``_fact_totals`` are the fact's sums by month, campaign and audience,
+  from which the KPIs, ``dim_audience`` and the checks (T4, T5) are merged.
+* gold: the daily mart by month; each campaign's last rows ahead of the mart's last month
+  are kept (``_daily_frontier``), so that an increment computes rolling means from there
+  on. What has no new input is not made again.
 
 Steps without a dependency between them run as concurrent Spark jobs
 (``run_pipeline``), so the cluster is not idle while one step finishes its
@@ -38,7 +42,6 @@ from pyspark.sql import functions as F
 
 from adlens.config import (
     AGE_GROUPS,
-    DEFAULT_CHECKPOINT,
     DEFAULT_RULES,
     GENDERS,
     REASON_DUPLICATE,
@@ -51,31 +54,45 @@ from adlens.config import (
 from adlens.functions import round_half_away_value
 from adlens.operators import anomaly, gold, ingest, silver, validate
 from adlens.session import fresh_dir
+from adlens.versions import MONTH, Commit, VersionedTable
 
 TABLES = ("validation_log", "validation_summary", "dim_campaign", "dim_audience",
           "fact_campaign_performance", "mart_campaign_kpis", "mart_campaign_monitoring",
           "campaign_summary", "anomaly_log")
+MONITORING = "mart_campaign_monitoring"
+# what increments are merged from
+STATES = ("_campaign_ads", "_fact_totals", "_campaign_kpis", "_daily_frontier")
 
 
 @dataclass
 class Warehouse:
-    """Parquet tables under one root folder on shared storage."""
+    """Versioned Parquet tables under one root folder on shared storage."""
 
     root: str
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(name))
+    def table(self, spark: SparkSession, name: str) -> VersionedTable:
+        return VersionedTable(spark, self.path(name))
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, state: dict | None = None) -> Commit:
+        """The table anew, as its next version."""
+        return self.table(df.sparkSession, name).replace(df, state)
+
+    def read(self, spark: SparkSession, name: str, months=None) -> DataFrame:
+        """The table's last version; of some months only, if given, where it is kept by month."""
         if name == "raw_campaign_performance":
-            return ingest.read_bronze(spark, self.path(name))
-        if name == "fact_campaign_performance":
-            return spark.read.schema(silver.FACT_SCHEMA).parquet(self.path(name)).select(
-                *silver.FACT_SCHEMA.fieldNames())
-        return spark.read.parquet(self.path(name))
+            return self.table(spark, name).read(months=months, schema=ingest.BRONZE_SCHEMA)
+        found = self.table(spark, name).read(months=months)
+        return found.select(*[c for c in found.columns if c not in gold.RAW_RATIOS]) if name == MONITORING else found
+
+    def versions(self, spark: SparkSession, names) -> dict[str, int]:
+        return {n: self.table(spark, n).current().version for n in names}
+
+    def vacuum(self, spark: SparkSession, keep: int = 10) -> int:
+        """Remove the data of versions before the last ``keep`` of every table; not while a run is writing."""
+        return sum(self.table(spark, n).vacuum(keep) for n in (*TABLES, *STATES, "raw_campaign_performance"))
 
     def register_views(self, spark: SparkSession) -> list[str]:
         """Every written table as a temporary view of the same name, for SQL."""
@@ -131,58 +148,147 @@ def run_validation(spark: SparkSession, raw: DataFrame, wh: Warehouse,
     return dict(zip(summary.columns, row))
 
 
-def _write_fact(spark: SparkSession, wh: Warehouse, since: dt.date, ages, genders) -> None:
-    """The fact from the month of ``since`` on; a first load writes all of it.
+# -- derived tables: what they lack of bronze -------------------------------------------------
+
+def _lacking(bronze: Commit, held: Commit, config: list) -> list[str] | None:
+    """The months that bronze got since ``held`` was made; None: all (nothing held, other settings or another bronze)."""
+    s = held.state
+    if held.version == 0 or s.get("lineage") != bronze.state.get("lineage") or s.get("config") != config:
+        return None
+    return bronze.months(after_seq=s["through"])
+
+
+def _state(bronze: Commit, config: list) -> dict:
+    return {"lineage": bronze.state.get("lineage"), "through": bronze.state.get("seq", 0), "config": config}
+
+
+def _put_months(table: VersionedTable, held: Commit, months: list[str] | None, rows: DataFrame, state: dict) -> None:
+    """``rows`` (with their month) in place of what the table holds of ``months``, all of it for None."""
+    new = table.write(rows.hint("rebalance", MONTH), by_month=True)
+    kept = [] if months is None else [f for f in held.folders if f.month not in set(months)]
+    table.commit(held, [*kept, *new], rows.drop(MONTH).schema, state)
+
+
+def _update_months(spark: SparkSession, wh: Warehouse, name: str, config: list, rows_of) -> None:
+    """Bring a table kept by month up to bronze; ``rows_of(months)`` gives the rows of months (None: all)."""
+    bronze, table = wh.table(spark, "raw_campaign_performance").current(), wh.table(spark, name)
+    held = table.current()
+    months = _lacking(bronze, held, config)
+    if months != []:
+        _put_months(table, held, months, rows_of(months), _state(bronze, config))
 
-    An increment brings dates after ``since`` only, so months before it stay;
-    the others are computed anew and replace their folders (dynamic overwrite).
-    """
-    bronze = ingest.read_bronze(spark, wh.bronze, since)
-    path, first = wh.path("fact_campaign_performance"), since == dt.date.fromisoformat(DEFAULT_CHECKPOINT)
-    fact = silver.fact_campaign_performance(bronze, ages, genders)
-    (fact.withColumn(ingest.MONTH, ingest.month_of("date")).hint("rebalance", ingest.MONTH).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static" if first else "dynamic").partitionBy(ingest.MONTH).parquet(path))
+
+def _update_whole(spark: SparkSession, wh: Warehouse, name: str, inputs: list[str], config: list, rows) -> None:
+    """Make a whole table anew where a table that it is made of, or a setting, has changed."""
+    state = {"inputs": wh.versions(spark, inputs), "config": config}
+    if wh.table(spark, name).current().state != state:
+        wh.write(rows(), name, state)
+
+
+def _settings(rules: Rules) -> list:
+    return [repr(rules)]
+
+
+def _write_fact(spark: SparkSession, wh: Warehouse, ages, genders) -> None:
+    """T3 of the months that the fact lacks."""
+    def rows(months):
+        fact = silver.fact_campaign_performance(wh.read(spark, "raw_campaign_performance", months), ages, genders)
+        return fact.withColumn(MONTH, ingest.month_of("date"))
+
+    _update_months(spark, wh, "fact_campaign_performance", [list(ages), list(genders)], rows)
 
 
 def _write_dim_campaign(spark: SparkSession, wh: Warehouse) -> None:
-    wh.write(silver.dim_campaign(wh.read(spark, "raw_campaign_performance")), "dim_campaign")
+    """The FB campaigns of the months that bronze got, merged with those of the others."""
+    _update_months(spark, wh, "_campaign_ads", [], lambda months: silver.campaign_ads(
+        wh.read(spark, "raw_campaign_performance", months)))
+    _update_whole(spark, wh, "dim_campaign", ["_campaign_ads"], [], lambda: silver.dim_campaign_from(
+        wh.read(spark, "_campaign_ads")))
+
+
+def _write_totals(spark: SparkSession, wh: Warehouse, ages, genders) -> None:
+    """The fact's sums, of the months that these lack."""
+    _update_months(spark, wh, "_fact_totals", [list(ages), list(genders)], lambda months: silver.fact_totals(
+        wh.read(spark, "fact_campaign_performance", months)))
 
 
-def _write_dim_audience(spark: SparkSession, wh: Warehouse, ages, genders) -> None:
-    dim = silver.dim_audience(wh.read(spark, "raw_campaign_performance"), ages, genders)
-    wh.write(dim.coalesce(1), "dim_audience")
+def _write_dim_audience(spark: SparkSession, wh: Warehouse) -> None:
+    _update_whole(spark, wh, "dim_audience", ["_fact_totals"], [], lambda: silver.dim_audience_from(
+        wh.read(spark, "_fact_totals")))
 
 
 def _check_fact(spark: SparkSession, wh: Warehouse) -> dict:
-    """T4 and T5 over the written fact: two one-row aggregates."""
-    fact = wh.read(spark, "fact_campaign_performance")
-    return {**silver.fact_sanity(fact).first().asDict(), **silver.fact_negative_rows(fact).first().asDict()}
+    """T4 and T5 over the fact, from its totals and the dates of the daily mart."""
+    dates = wh.read(spark, MONITORING).select("date").distinct().count()
+    return silver.sanity_from(wh.read(spark, "_fact_totals"), dates).first().asDict()
 
 
 def _write_campaign_kpis(spark: SparkSession, wh: Warehouse) -> None:
-    wh.write(gold.campaign_kpis(wh.read(spark, "fact_campaign_performance")), "_campaign_kpis")
+    _update_whole(spark, wh, "_campaign_kpis", ["_fact_totals"], [], lambda: gold.kpis_from_totals(
+        wh.read(spark, "_fact_totals")))
 
 
-def _write_monitoring(spark: SparkSession, wh: Warehouse, rules: Rules) -> None:
-    fact = wh.read(spark, "fact_campaign_performance")
-    wh.write(gold.campaign_monitoring(fact, rules), "mart_campaign_monitoring")
+def _write_monitoring(spark: SparkSession, wh: Warehouse, rules: Rules, ages, genders) -> None:
+    """M13–M15 from the first month on that the mart lacks; rolling means go on from the frontier.
+
+    The frontier holds each campaign's last rows ahead of the mart's last month. Loads
+    bring later dates only, so they begin in that month or behind it; where one does
+    not (bronze was changed otherwise), the mart is made whole again.
+    """
+    config = [*_settings(rules), list(ages), list(genders)]
+    bronze, table = wh.table(spark, "raw_campaign_performance").current(), wh.table(spark, MONITORING)
+    held, frontier = table.current(), wh.table(spark, "_daily_frontier").current()
+    months = _lacking(bronze, held, config)
+    if months == []:
+        return
+    fact_months, ahead = wh.table(spark, "fact_campaign_performance").current().months(), None
+    if months is not None and held.folders:
+        last = held.months()[-1]
+        # a frontier is as good as the mart's rows that it was made of
+        if min(months) >= last and frontier.state == {"before": last, "mart": held.state.get("frontier")}:
+            months, ahead = [m for m in fact_months if m >= last], wh.read(spark, "_daily_frontier")
+        else:
+            months = None
+    elif months is not None:
+        months = None
+    daily = gold.daily_rows(wh.read(spark, "fact_campaign_performance", months))
+    rows = gold.rolling(daily, rules, ahead).withColumn(MONTH, ingest.month_of("date"))
+    mark = held.state.get("frontier") if ahead is not None else f"{held.version + 1}"
+    _put_months(table, held, months, rows, {**_state(bronze, config), "frontier": mark})
+
+
+def _write_frontier(spark: SparkSession, wh: Warehouse, rules: Rules) -> None:
+    """Each campaign's last rows ahead of the mart's last month, from the months behind the frontier before."""
+    mart, table = wh.table(spark, MONITORING), wh.table(spark, "_daily_frontier")
+    made, held = mart.current(), table.current()
+    if not made.folders:
+        return
+    last, mark = made.months()[-1], made.state["frontier"]
+    if held.state == {"before": last, "mart": mark}:
+        return
+    goes_on = held.state.get("mart") == mark
+    since = held.state["before"] if goes_on else ""
+    some = mart.read(made, [m for m in made.months() if since <= m < last])
+    table.replace(gold.last_rows(some, table.read(held) if goes_on else None, rules), {"before": last, "mart": mark})
 
 
 def _write_kpi_mart(spark: SparkSession, wh: Warehouse, rules: Rules,
-                    run_ts: dt.datetime) -> None:
+                    run_ts: dt.datetime, approximate: bool = False) -> None:
     """The KPI mart from the written per-campaign KPIs, which its statistics read as well."""
-    base = wh.read(spark, "_campaign_kpis")
-    wh.write(gold.mart_from_kpis(base, rules, run_ts), "mart_campaign_kpis")
+    _update_whole(spark, wh, "mart_campaign_kpis", ["_campaign_kpis"], [*_settings(rules), approximate],
+                  lambda: gold.mart_from_kpis(wh.read(spark, "_campaign_kpis"), rules, run_ts, approximate))
 
 
 def _write_summary(spark: SparkSession, wh: Warehouse) -> None:
-    wh.write(gold.campaign_summary(wh.read(spark, "mart_campaign_kpis")), "campaign_summary")
+    _update_whole(spark, wh, "campaign_summary", ["mart_campaign_kpis"], [], lambda: gold.campaign_summary(
+        wh.read(spark, "mart_campaign_kpis")))
 
 
 def _write_anomalies(spark: SparkSession, wh: Warehouse, rules: Rules,
                      run_ts: dt.datetime) -> None:
-    mon = wh.read(spark, "mart_campaign_monitoring")
-    wh.write(anomaly.anomaly_log(mon, rules, run_ts), "anomaly_log")
+    """A1–A10 over the whole daily mart: a new day moves the campaign's mean, against which all days are judged."""
+    _update_whole(spark, wh, "anomaly_log", [MONITORING], _settings(rules), lambda: anomaly.anomaly_log(
+        wh.read(spark, MONITORING), rules, run_ts))
 
 
 def _concurrently(rep: RunReport, steps: dict) -> dict:
@@ -210,18 +316,20 @@ def _concurrently(rep: RunReport, steps: dict) -> dict:
 def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str | None = None,
                  rules: Rules = DEFAULT_RULES, load_rules: str = "campaign",
                  run_ts: dt.datetime | None = None, campaign_ids=VALID_CAMPAIGN_IDS,
-                 ages=AGE_GROUPS, genders=GENDERS) -> tuple[Warehouse, RunReport]:
+                 ages=AGE_GROUPS, genders=GENDERS, approximate_medians: bool = False) -> tuple[Warehouse, RunReport]:
     """All five stages; returns the warehouse and per-step timings.
 
     ``campaign_ids`` (ids, or a table of them), ``ages`` and ``genders`` are
-    what the run allows. Steps that read the same inputs and write different
-    tables run as concurrent jobs, in waves ordered by what each needs:
+    what the run allows; ``approximate_medians`` takes M10 from sketches. Steps that
+    read the same inputs and write different tables run as concurrent jobs, each as
+    soon as what it needs is there:
 
     1. validation (raw → log, summary)
     2. load (raw → bronze)
-    3. fact (bronze)  ‖  dim_campaign (bronze)  ‖  dim_audience (bronze)
-    4. campaign KPIs (fact)  ‖  daily mart (fact)  ‖  checks of the fact
-    5. KPI mart (campaign KPIs)  ‖  anomaly log (daily mart); then the summary
+    3. ``dim_campaign`` (bronze)  ‖  fact (bronze), and after the fact
+       its totals → (KPIs → KPI mart → summary  ‖  ``dim_audience``)
+       ‖  daily mart → (anomaly log  ‖  frontier)
+    4. checks of the fact (totals, daily mart)
     """
     wh = Warehouse(warehouse or fresh_dir(spark, "warehouse"))
     run_ts = run_ts or dt.datetime.now()
@@ -232,21 +340,38 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str | None = No
     rep.load = _concurrently(rep, {
         "ingest": lambda: ingest.load_increment(spark, raw, wh.bronze, wh.watermark,
                                                 run_ts, load_rules, campaign_ids)})["ingest"]
-    since = rep.load["last_loaded"]
-    _concurrently(rep, {"fact": lambda: _write_fact(spark, wh, since, ages, genders),
-                        "dim_campaign": lambda: _write_dim_campaign(spark, wh),
-                        "dim_audience": lambda: _write_dim_audience(spark, wh, ages, genders)})
-    out = _concurrently(rep, {"campaign_kpis": lambda: _write_campaign_kpis(spark, wh),
-                              "monitoring": lambda: _write_monitoring(spark, wh, rules),
-                              "checks": lambda: _check_fact(spark, wh)})
-    rep.checks = out["checks"]
-    _concurrently(rep, {"kpi_mart": lambda: _write_kpi_mart(spark, wh, rules, run_ts),
-                        "anomaly": lambda: _write_anomalies(spark, wh, rules, run_ts)})
-    _concurrently(rep, {"summary": lambda: _write_summary(spark, wh)})
+    build_marts(spark, wh, rep, rules, run_ts, ages, genders, approximate_medians)
     rep.timings["total"] = round(time.perf_counter() - t0, 3)
     return wh, rep
 
 
+def build_marts(spark: SparkSession, wh: Warehouse, rep: RunReport, rules: Rules, run_ts: dt.datetime,
+                ages, genders, approximate_medians: bool = False) -> None:
+    """Bring everything derived from bronze up to it (steps 3 and 4 of ``run_pipeline``)."""
+    def from_totals():
+        _concurrently(rep, {"totals": lambda: _write_totals(spark, wh, ages, genders)})
+        _concurrently(rep, {"kpis": kpis, "dim_audience": lambda: _write_dim_audience(spark, wh)})
+
+    def kpis():
+        _concurrently(rep, {"campaign_kpis": lambda: _write_campaign_kpis(spark, wh)})
+        _concurrently(rep, {"kpi_mart": lambda: _write_kpi_mart(spark, wh, rules, run_ts, approximate_medians)})
+        _concurrently(rep, {"summary": lambda: _write_summary(spark, wh)})
+
+    def from_days():
+        _concurrently(rep, {"monitoring": lambda: _write_monitoring(spark, wh, rules, ages, genders)})
+        _concurrently(rep, {"anomaly": lambda: _write_anomalies(spark, wh, rules, run_ts),
+                            "frontier": lambda: _write_frontier(spark, wh, rules)})
+
+    def from_fact():
+        _concurrently(rep, {"fact": lambda: _write_fact(spark, wh, ages, genders)})
+        _concurrently(rep, {"from_totals": from_totals, "from_days": from_days})
+
+    _concurrently(rep, {"dim_campaign": lambda: _write_dim_campaign(spark, wh), "from_fact": from_fact})
+    rep.checks = _concurrently(rep, {"checks": lambda: _check_fact(spark, wh)})["checks"]
+    for name in ("from_fact", "from_totals", "from_days", "kpis"):  # each is the sum of steps that are listed
+        rep.timings.pop(name, None)
+
+
 # The written marts and the order in which each is shown (``-``: falling)
 SHOWN = {
     "kpis": ("mart_campaign_kpis", ["campaign_id"]),
@@ -276,6 +401,47 @@ def audience_table(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Tables that each named query reads
+REPORT_INPUTS = {
+    **dict.fromkeys(("q01_kpi_overview", "q02_top_conversions", "q03_lowest_cpa", "q04_highest_ctr", "q05_budget_efficiency",
+                     "q13_concentration_risk"), ("mart_campaign_kpis",)),
+    **dict.fromkeys(("q06_age_performance", "q07_age_gender"), ("fact_campaign_performance", "dim_audience")),
+    **dict.fromkeys(("q08_daily_trend", "q12_ctr_change"), (MONITORING,)),
+    "q09_health_ranking": ("campaign_summary", "mart_campaign_kpis"),
+    "q10_anomaly_report": ("anomaly_log",),
+    "q11_data_quality": ("validation_summary",),
+}
+
+
+def kept_result(spark: SparkSession, wh: Warehouse, name: str, inputs, build) -> DataFrame:
+    """The result of a query, made once for the versions of the tables that it reads.
+
+    The result is a versioned table beside the marts, its rows with their place in the
+    query's order. While ``inputs`` have the same versions it is read back, by this or any
+    other session, and no Spark job runs for it before its rows are asked for; a new
+    version of one of them makes it anew.
+    """
+    table = wh.table(spark, f"_results/{name}")
+    state = {"inputs": wh.versions(spark, inputs)}
+    held = table.current()
+    if held.state != state:
+        held = table.replace(build().withColumn("_place", F.monotonically_increasing_id()), state)
+        table.vacuum()
+    return table.read(held).orderBy("_place").drop("_place")
+
+
+def kept_reports(spark: SparkSession, wh: Warehouse, names=tuple(REPORT_INPUTS)) -> dict[str, DataFrame]:
+    """The named queries, each kept for the versions of what it reads."""
+    made = {}
+
+    def build(name):
+        if not made:
+            made.update(warehouse_reports(spark, wh))
+        return made[name]
+
+    return {n: kept_result(spark, wh, n, REPORT_INPUTS[n], lambda n=n: build(n)) for n in names}
+
+
 def warehouse_reports(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
     """The 13 named queries over the written marts."""
     from adlens.operators import reports as q

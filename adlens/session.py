@@ -127,9 +127,15 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         raise
 
 
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time, by which a file stream takes its files."""
+    p, fs = _fs(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
 
 
-__all__ = ["SPARK_CONF", "build_session", "work_dir", "fresh_dir", "exists", "list_names", "read_text", "write_new", "delete", "local_path"]
+__all__ = ["SPARK_CONF", "build_session", "work_dir", "fresh_dir", "exists", "list_names", "read_text", "write_new", "delete", "set_time", "local_path"]

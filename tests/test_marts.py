@@ -165,3 +165,31 @@ def test_rejection_reasons_drop_zero_counts(spark):
                               "reason_duplicate int")
     got = [(r.reason, r["count"]) for r in dashboard.d11_rejection_reasons(s).collect()]
     assert got == [("Invalid Campaign ID", 10), ("Negative Spend", 3)]
+
+
+def test_sketched_medians_are_near_in_rank(spark):
+    """KLL sketches merged by month: the share of values below the median is within 2% of a half."""
+    from adlens.plans.catalog import QUERIES
+    sf = "/root/testdata/sf0.01"
+    got = {r["l_suppkey"]: r for r in QUERIES["supplier_medians_sketched"](spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_suppkey", "l_extendedprice", "l_quantity").collect()
+    values = {}
+    for r in rows:
+        values.setdefault(r[0], ([], []))
+        for k in (0, 1):
+            values[r[0]][k].append(r[k + 1])
+    assert set(got) == set(values)
+    for supplier, both in values.items():
+        for vs, name in zip(both, ("median_price", "median_quantity")):
+            m = got[supplier][name]
+            below, upto = sum(v < m for v in vs) / len(vs), sum(v <= m for v in vs) / len(vs)
+            assert below - 0.02 <= 0.5 <= upto + 0.02
+
+
+def test_approximate_medians_on_request(spark):
+    kpis = spark.createDataFrame([(str(i), float(i), None if i % 2 else 1.0, 5.0) for i in range(1001)],
+                                 "campaign_id string, cpa double, conversion_rate_pct double, total_spend double")
+    exact, near = gold.kpi_medians(kpis).first(), gold.kpi_medians(kpis, approximate=True).first()
+    assert abs(near["median_cpa"] - exact["median_cpa"]) <= 20 and near["median_cr"] == 1.0 and near["median_spend"] == 5.0
+    none = gold.kpi_medians(kpis.where("cpa < 0"), approximate=True).first()
+    assert tuple(none) == (None, None, None)

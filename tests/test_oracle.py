@@ -34,8 +34,8 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    """The training-data operators (op1_ to op10_, pipeline) have SQL where SQL can express them."""
-    own = {k for k in E.queries() if not (k == "pipeline" or k.startswith("op"))}
+    """The training-data operators have SQL where SQL can express them; sketches are approximate."""
+    own = {k for k in E.queries() if not (k == "pipeline" or k.startswith("op"))} - {"supplier_medians_sketched"}
     assert own <= set(E.oracle_sql()) <= set(E.queries())
 
 
