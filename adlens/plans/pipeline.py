@@ -33,6 +33,7 @@ last tasks.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -85,7 +86,7 @@ class Warehouse:
         if name == "raw_campaign_performance":
             return self.table(spark, name).read(months=months, schema=ingest.BRONZE_SCHEMA)
         found = self.table(spark, name).read(months=months)
-        return found.select(*[c for c in found.columns if c not in gold.RAW_RATIOS]) if name == MONITORING else found
+        return found.drop(*gold.RAW_RATIOS, MONTH) if name == MONITORING else found
 
     def versions(self, spark: SparkSession, names) -> dict[str, int]:
         return {n: self.table(spark, n).current().version for n in names}
@@ -163,18 +164,28 @@ def _state(bronze: Commit, config: list) -> dict:
 
 
 def _put_months(table: VersionedTable, held: Commit, months: list[str] | None, rows: DataFrame, state: dict) -> None:
-    """``rows`` (with their month) in place of what the table holds of ``months``, all of it for None."""
+    """``rows`` (with their month) in place of what the table holds of ``months``, all of it for None; a folder a month."""
     new = table.write(rows.hint("rebalance", MONTH), by_month=True)
     kept = [] if months is None else [f for f in held.folders if f.month not in set(months)]
     table.commit(held, [*kept, *new], rows.drop(MONTH).schema, state)
 
 
-def _update_months(spark: SparkSession, wh: Warehouse, name: str, config: list, rows_of) -> None:
+def _put_small(table: VersionedTable, held: Commit, months: list[str] | None, rows: DataFrame, bronze: Commit, state: dict) -> None:
+    """The same for a table that is small for its months: one folder, its rows by month."""
+    by_month = rows.hint("rebalance", MONTH).sortWithinPartitions(MONTH)
+    table.replace_months(held, months, by_month, bronze.months(), state)
+
+
+def _update_months(spark: SparkSession, wh: Warehouse, name: str, config: list, rows_of, small: bool = True) -> None:
     """Bring a table kept by month up to bronze; ``rows_of(months)`` gives the rows of months (None: all)."""
     bronze, table = wh.table(spark, "raw_campaign_performance").current(), wh.table(spark, name)
     held = table.current()
     months = _lacking(bronze, held, config)
-    if months != []:
+    if months == []:
+        return
+    if small:
+        _put_small(table, held, months, rows_of(months), bronze, _state(bronze, config))
+    else:
         _put_months(table, held, months, rows_of(months), _state(bronze, config))
 
 
@@ -195,7 +206,7 @@ def _write_fact(spark: SparkSession, wh: Warehouse, ages, genders) -> None:
         fact = silver.fact_campaign_performance(wh.read(spark, "raw_campaign_performance", months), ages, genders)
         return fact.withColumn(MONTH, ingest.month_of("date"))
 
-    _update_months(spark, wh, "fact_campaign_performance", [list(ages), list(genders)], rows)
+    _update_months(spark, wh, "fact_campaign_performance", [list(ages), list(genders)], rows, small=False)
 
 
 def _write_dim_campaign(spark: SparkSession, wh: Warehouse) -> None:
@@ -254,7 +265,7 @@ def _write_monitoring(spark: SparkSession, wh: Warehouse, rules: Rules, ages, ge
     daily = gold.daily_rows(wh.read(spark, "fact_campaign_performance", months))
     rows = gold.rolling(daily, rules, ahead).withColumn(MONTH, ingest.month_of("date"))
     mark = held.state.get("frontier") if ahead is not None else f"{held.version + 1}"
-    _put_months(table, held, months, rows, {**_state(bronze, config), "frontier": mark})
+    _put_small(table, held, months, rows, bronze, {**_state(bronze, config), "frontier": mark})
 
 
 def _write_frontier(spark: SparkSession, wh: Warehouse, rules: Rules) -> None:
@@ -328,8 +339,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str | None = No
     2. load (raw → bronze)
     3. ``dim_campaign`` (bronze)  ‖  fact (bronze), and after the fact
        its totals → (KPIs → KPI mart → summary  ‖  ``dim_audience``)
-       ‖  daily mart → (anomaly log  ‖  frontier)
-    4. checks of the fact (totals, daily mart)
+       ‖  daily mart → (anomaly log  ‖  frontier  ‖  checks of the fact, once the totals are there)
     """
     wh = Warehouse(warehouse or fresh_dir(spark, "warehouse"))
     run_ts = run_ts or dt.datetime.now()
@@ -347,9 +357,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str | None = No
 
 def build_marts(spark: SparkSession, wh: Warehouse, rep: RunReport, rules: Rules, run_ts: dt.datetime,
                 ages, genders, approximate_medians: bool = False) -> None:
-    """Bring everything derived from bronze up to it (steps 3 and 4 of ``run_pipeline``)."""
+    """Bring everything derived from bronze up to it (step 3 of ``run_pipeline``)."""
+    totals_done = threading.Event()
+
     def from_totals():
-        _concurrently(rep, {"totals": lambda: _write_totals(spark, wh, ages, genders)})
+        try:
+            _concurrently(rep, {"totals": lambda: _write_totals(spark, wh, ages, genders)})
+        finally:
+            totals_done.set()
         _concurrently(rep, {"kpis": kpis, "dim_audience": lambda: _write_dim_audience(spark, wh)})
 
     def kpis():
@@ -359,15 +374,19 @@ def build_marts(spark: SparkSession, wh: Warehouse, rep: RunReport, rules: Rules
 
     def from_days():
         _concurrently(rep, {"monitoring": lambda: _write_monitoring(spark, wh, rules, ages, genders)})
-        _concurrently(rep, {"anomaly": lambda: _write_anomalies(spark, wh, rules, run_ts),
-                            "frontier": lambda: _write_frontier(spark, wh, rules)})
+        rep.checks = _concurrently(rep, {"anomaly": lambda: _write_anomalies(spark, wh, rules, run_ts),
+                                         "frontier": lambda: _write_frontier(spark, wh, rules),
+                                         "checks": checks})["checks"]
+
+    def checks():
+        totals_done.wait()
+        return _check_fact(spark, wh)
 
     def from_fact():
         _concurrently(rep, {"fact": lambda: _write_fact(spark, wh, ages, genders)})
         _concurrently(rep, {"from_totals": from_totals, "from_days": from_days})
 
     _concurrently(rep, {"dim_campaign": lambda: _write_dim_campaign(spark, wh), "from_fact": from_fact})
-    rep.checks = _concurrently(rep, {"checks": lambda: _check_fact(spark, wh)})["checks"]
     for name in ("from_fact", "from_totals", "from_days", "kpis"):  # each is the sum of steps that are listed
         rep.timings.pop(name, None)
 

@@ -21,6 +21,8 @@ SPARK_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small exchanges still use all cores; large ones go by the advisory size
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -12,6 +12,10 @@ them. So
 * reading looks at one file; it neither lists nor probes what increments there are, and
   months that are not asked for are left out before Spark sees them.
 
+Large tables by month have a folder for each month. Small ones, of which an increment
+replaces the last months, have a folder for each increment, and the log says which of
+its months still count (``replace_months``): few files, and old ones are never rewritten.
+
 The commit is written beside its place and moved there by a rename that does not replace
 a file, so of two writers of one version one fails. One run writes a warehouse at a time.
 ``vacuum`` removes folders and commits that none of the last versions name.
@@ -22,27 +26,35 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from adlens.session import delete, list_names, read_text, write_new
 
 LOG = "_commits"
 KEPT_VERSIONS = 10
+MOST_PARTS = 16  # folders of a small table by month, before they are joined
 MONTH = "month"  # partition column of tables kept by month: yyyy-MM
 
 
 @dataclass(frozen=True)
 class Folder:
     """A data folder below the table, its month if it has one, the number of the load that added
-    it, and what it holds where that is not the table's rows (an index kept with them)."""
+    it, and what it holds where that is not the table's rows (an index kept with them).
+
+    ``live`` are the months that count of a folder of several, ``part`` whether it has others.
+    """
 
     path: str
     month: str | None = None
     seq: int = 0
     kind: str = ""
+    live: tuple[str, ...] = ()
+    part: bool = False
 
 
 @dataclass(frozen=True)
@@ -54,7 +66,8 @@ class Commit:
 
     def months(self, after_seq: int = -1) -> list[str]:
         """The months with a folder added after load ``after_seq``."""
-        return sorted({f.month for f in self.folders if f.month is not None and f.seq > after_seq and not f.kind})
+        some = [f for f in self.folders if f.seq > after_seq and not f.kind]
+        return sorted({f.month for f in some if f.month is not None} | {m for f in some for m in f.live})
 
 
 class VersionedTable:
@@ -69,7 +82,7 @@ class VersionedTable:
 
     def _commit(self, number: int) -> Commit:
         found = json.loads(read_text(self.spark, f"{self.path}/{LOG}/{number:012d}.json"))
-        return Commit(number, tuple(Folder(**f) for f in found["folders"]), found["schema"], found["state"])
+        return Commit(number, tuple(Folder(**{**f, "live": tuple(f["live"])}) for f in found["folders"]), found["schema"], found["state"])
 
     def current(self) -> Commit:
         """The last version; version 0 without folders where nothing was committed."""
@@ -114,9 +127,32 @@ class VersionedTable:
         if schema is None:
             raise FileNotFoundError(f"no version of a table at {self.path}")
         wanted = None if months is None else set(months)
-        paths = [f"{self.path}/{f.path}" for f in at.folders
-                 if f.kind == kind and (wanted is None or f.month in wanted)]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        whole, parts = [], []
+        for f in at.folders:
+            if f.kind != kind or (wanted is not None and f.month not in wanted and wanted.isdisjoint(f.live)):
+                continue
+            some = [m for m in f.live if wanted is None or m in wanted]
+            if f.live and (f.part or len(some) < len(f.live)):
+                parts.append((f.path, some))
+            else:
+                whole.append(f"{self.path}/{f.path}")
+        frames = [self.spark.read.schema(schema).parquet(*whole)] if whole else []
+        frames += [self.spark.read.schema(schema).parquet(f"{self.path}/{path}").where(F.col(MONTH).isin(some))
+                   for path, some in parts]
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], schema)
+
+    def replace_months(self, base: Commit, months: list[str] | None, rows: DataFrame, all_months, state: dict) -> Commit:
+        """``rows``, which have a month, in place of ``months`` (None: of everything; their months are among ``all_months``)."""
+        (new,) = self.write(rows)
+        here = tuple(sorted(all_months if months is None else months))
+        kept = [] if months is None else [
+            f if live == f.live else replace(f, live=live, part=True) for f in base.folders
+            if (live := tuple(m for m in f.live if m not in here))]
+        done = self.commit(base, [*kept, replace(new, live=here)], rows.schema, state)
+        if len(done.folders) <= MOST_PARTS:
+            return done
+        (joined,) = self.write(self.read(done))
+        return self.commit(done, [replace(joined, live=tuple(done.months()))])
 
     def vacuum(self, keep: int = KEPT_VERSIONS) -> int:
         """Remove what none of the last ``keep`` versions names; returns how many data folders went.

@@ -66,3 +66,23 @@ def test_vacuum_keeps_the_last_versions(spark):
     assert t.vacuum(keep=2) == 3
     assert values(old) == [3] and values(t.read()) == [4]
     assert len(t._numbers()) == 2
+
+
+def test_months_of_increments(spark, monkeypatch):
+    """A folder an increment; months that a later one replaced no longer count; many folders are joined."""
+    t = VersionedTable(spark, fresh_dir(spark, "t-live"))
+
+    def rows(**months):
+        return spark.createDataFrame([(x, m[1:].replace("_", "-")) for m, xs in months.items() for x in xs], "x long, month string")
+
+    t.replace_months(t.current(), None, rows(_2017_07=[1], _2017_08=[2]), ["2017-07", "2017-08", "2017-09"], {"n": 1})
+    t.replace_months(t.current(), ["2017-08", "2017-09"], rows(_2017_08=[3, 4], _2017_09=[5]), [], {"n": 2})
+    assert values(t.read()) == [1, 3, 4, 5] and values(t.read(months=["2017-08"])) == [3, 4]
+    assert t.current().months() == ["2017-07", "2017-08", "2017-09"]
+    t.replace_months(t.current(), ["2017-07"], rows(_2017_07=[6]), [], {"n": 3})
+    assert values(t.read()) == [3, 4, 5, 6] and len(t.current().folders) == 2
+    monkeypatch.setattr("adlens.versions.MOST_PARTS", 2)
+    t.replace_months(t.current(), ["2017-10"], rows(_2017_10=[7]), [], {"n": 4})
+    at = t.current()
+    assert len(at.folders) == 1 and at.state == {"n": 4} and values(t.read(at)) == [3, 4, 5, 6, 7]
+    assert at.months() == ["2017-07", "2017-08", "2017-09", "2017-10"]
