@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from adlens.session import fresh_dir
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+PLACE = "struct<file:bigint,at:bigint>"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,27 +46,43 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def place_of(docs: DataFrame) -> Column | None:
+    """Where a row of a plain scan stands, as (file, row in it): the same however the scan is cut. None for others."""
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return None
+    try:
+        meta = docs.metadataColumn("_metadata")
+        place = F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("at"))
+        return place if docs.select(place).schema else None
+    except AnalysisException:  # not a scan of files, or of files without numbered rows
+        return None
+
+
 def scanned(docs: DataFrame) -> DataFrame:
-    """``docs`` itself where it is a plain scan, which numbers its rows alike every time; else a stored copy."""
-    return docs if docs._jdf.queryExecution().analyzed().children().isEmpty() else stored(docs, "scanned")
+    """``docs`` itself where its rows have places; else a stored copy, whose rows have."""
+    return docs if place_of(docs) is not None else stored(docs, "scanned")
+
+
+def place_or_null(docs: DataFrame) -> Column:
+    """``place_of``, or NULL of the same type."""
+    place = place_of(docs)
+    return F.lit(None).cast(PLACE) if place is None else place
 
 
-def at_rows(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` joined to ``found`` by row; ``found`` has ``_row`` and ``_hash`` besides its columns.
+def at_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs``, which has to be ``scanned``, joined to ``found`` by the ``_place`` of its rows.
 
-    ``_row`` is the ``monotonically_increasing_id`` of ``docs``, which has to be
-    ``scanned``, and ``_hash`` the ``text_hash`` of that row. Numbering the rows
-    again in place of keeping a copy of them rests on a scan that is cut as before
-    (files and settings unchanged); a row that has another text stops the job. ``docs`` keeps its
-    columns, and those of ``found`` must have other names.
+    The place of a row is its file and its number in the file, which the scan gives and
+    which depends neither on cores nor on how files are split; so no copy of the rows has
+    to be kept. ``docs`` keeps its columns, and those of ``found`` must have other names.
     """
-    row, text = free_name(docs, "_row_id"), free_name(docs, "_text_hash")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(text, text_hash(F.col(text_col)))
-    both = numbered.join(found.withColumnsRenamed({"_row": "_found_row", "_hash": "_found_hash"}),
-                         F.col(row) == F.col("_found_row"))
-    same = F.when(F.col(text) == F.col("_found_hash"), F.lit(True)).otherwise(
-        F.raise_error(F.lit("the rows were numbered differently when read again")))
-    return both.where(same).drop(row, text, "_found_row", "_found_hash")
+    file, at = free_name(docs, "_file"), free_name(docs, "_at")
+    place = place_of(docs)
+    placed = docs.select("*", place["file"].alias(file), place["at"].alias(at))
+    keyed = found.select(*[c for c in found.columns if c != "_place"], F.col("_place.file").alias("_found_file"),
+                         F.col("_place.at").alias("_found_at"))
+    both = placed.join(keyed, (F.col(file) == F.col("_found_file")) & (F.col(at) == F.col("_found_at")))
+    return both.drop(file, at, "_found_file", "_found_at")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -117,5 +135,6 @@ def prefix_sums(df: DataFrame, value: str, order: Sequence[str],
             .drop("_part", "_before", "_rank"))
 
 
-__all__ = ["WORD", "UPPER", "LOWER", "table", "stored", "free_name", "text_hash", "scanned", "at_rows", "shuffle_partitions", "ascii_lower",
+__all__ = ["WORD", "UPPER", "LOWER", "table", "stored", "free_name", "text_hash", "PLACE", "place_of", "place_or_null", "scanned",
+           "at_rows", "shuffle_partitions", "ascii_lower",
            "word_count", "prefix_sums"]

@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import ascii_lower, stored, table, text_hash
+from adlens.llm.common import ascii_lower, place_or_null, stored, table
 
 MIN_CHUNK, MAX_CHUNK = 256, 4096
 LEAST = -(2 ** 63)
@@ -41,11 +41,11 @@ def chunks(text: Column) -> Column:
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """``_row, _hash, doc_id, recipe, text_sha256`` with verified chunk identifiers."""
-    norm = docs.select(F.monotonically_increasing_id().alias("_row"), text_hash(F.col(text_col)).alias("_hash"),
+    """``_row, _place, doc_id, recipe, text_sha256`` with verified chunk identifiers."""
+    norm = docs.select(F.monotonically_increasing_id().alias("_row"), place_or_null(docs).alias("_place"),
                        F.col(id_col).cast("long").alias("doc_id"),
                        ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
-    cut = norm.select("_row", "_hash", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
+    cut = norm.select("_row", "_place", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
                       chunks(F.col("norm")).alias("chunks"))
     owned = (norm.select(F.explode(chunks(F.col("norm"))).alias("chunk"))
              .select(hash_of(F.col("chunk")).alias("h"), "chunk").distinct())
@@ -67,14 +67,14 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     exact = F.transform(F.coalesce("pieces", F.array().cast("array<struct<at:int,h:bigint,rank:int>>")),
                         lambda p: F.struct(p["h"].alias("h"), p["rank"].alias("rank")))
     return (cut.drop("chunks").join(lists, "_row", "left")
-            .select("_row", "_hash", "doc_id", "text_sha256", exact.alias("recipe")))
+            .select("_row", "_place", "doc_id", "text_sha256", exact.alias("recipe")))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per input row: ``_row, _hash, doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per input row: ``_row, _place, doc_id, keep_id, group_size, kept, text_sha256``.
 
-    ``_row`` and ``_hash`` lead back to the input (``common.at_rows``).
+    ``_place`` leads back to the input (``common.at_rows``).
     """
     listed = stored(recipes(docs, id_col, text_col, hash_of), "dedup-recipes")
     place = F.coalesce("doc_id", F.lit(LEAST))
@@ -83,13 +83,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count(F.lit(1)).alias("group_size"))
     groups = stored(groups, "dedup-groups")
     return listed.join(groups, "recipe").select(
-        "_row", "_hash", "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"),
+        "_row", "_place", "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"),
         "text_sha256")
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:
     """All ``documents``, dropped ones too, with the document that stays of each text."""
-    return exact_dedup(table(spark, sf_dir, "documents")).drop("_row", "_hash")
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("_row", "_place")
 
 
 OP8_SQL = """

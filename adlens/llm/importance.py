@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from adlens.llm.common import free_name, prefix_sums, scanned, stored, table
+from adlens.llm.common import free_name, place_of, prefix_sums, scanned, stored, table
 from adlens.llm.words import ODD, WordHash, mix, runs
 
 TOKENS = re.compile(r"\w+|[^\w\s]+")
@@ -172,7 +172,9 @@ def resample(docs: DataFrame, labels: DataFrame, temperature: float = 0.002, sam
     gumbel = -F.log(-F.log((noise + 0.5) / float(1 << 52)))
 
     def keyed(rows: DataFrame) -> DataFrame:
-        return weighed(rows.withColumn(row, F.monotonically_increasing_id()), ratios, text_col, weight).withColumn(
+        # where rows are read again, equal keys are told apart by what stays the same: their place
+        at = place_of(docs) if keep_columns else F.monotonically_increasing_id()
+        return weighed(rows.withColumn(row, at), ratios, text_col, weight).withColumn(
             key, F.col(weight) / temperature + gumbel)
 
     done = stored(keyed(docs.select(F.col(id_col), F.col(text_col))).drop(text_col), "dsir-weights")
@@ -193,8 +195,9 @@ def resample(docs: DataFrame, labels: DataFrame, temperature: float = 0.002, sam
     last = ranked.where(F.col("rank") == F.col("total") - 1).select("k", "r").first()
     kept: Column = F.lit(False)
     if last is not None:
-        edge = F.lit(-last["k"])
-        kept = F.coalesce((F.col(key) > edge) | ((F.col(key) == edge) & (F.col(row) <= last["r"])), F.lit(False))
+        edge, here = F.lit(-last["k"]), last["r"]
+        here = F.struct(F.lit(here["file"]).alias("file"), F.lit(here["at"]).alias("at")) if keep_columns else F.lit(here)
+        kept = F.coalesce((F.col(key) > edge) | ((F.col(key) == edge) & (F.col(row) <= here)), F.lit(False))
     if keep_columns:  # weighed again in passing, which spares a copy of all texts
         return keyed(docs).where(kept).select(*docs.columns)
     return done.select(F.col(id_col).alias("doc_id"), F.col(weight).alias("log_weight"), F.col(key).alias("key"),

@@ -1,14 +1,17 @@
 """Operator 4, mixing sources to target weights over packed blocks.
 
 The words of each source, in order of document id, are packed end to end and
-cut into blocks of ``block_words`` (the last may be short). A source's target
-decides how many slots of the mix it fills. All slots are numbered source by
-source and dealt over the output by one pseudorandom permutation, so the
-source counts of each output shard of ``shard_slots`` slots are a multinomial
-draw, conditioned on the totals the targets ask for. Slot ``j`` of a source
-uses, in its pass ``j div n`` over the source's ``n`` blocks, the block that a
-permutation of its own gives for ``j mod n``: no block is used again before
-all were, and blocks and slots meet in an equi-join by index.
+cut into blocks of ``block_words`` (the last may be short); a source of few words has
+smaller blocks, ``LEAST_BLOCKS`` or more. A source's target decides how many slots of
+the mix it fills: the blocks times target / size, the part of a slot that is left
+over decided by a hash of the source. The output is cut into shards of ``shard_slots``
+slots. Each shard's source counts are drawn: one pseudorandom permutation deals all
+slots over the output, which is a multinomial draw for every shard, conditioned on the
+totals that the targets ask for. The drawn counts, summed up over the shards ahead,
+number a source's slots from 0 on. Slot ``j`` of a source uses, in its pass ``j div n``
+over the source's ``n`` blocks, the block that a permutation of its own gives for
+``j mod n``: no block is used again before all were, and blocks and slots meet in an
+equi-join by index.
 
 Targets: sources in code point order (NULL last) weigh 1, 2, 3, repeating, and
 share all words; a target stops at ``max_passes`` times its source's size and
@@ -31,17 +34,23 @@ from pyspark.sql import functions as F
 from adlens.llm.common import (
     at_rows,
     free_name,
+    place_or_null,
     prefix_sums,
     scanned,
     shuffle_partitions,
     stored,
     table,
-    text_hash,
     word_count,
 )
 
 SOURCE = ["_null", "_src"]
 CHUNK = 4096  # slots written out by one row
+LEAST_BLOCKS = 64  # of a source, where it has so many words
+
+
+def block_size(words: Column, block_words: int) -> Column:
+    """Words of a block of a source of so many ``words``."""
+    return F.least(F.lit(int(block_words)), F.greatest(F.lit(1), F.floor(words / LEAST_BLOCKS))).cast("long")
 
 
 def permute(i: Column, n: Column, *key: Column, rounds: int = 24) -> Column:
@@ -83,31 +92,37 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3),
         "mix-targets")
 
 
-def mix_slots(targets: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
-    """The mix: one row per slot, ``shard, slot, _null, _src, pass, block``."""
-    blocks = F.ceil(F.col("size") / block_words).cast("long")
-    counts = targets.where("size > 0").withColumn("blocks", blocks).withColumn(
-        "slots", F.round(F.col("blocks") * F.col("target") / F.col("size")).cast("long"))
-    counts = (prefix_sums(counts, "slots", SOURCE, name="mix-slots")
+def shard_counts(targets: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
+    """The draw: ``shard, _null, _src, blocks, count``, a row for each source that a shard has slots of."""
+    blocks = F.ceil(F.col("size") / block_size(F.col("size"), block_words)).cast("long")
+    chance = (F.pmod(F.xxhash64(F.lit("slots"), F.lit(seed), *map(F.col, SOURCE)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+    wanted = targets.where("size > 0").withColumn("blocks", blocks).withColumn(
+        "wanted", F.col("blocks") * F.col("target") / F.col("size"))
+    slots = F.floor("wanted") + (chance < F.col("wanted") - F.floor("wanted")).cast("long")
+    counts = (prefix_sums(wanted.withColumn("slots", slots.cast("long")), "slots", SOURCE, name="mix-slots")
               .where("slots > 0")
               .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CHUNK})"))))
     spread = counts.repartition(shuffle_partitions(targets.sparkSession), *SOURCE, "chunk")
     j = F.explode(F.expr(f"sequence(chunk * {CHUNK}, least((chunk + 1) * {CHUNK}, slots) - 1)"))
-    rows = spread.withColumn("j", j)
     at = permute(F.col("before") + F.col("j"), F.col("total"), F.lit(seed))
-    turn = F.expr("j div blocks")
-    pick = permute(F.col("j") % F.col("blocks"), F.col("blocks"), F.lit(seed), *map(F.col, SOURCE),
-                   F.col("pass"))
-    return (rows.withColumn("at", at).withColumn("pass", turn)
-            .select(F.expr(f"at div {int(shard_slots)}").alias("shard"),
-                    (F.col("at") % int(shard_slots)).alias("slot"),
-                    *SOURCE, "pass", pick.alias("block")))
+    return (spread.withColumn("j", j).withColumn("at", at)
+            .groupBy(F.expr(f"at div {int(shard_slots)}").alias("shard"), *SOURCE, "blocks")
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+def mix_slots(targets: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
+    """The mix: one row per slot, ``shard, _null, _src, pass, block``, from each shard's drawn counts."""
+    drawn = prefix_sums(shard_counts(targets, block_words, shard_slots, seed), "count", ["shard"], SOURCE, "mix-shards")
+    j = F.explode(F.expr("sequence(before, before + count - 1)"))
+    pick = permute(F.col("j") % F.col("blocks"), F.col("blocks"), F.lit(seed), *map(F.col, SOURCE), F.col("pass"))
+    return (drawn.withColumn("j", j).withColumn("pass", F.expr("j div blocks"))
+            .select("shard", *SOURCE, "pass", pick.alias("block")))
 
 
 def placed_documents(docs: DataFrame, source_col: str, id_col: str, text_col: str) -> DataFrame:
-    """``_row, _hash, doc_id, _null, _src, size, before, total``: places in the packed source (stored)."""
+    """``_row, _place, doc_id, _null, _src, size, before, total``: places in the packed source (stored)."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), text_hash(F.col(text_col)).alias("_hash"),
+        F.monotonically_increasing_id().alias("_row"), place_or_null(docs).alias("_place"),
         F.col(id_col).alias("doc_id"), F.col(source_col).isNull().alias("_null"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_src"),
         word_count(F.col(text_col)).alias("size"))
@@ -128,12 +143,11 @@ def pieces_of(placed: DataFrame, block_words: int) -> DataFrame:
 
     ``first`` is the part's first word within the document.
     """
-    b = int(block_words)
-    pieces = placed.where("size > 0").withColumn(
-        "block", F.explode(F.expr(f"sequence(before div {b}, (before + size - 1) div {b})")))
-    return (pieces.withColumn("first", F.greatest(F.col("block") * b - F.col("before"), F.lit(0)))
-            .withColumn("words", F.least((F.col("block") + 1) * b - F.col("before"), F.col("size"))
-                        - F.col("first")))
+    sized = placed.where("size > 0").withColumn("_b", block_size(F.col("total"), block_words))
+    pieces = sized.withColumn("block", F.explode(F.expr("sequence(before div _b, (before + size - 1) div _b)")))
+    return (pieces.withColumn("first", F.greatest(F.col("block") * F.col("_b") - F.col("before"), F.lit(0)))
+            .withColumn("words", F.least((F.col("block") + 1) * F.col("_b") - F.col("before"), F.col("size"))
+                        - F.col("first")).drop("_b"))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passes: int = 3,
@@ -154,7 +168,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passe
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passes: int = 3,
-                    block_words: int = 512, shard_slots: int = 4096, seed: int = 7,
+                    block_words: int = 64, shard_slots: int = 4096, seed: int = 7,
                     source_col: str = "source", id_col: str = "doc_id", text_col: str = "text"
                     ) -> DataFrame:
     """The mix as documents: for each pass a row with the words taken in it, in order.
@@ -170,16 +184,16 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_p
     parts, turn = free_name(docs, "_parts"), free_name(docs, "_pass")
     taken = (pieces_of(placed, block_words)
              .join(slots.select(*SOURCE, "block", "pass").hint("merge"), [*SOURCE, "block"])
-             .groupBy("_row", "_hash", "pass", "size")
+             .groupBy("_row", "_place", "pass", "size")
              .agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("n")))
-    taken = taken.select("_row", "_hash", F.col("pass").alias(turn),
+    taken = taken.select("_place", F.col("pass").alias(turn),
                          F.when(F.col("n") < F.col("size"), F.col("parts")).alias(parts))
     # a word with the white space ahead of it
     words = F.regexp_extract_all(F.col(text_col), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
     cut = F.concat_ws("", F.flatten(F.transform(parts, lambda p: F.slice(
         words, (p["first"] + 1).cast("int"), p["words"].cast("int")))))
     text = F.when(F.col(parts).isNull(), F.col(text_col)).otherwise(cut)
-    return at_rows(docs, taken, text_col).select(
+    return at_rows(docs, taken).select(
         *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import stored, table, text_hash
+from adlens.llm.common import PLACE, place_or_null, stored, table, text_hash
 from adlens.llm.components import components
 from adlens.llm.words import ODD, WordHash, mix, runs, words_of
 
@@ -98,13 +98,13 @@ def digest(s: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``_row, doc_id, text_hash, n, key, bands`` of ``_row, doc_id, text_hash, text``."""
+    """``_row, doc_id, text_hash, _place, n, key, bands`` of ``_row, doc_id, text_hash, _place, text``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
         tags = np.arange(BANDS, dtype=np.uint64) * ODD
         for b in batches:
             at = 0
-            for texts in runs(b.column(3).to_pylist(), lambda t: len(t or "") // 6 + 1, RUN_WORDS):
+            for texts in runs(b.column(4).to_pylist(), lambda t: len(t or "") // 6 + 1, RUN_WORDS):
                 sets = [shingle_set(hashes.of(words_of(t)), k) for t in texts]
                 full = [s for s in sets if len(s)]
                 bands = np.zeros((0, BANDS), np.int64)
@@ -116,14 +116,14 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                     bands = mix(h + tags).view(np.int64)
                 ends = np.cumsum([0, *[BANDS if len(s) else 0 for s in sets]])
                 yield pa.RecordBatch.from_arrays(
-                    [*[b.column(i).slice(at, len(texts)) for i in range(3)],
+                    [*[b.column(i).slice(at, len(texts)) for i in range(4)],
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands.ravel()))],
-                    names=["_row", "doc_id", "text_hash", "n", "key", "bands"])
+                    names=["_row", "doc_id", "text_hash", "_place", "n", "key", "bands"])
                 at += len(texts)
 
-    return docs.mapInArrow(run, "_row bigint, doc_id bigint, text_hash bigint, n bigint, key binary, bands array<bigint>")
+    return docs.mapInArrow(run, f"_row bigint, doc_id bigint, text_hash bigint, _place {PLACE}, n bigint, key binary, bands array<bigint>")
 
 
 def full_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -232,14 +232,14 @@ def block_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """``_row, _hash, doc_id, n_shingles, component_id, kept, stays``, a row per input row.
+    """``_row, _place, doc_id, n_shingles, component_id, kept, stays``, a row per input row.
 
-    ``_row`` and ``_hash`` lead back to the input (``common.at_rows``);
+    ``_place`` leads back to the input (``common.at_rows``);
     ``stays`` is true for one row of each component.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"),
-                       text_hash(text).alias("text_hash"), text.alias("text"))
+                       text_hash(text).alias("text_hash"), place_or_null(docs).alias("_place"), text.alias("text"))
     sig = stored(signatures(rows, shingle_words), "near-signatures")
     classes = sig.where("n > 0").groupBy("key").agg(F.min("_row").alias("node"), F.min("doc_id").alias("id"))
     nodes = stored(sig.withColumnRenamed("_row", "node").join(classes.drop("key"), "node").select(
@@ -289,16 +289,16 @@ def near_dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_co
     ids = of.groupBy("root").agg(F.min("id").alias("component_id"))
     of = stored(of.join(ids, "root").select("key", "root", "component_id"), "near-classes")
     out = sig.drop("bands").join(of, "key", "left").select(
-        "_row", F.col("text_hash").alias("_hash"), "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "_row").alias("root"),
+        "_row", "_place", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "_row").alias("root"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     out = stored(out, "near-rows")
     best = out.groupBy("root").agg(F.min_by("_row", F.coalesce("doc_id", F.lit(2 ** 63 - 1))).alias("_stays"))
     return out.join(best, "root").select(
-        "_row", "_hash", "doc_id", "n_shingles", "component_id",
+        "_row", "_place", "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
         (F.col("_row") == F.col("_stays")).alias("stays"))
 
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` by near copies: 4-word shingles, similarity 0.8 or more."""
-    return near_dedup(table(spark, sf_dir, "documents"), shingle_words=4).drop("_row", "_hash", "stays")
+    return near_dedup(table(spark, sf_dir, "documents"), shingle_words=4).drop("_row", "_place", "stays")

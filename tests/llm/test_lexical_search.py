@@ -68,6 +68,7 @@ def test_hot_group_and_small_tiles(spark, small, monkeypatch):
     monkeypatch.setattr(search, "TILE", 50)
     monkeypatch.setattr(search, "BLOCK", 6)
     monkeypatch.setattr(search, "FIRST", 3)
+    monkeypatch.setattr(search, "SCORED_OUTRIGHT", 2)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = brute(rows, items)
     assert got(ranked(docs, spark.createDataFrame(items, ITEMS))) == want
@@ -91,7 +92,8 @@ def tile_of(rng, n_docs, n_terms, groups):
     return ready(row_tile(tile_row(tile))), weights
 
 
-def test_summaries_bound_and_skip():
+def test_summaries_bound_and_skip(monkeypatch):
+    monkeypatch.setattr(search, "SCORED_OUTRIGHT", 3)
     rng = np.random.default_rng(4)
     tile, weights = tile_of(rng, 1500, 400, 20)
     seen = Seen()
@@ -113,7 +115,8 @@ def test_summaries_bound_and_skip():
     assert seen.opened < 0.8 * seen.blocks and seen.scored < 0.3 * seen.documents
 
 
-def test_every_summary_is_the_rounded_maximum():
+def test_every_summary_is_the_rounded_maximum(monkeypatch):
+    monkeypatch.setattr(search, "SCORED_OUTRIGHT", 3)
     tile, _ = tile_of(np.random.default_rng(9), 300, 100, 5)
     level = np.zeros((300, len(tile.terms)), np.int64)
     level[np.repeat(np.arange(300), np.diff(tile.first)), tile.cols] = -(-tile.impacts // search.STEP)

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = list(__spark_entry__.queries())
-    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
@@ -53,3 +53,20 @@ def test_edge_rows_and_empty(spark, edge, empty, stage):
         assert out.columns == edge.columns
         assert out.where(F.col("kept") != "extra kept").count() == 0
     assert stage(spark, empty, SF).count() == 0
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]], ids=lambda f: f.__name__)
+def test_other_splits_at_the_second_reading(spark, stage):
+    """Cores come and go: the splits of the second scan of a stage differ from those of the first."""
+    docs = stored(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "test-splits")
+    want = stage(spark, docs, SF.replace("0.001", "0.01"))
+    rows = sorted(map(tuple, want.collect()), key=str)
+    names = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k", "spark.sql.leafNodeDefaultParallelism": "13"}
+    out = stage(spark, docs, SF.replace("0.001", "0.01"))  # planned with the first scan's splits behind it
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        assert sorted(map(tuple, out.collect()), key=str) == rows
+    finally:
+        for k in names:
+            spark.conf.unset(k)
