@@ -35,12 +35,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = scanned(docs)
-    return at_rows(docs, exact_dedup(docs).where("kept").select("_row", "_hash"))
+    return at_rows(docs, exact_dedup(docs).where("kept").select("_place"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = scanned(docs)
-    return at_rows(docs, near_dedup(docs).where("stays").select("_row", "_hash"))
+    return at_rows(docs, near_dedup(docs).where("stays").select("_place"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
