@@ -21,9 +21,10 @@ count; the buckets add up, sample and answer in the order asked. A word or
 pair that makes up a third of all tokens is therefore one entry for each chunk,
 and a frequent context is spread over all buckets by its words. The number of
 buckets follows the number of tokens, so each task holds a bounded piece.
-Word hashes have 64 bits; in pairs, and in the parent, their upper 32, so words
-that agree in these share their seating (one in a thousand at four million
-words), while the counts behind ``base_score`` stay apart.
+Word hashes have 64 bits; in pairs, and in the parent, their upper 32. Words that agree
+in these (one in a thousand at four million words) are one word to the model: they
+share a restaurant, its customers and its seating, and each has their common
+probability, which thus never passes 1. The counts behind ``base_score`` stay apart.
 
 Defined cases: NULL text is empty, and an empty text is one end token; a NULL
 id counts as an empty one in the fold; without training tokens N and V are 0
@@ -248,7 +249,8 @@ def add_up(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray
 # -- the exchanges ----------------------------------------------------------------
 
 def word_counts(chunks: DataFrame, buckets: int) -> tuple[DataFrame, int, int]:
-    """Answers of kind 0 with the words' training counts; N and V."""
+    """Answers of kind 0 with the words' training counts, and what words that share their upper half
+    have besides; N and V."""
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, high, low, counts in zip(*(c.to_pylist() for c in b.columns)):
@@ -260,10 +262,12 @@ def word_counts(chunks: DataFrame, buckets: int) -> tuple[DataFrame, int, int]:
     def answer(rows: pa.Table) -> pa.Table:
         words = [(unpack_ascending(a) << np.uint64(32)) | np.frombuffer(b, np.uint32)
                  for a, b in zip(rows.column("a").to_pylist(), rows.column("b").to_pylist())]
-        _, sums, at = add_up(words, [unpack(x, np.int32) for x in rows.column("c").to_pylist()])
+        distinct, sums, at = add_up(words, [unpack(x, np.int32) for x in rows.column("c").to_pylist()])
+        _, top = np.unique(upper(distinct), return_inverse=True)  # a bucket has all words of an upper half
+        besides = np.bincount(top, weights=sums)[top].astype(np.int64) - sums if len(sums) else sums
         ends = np.cumsum([0, *map(len, words)])
         dest = rows.column("dest")[0].as_py()
-        out = [(dest, chunk, 0, pack(sums[at[i:j]]), None, None) for chunk, i, j in
+        out = [(dest, chunk, 0, pack(sums[at[i:j]]), pack(besides[at[i:j]]), None) for chunk, i, j in
                zip(rows.column("chunk").to_pylist(), ends, ends[1:])]
         totals = np.array([sums.sum(), (sums > 0).sum()], np.int64)
         return message_table([*out, (dest, None, 9, totals.tobytes(), None, None)])
@@ -283,7 +287,7 @@ def totals_of(answers: DataFrame, dtype, size: int) -> np.ndarray:
 
 
 TEXT = ["high", "end", "tokens", "ranks", "lengths", "held"]  # what Pairs needs of a chunk
-LEVELS = 4  # steps of a factor 2 in which a weight is sent, as one byte
+LEVELS, LEAST_LOG2 = 4, -34  # steps of a factor 2 in which a weight is sent as one byte: 2^-34 to 2^29.75
 
 
 def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: int, seed: int, weigh,
@@ -299,7 +303,7 @@ def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: i
     """
     def ask(row: dict, got: pa.Table) -> pa.Table:
         p = Pairs(row, buckets)
-        level = np.clip(np.rint((weigh(p, got) + 48) * LEVELS), 0, 255).astype(np.uint8)[p.order]
+        level = np.clip(np.rint((weigh(p, got) - LEAST_LOG2) * LEVELS), 0, 255).astype(np.uint8)[p.order]
         counts, key, cuts = p.train_counts().astype(np.int32)[p.order], p.key[p.order], p.cuts
         if again:
             keep = joined(got, 1, "a", np.int32) >= 2
@@ -327,7 +331,7 @@ def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: i
         key, c, at = add_up(keys, counts)
         level = np.zeros(len(key))
         level[at] = np.concatenate(levels)  # the same from all chunks
-        new = 2.0 ** (level / LEVELS - 48)
+        new = 2.0 ** (level / LEVELS + LEAST_LOG2)
         rng = np.random.default_rng([seed, dest])
         tables = [sample_tables(c, new, DISCOUNT, rng) for _ in range(samples)]
         ends = np.cumsum([0, *map(len, keys)])
@@ -433,7 +437,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
     release(chunks.sparkSession)
 
     def from_counts(p: Pairs, got: pa.Table) -> np.ndarray:
-        c = np.maximum(joined(got, 0, "a", np.int64), 0.5)
+        c = np.maximum(joined(got, 0, "a", np.int64) + joined(got, 0, "b", np.int64), 0.5)
         return np.log2(STRENGTH + DISCOUNT * c[p.u] ** 0.85) + np.log2(c[p.w] / max(n, 1))
 
     weigh, answers, drawn = from_counts, counts, 1
@@ -459,6 +463,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
     def score(row: dict, got: pa.Table) -> pa.Table:
         p = Pairs(row, buckets)
         c = joined(got, 0, "a", np.int64)
+        customers_at = c + joined(got, 0, "b", np.int64)  # of the restaurant that a word is the context of
         seats = joined(got, 4, "a", np.float32).reshape(-1, drawn).astype(np.float64)
         mass = joined(got, 4, "b", np.float32).reshape(-1, drawn).astype(np.float64)
         dealt = joined(got, 1, "a", np.int32)
@@ -475,7 +480,7 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
             p0 = root_probability(mass[:, s], customers[s], tables[s], v)
             own = seen - DISCOUNT * at_tables[s]
             share = STRENGTH + DISCOUNT * seats[p.u, s]
-            chance += (own + share * p0[p.w]) / (STRENGTH + c[p.u])
+            chance += (own + share * p0[p.w]) / (STRENGTH + customers_at[p.u])
         logs = np.log10(chance / drawn)
         base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
         ends = np.cumsum(p.lengths)[:-1]

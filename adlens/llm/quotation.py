@@ -9,12 +9,14 @@ block one level deeper, with that block's own, and so on (1, 2, 4, ... levels
 deep). The blocks of a level are also taken together. Quoted passages are
 joined to messages that have the passage as own text, by each of these hashes;
 the deepest that matches counts, so a text that many messages share links to
-the one that answered the same. Originals are reduced to one row a hash first
-(the earliest), so a quote links to one row, not to all. Of a message's links
-those of the lowest level win, then the original with the most quoted words in
-whole blocks, then in single lines, then the earliest: that is its parent,
-always an earlier message. Only originals that are alike in all that the quote
-shows of them cannot be told apart; the earliest stands for them.
+the one that answered the same. A quote links to one original of a hash, the
+nearest ahead of the quoting message. Where a hash has one original, that is a
+join; where it has more, originals and quotes are ordered by hash and time over a range
+partitioning, which cuts a hash that very many messages share, and each takes the last
+original before it, from its own partition or carried over from those ahead. Of a
+message's links those of the lowest level win, then the original with the most
+quoted words in whole blocks, then in single lines, then the nearest: that is its
+parent, always an earlier message.
 
 Parents make trees. Roots and depths come from pointer doubling, which needs
 the logarithm of the deepest thread in rounds; the order within each
@@ -38,10 +40,10 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import prefix_sums, stored, table
+from adlens.llm.common import prefix_sums, shuffle_partitions, stored, table
 
 MARKS = re.compile(r"(?: ?>)+ ?")
 # How the line ahead of a quote ends.
@@ -155,18 +157,46 @@ def parsed(messages: DataFrame) -> DataFrame:
     return messages.mapInArrow(run, PARSED)
 
 
+def nearest_ahead(originals: DataFrame, quotes: DataFrame) -> DataFrame:
+    """``quotes`` with ``parent, parent_id``: the last original of the same key with a smaller id.
+
+    ``originals``: key, id, _row; ``quotes``: key, id and others. Quotes without one go.
+    """
+    own = [c for c in quotes.columns if c not in ("key", "id")]
+    held = originals.select("key", "id", F.struct("id", "_row").alias("o"))
+    asked = quotes.select("key", "id", F.struct(*own).alias("q"))
+    both = asked.unionByName(held, allowMissingColumns=True).withColumn("is_original", F.col("o").isNotNull())
+    order = ["id", "is_original"]  # of one id, quotes come first: an original has to be earlier
+    ranged = stored(both.repartitionByRange(shuffle_partitions(quotes.sparkSession), "key", *order, F.xxhash64("o", "q"))
+                    .withColumn("_part", F.spark_partition_id()), "quote-ranged")
+    ahead = Window.partitionBy("key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranged.groupBy("key", "_part").agg(F.max("o").alias("last")).select(
+        "key", "_part", F.max("last").over(ahead).alias("carried"))
+    inside = Window.partitionBy("_part", "key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    found = ranged.withColumn("before", F.max("o").over(inside)).where("not is_original").join(carried, ["key", "_part"])
+    link = F.coalesce("before", "carried")
+    return found.withColumn("link", link).where("link is not null").select(
+        "key", "id", "q.*", F.col("link._row").alias("parent"), F.col("link.id").alias("parent_id"))
+
+
 def parents(read: DataFrame) -> DataFrame:
     """``_row, parent, parent_id`` of messages that quote an earlier one; ``read``: _row, id, passages."""
     one = read.select("_row", "id", F.posexplode("passages").alias("n", "p")).select("_row", "id", "n", "p.*")
     one = one.select("*", F.posexplode("keys").alias("depth", "key")).drop("keys")
-    originals = one.where("level = 0 and id is not null").groupBy("key").agg(
-        F.min("id").alias("parent_id"), F.min_by("_row", "id").alias("parent"))
+    held = one.where("level = 0 and id is not null").select("key", "id", "_row")
+    originals = held.groupBy("key").agg(
+        F.min("id").alias("parent_id"), F.min_by("_row", "id").alias("parent"), F.count(F.lit(1)).alias("times"))
+    quotes = one.where("level > 0 and id is not null").join(originals, "key").where("parent_id < id")
+    quotes = stored(quotes, "quote-candidates")
+    single = quotes.where("times = 1").drop("times", "key")
+    shared = quotes.where("times > 1")
+    several = held.join(shared.select("key").distinct(), "key", "left_semi")
+    links = single.unionByName(nearest_ahead(several, shared.drop("times", "parent", "parent_id")).drop("key"))
     found = F.struct("level", "whole", "words", "parent", "parent_id")
-    links = one.where("level > 0").join(originals, "key").where("parent_id < id").groupBy("_row", "n").agg(
-        F.max_by(found, "depth").alias("l")).select("_row", "l.*")
+    links = links.groupBy("_row", "n").agg(F.max_by(found, "depth").alias("l")).select("_row", "l.*")
     each = links.groupBy("_row", "level", "parent", "parent_id").agg(
         F.sum(F.when(F.col("whole"), F.col("words")).otherwise(0)).alias("in_blocks"), F.sum("words").alias("in_all"))
-    rank = F.struct(-F.col("level"), "in_blocks", "in_all", -F.col("parent_id"), "parent")
+    rank = F.struct(-F.col("level"), "in_blocks", "in_all", "parent_id", "parent")
     return each.groupBy("_row").agg(F.max_by(F.struct("parent", "parent_id"), rank).alias("p")).select("_row", "p.*")
 
 

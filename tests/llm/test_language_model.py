@@ -112,3 +112,22 @@ def test_no_training_rows(spark, empty):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in rows)
     assert sorted(r["score"] for r in rows) == pytest.approx([0.0, 0.0], abs=1e-9)  # one unknown word, V = 0
     assert lm.score_documents(empty).collect() == []
+
+
+def test_words_that_agree_in_half_their_hash(spark):
+    """Two words of one upper half, one frequent and one met once: no score passes 1."""
+    import xxhash
+    one, two = "w57212", "w67677"
+    assert len({xxhash.xxh3_64_intdigest(w.encode()) >> 32 for w in (one, two)}) == 1
+    rows = [(k, f"{one} a {one} b {one} a") for k in range(200)] + [(900, f"{two} a"), (901, "c d")]
+    asks = [f"{one} a", f"{two} a", f"{two} b", f"{two} {one}", f"a {two}", f"{two} {two} {two} a a b", "c d"]
+    learn = [(*r, False) for r in rows] + [(1000 + k, t, True) for k, t in enumerate(asks)]
+    df = spark.createDataFrame(learn, "doc_id long, text string, held boolean")
+    out = {r["doc_id"]: r for r in lm.score_documents(df, held="held").collect()}
+    assert all(r["score"] <= 0 for r in out.values())
+    apart = Counter(w for _, t in rows for w in tokens(t))
+    n, v = sum(apart.values()), len(apart)
+    for k, t in enumerate(asks):  # the counts behind the base stay apart
+        want = sum(math.log10((apart[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens(t))
+        assert out[1000 + k]["base_score"] == pytest.approx(want, rel=1e-9)
+

@@ -69,7 +69,7 @@ def test_hot_passage(spark):
     """A third of all messages quote one text, which is itself said many times."""
     rows = [(k, "u", "the same words") for k in range(100)] + [(100 + k, "a", "> the same words\nyes %d" % k) for k in range(200)]
     got = linked(spark, rows)
-    assert sum(c == 0 for c, *_ in got.values()) == 201
+    assert sum(c == 99 for c, *_ in got.values()) == 201  # the nearest of the equal originals
     assert [got[k][1] for k in range(100, 300)] == list(range(1, 201))
 
 
@@ -90,7 +90,7 @@ def test_shared_texts_link_by_what_they_answer(spark):
         (13, "a", "> > Do you want tea?\n> with milk\n>\n> Kind regards of the whole team\nMilk is out"),
     ])
     assert {k: v[2] for k, v in got.items()} == {
-        1: None, 2: None, 3: 1, 4: 2, 5: 3, 6: 4, 7: None, 8: 7, 9: 2, 10: 4, 11: 1, 12: 1, 13: 12}
+        1: None, 2: None, 3: 1, 4: 2, 5: 3, 6: 4, 7: None, 8: 7, 9: 2, 10: 9, 11: 1, 12: 1, 13: 12}  # 4 and 9 are alike to 10: the nearest
 
 
 def test_deeper_quotes_tell_apart(spark):
@@ -117,3 +117,36 @@ def test_empty(spark):
     assert link_quotations(spark.createDataFrame([], SCHEMA)).collect() == []
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert mails(empty).collect() == []
+
+
+def test_equal_first_turns_stay_apart(spark):
+    """A third of all messages say the same at the start; every reply goes to its own conversation."""
+    rows = []
+    for c in range(1, 41):
+        first, second = c * 1000, c * 1000 + 1
+        rows.append((first, "user", "Hello there, can you help me?"))
+        rows.append((second, "assistant", "> Hello there, can you help me?\n\nYes, with what?"))
+        rows.append((c * 1000 + 2, "user", "> > Hello there, can you help me?\n> Yes, with what?\n\nThanks"))
+    got = linked(spark, rows)
+    assert {m: v[0] for m, v in got.items()} == {m: m // 1000 * 1000 for m in got}
+    assert {m: (v[2], v[3]) for m, v in got.items()} == {
+        m: ((None, 0) if m % 1000 == 0 else (m - 1, m % 1000)) for m in got}
+
+
+def test_nearest_original_ahead(spark):
+    """Against a loop over all originals, with ties of ids and a key that fills several partitions."""
+    import random
+
+    from adlens.llm.quotation import nearest_ahead
+    rng = random.Random(3)
+    key = lambda: bytes([0 if rng.random() < 0.5 else rng.randrange(1, 6)])
+    originals = [(key(), rng.randrange(300), r) for r in range(400)]
+    quotes = [(key(), rng.randrange(300), 1000 + r) for r in range(400)]
+    got = nearest_ahead(spark.createDataFrame(originals, "key binary, id long, _row long").repartition(3),
+                        spark.createDataFrame(quotes, "key binary, id long, _row long")).collect()
+    want = {}
+    for k, i, r in quotes:
+        ahead = [(oi, o) for ok, oi, o in originals if ok == k and oi < i]
+        if ahead:
+            want[r] = max(ahead)
+    assert {r["_row"]: (r["parent_id"], r["parent"]) for r in got} == want and len(got) == len(want)
