@@ -27,7 +27,7 @@ SEQ = "_seq"
 # where a row came from; with its place there, these order rows as in the source
 PLACE = ("_file", "_block")
 CSV_SCHEMA = StructType(RAW_SCHEMA.fields + [StructField(CORRUPT, StringType(), True)])
-FIELD_SEPARATOR = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # commas outside quotes
+QUOTED = '"[^"]*("|$)'  # a quoted stretch; one that is not closed takes the rest of the line
 
 
 def scan_csv(reader, path: str, header: bool = True) -> DataFrame:
@@ -48,8 +48,11 @@ def checked_width(df: DataFrame) -> DataFrame:
     name, where a shift put another value in the campaign's place). Only rows
     that the reader marks as malformed are counted.
     """
-    fields = F.size(F.split(F.col(CORRUPT), FIELD_SEPARATOR))
-    too_wide = F.col(CORRUPT).isNotNull() & (fields > len(RAW_COLUMNS))
+    plain = F.regexp_replace(CORRUPT, QUOTED, "")  # separators outside quotes, in one pass
+    fields = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
+    # the reader wants another column read beside this one, also by a plain count
+    beside = F.length(F.coalesce(RAW_COLUMNS[0], F.lit(""))) >= 0
+    too_wide = F.col(CORRUPT).isNotNull() & (fields > len(RAW_COLUMNS)) & beside
     kept = F.when(~too_wide, F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("malformed raw row: "), F.col(CORRUPT))))
     return df.where(kept).drop(CORRUPT)

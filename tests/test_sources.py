@@ -91,3 +91,18 @@ def test_a_stream_reads_as_the_batch_does(spark):
         lambda b, _: seen.extend(tuple(r) for r in raw_rows(b).drop(SEQ).collect()))
      .option("checkpointLocation", path).trigger(availableNow=True).start().awaitTermination())
     assert sorted(seen, key=str) == sorted((tuple(r) for r in read_raw_csv(spark, d).drop(SEQ).collect()), key=str)
+
+
+def test_width_is_checked_in_one_pass(spark, tmp_path):
+    """A quoted comma is no separator, and a very long malformed line is checked in step with its length."""
+    import time
+
+    from adlens.config import RAW_COLUMNS
+    n = len(RAW_COLUMNS)
+    (tmp_path / "a.csv").write_text(",".join(RAW_COLUMNS) + "\n" + '"a,b' * 3 + '",' + "x," * (n - 2) + "x\n")
+    assert read_raw_csv(spark, str(tmp_path / "a.csv")).count() == 1
+    (tmp_path / "b.csv").write_text(",".join(RAW_COLUMNS) + "\n" + ",".join(['"x,y"'] * 20_000) + "\n")
+    took = time.perf_counter()
+    with pytest.raises(Exception, match="malformed raw row"):
+        read_raw_csv(spark, str(tmp_path / "b.csv")).collect()
+    assert time.perf_counter() - took < 60
