@@ -14,11 +14,13 @@ Scale: rule 4 needs, per row, "is there an earlier row with my key?". A
 window partitioned by the key would sort every row of a hot key (one key
 may hold a third of the rows) in one task. Instead:
 
-1. rows per key — a hash aggregation, partial per task, so a hot key is
-   collapsed on the map side before the shuffle;
-2. keep the keys seen more than once;
-3. the first source position of those keys, aggregated over their rows only
-   (a semi join with step 2);
+1. rows per 64-bit hash of the key — a hash aggregation, partial per task, so a hot
+   key is collapsed on the map side before the shuffle, and a key that is met once moves
+   as two numbers, not as its text;
+2. keep the hashes met more than once;
+3. the first source position of the keys met more than once, aggregated over the rows of
+   those hashes only (a semi join with step 2); keys are compared in full here, so
+   two keys of one hash stay apart;
 4. every row is joined (left, null-safe on the key) to step 3; it is a
    duplicate when its position is not the first one.
 
@@ -104,13 +106,13 @@ def with_duplicate_flag(raw: DataFrame, key=DEDUP_KEY, seq: str = SEQ,
     def on_key(right: DataFrame):
         return [F.col(k).eqNullSafe(right[n]) for k, n in zip(key, fk)]
 
-    # keys seen more than once: hash aggregation, partial per task first
-    dup_keys = (raw.groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)])
-                .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n"))
-    # first source position of each duplicated key, from those keys' rows only
-    firsts = (raw.join(dup_keys, on_key(dup_keys), "left_semi")
+    # hashes met more than once: hash aggregation, partial per task first
+    hashed = F.xxhash64(*key)
+    repeated_hashes = raw.groupBy(hashed.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h")
+    # first source position of each duplicated key, from the rows of those hashes only
+    firsts = (raw.withColumn("_h", hashed).join(repeated_hashes, "_h", "left_semi")
               .groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)])
-              .agg(F.min(seq).alias("_first_seq")))
+              .agg(F.min(seq).alias("_first_seq"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
     joined = raw.join(firsts, on_key(firsts), "left")
     repeated = F.coalesce(F.col(seq) != F.col("_first_seq"), F.lit(False))
     if seen is not None:
