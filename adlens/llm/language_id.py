@@ -7,10 +7,11 @@ shorter one. A text's score is the sum over its words; the language of the
 highest score wins.
 
 The model is fitted on a documented, bounded sample of labelled rows
-(``sample_bytes`` of text for each language, drawn by a hash of the id; all
+(``sample_bytes`` of text for each language on average, drawn by a hash of id and text,
+one row at least; all
 rows where there are fewer) and keeps words and n-grams seen ``min_count``
-times or more, so its size is bounded by the sample's. More languages than
-``max_langs`` is an error. Counting runs as a Spark aggregation; the finished
+times or more, so its size is bounded by the sample's. Of more than
+``max_langs`` languages those of the most text are learned. Counting runs as a Spark aggregation; the finished
 model is broadcast. Every row is then scored, whole texts, in Arrow batches.
 
 Defined cases: NULL text and text without a letter are ``und`` with score 0;
@@ -110,19 +111,24 @@ class Scorer(dict):
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           sample_bytes: int = 4_000_000, min_count: int = 3, max_langs: int = 400) -> Model:
-    """The model of rows with text and lang, from a bounded sample of each language."""
+    """The model of rows with text and lang, from a bounded sample of each language.
+
+    Of more than ``max_langs`` languages those of the most text are learned.
+    """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b")).limit(max_langs + 1).collect()
-    if len(sizes) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
+    # rows in order of a hash of id and text: the first ones of a language, as many as the bound
+    # lets in on average, and its very first in any case
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), "text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    rows = rows.withColumn("draw", draw)
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b"), F.min("draw").alias("first")).orderBy(
+        F.desc("b"), "lang").limit(max_langs).collect()
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
         return Model([], {})
-    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample_bytes / r["b"]))])
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < shares[F.col("lang")])
+    upto = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], max(min(1.0, sample_bytes / r["b"]), r["first"]))])
+    sample = rows.where(F.col("draw") <= upto[F.col("lang")])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}

@@ -37,3 +37,22 @@ def test_nothing_to_learn_from(empty, small):
     model = train(empty)
     assert {tuple(r)[1:] for r in predict(small.limit(5), model).collect()} == {("und", 0.0)}
     assert predict(empty, model).collect() == []
+
+
+def test_a_language_in_few_long_documents(spark):
+    """Whatever the draw, one document at least of every language is learned."""
+    words = {"xx": "zub kor", "yy": "lim pas"}
+    for shift in range(12):
+        rows = [(shift * 10 + k, " ".join([words[x]] * 300), x) for k, x in enumerate(("xx", "yy", "yy"))]
+        model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_bytes=100)
+        assert model.langs == ["xx", "yy"]
+        scorer = Scorer(model)
+        assert scorer.predict("zub")[0] == "xx" and scorer.predict("pas")[0] == "yy"
+
+
+def test_very_many_languages(spark):
+    """A dirty column: the languages of most text are learned, and the query goes on."""
+    rows = [(k, f"w{k} w{k} w{k}", f"l{k}") for k in range(30)] + [(100, "the cat " * 50, "en"), (101, "le chat " * 50, "fr")]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_langs=2)
+    assert model.langs == ["en", "fr"]
+    assert Scorer(model).predict("the cat")[0] == "en"
