@@ -113,6 +113,8 @@ def shard_counts(targets: DataFrame, block_words: int, shard_slots: int, seed: i
 def mix_slots(targets: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
     """The mix: one row per slot, ``shard, _null, _src, pass, block``, from each shard's drawn counts."""
     drawn = prefix_sums(shard_counts(targets, block_words, shard_slots, seed), "count", ["shard"], SOURCE, "mix-shards")
+    # a few short rows, each of which becomes up to shard_slots ones: dealt out ahead of that
+    drawn = drawn.repartition(shuffle_partitions(targets.sparkSession), *SOURCE, "shard")
     j = F.explode(F.expr("sequence(before, before + count - 1)"))
     pick = permute(F.col("j") % F.col("blocks"), F.col("blocks"), F.lit(seed), *map(F.col, SOURCE), F.col("pass"))
     return (drawn.withColumn("j", j).withColumn("pass", F.expr("j div blocks"))
