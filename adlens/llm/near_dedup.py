@@ -41,7 +41,7 @@ from adlens.llm.components import components
 from adlens.llm.words import ODD, WordHash, mix, runs, words_of
 
 BANDS, ROWS = 24, 4
-BLOCK, BLOCK_ELEMENTS = 2000, 2_000_000  # most members and shingles of a tile
+BLOCK, BLOCK_ELEMENTS = 1000, 1_000_000  # most members and shingles of a tile
 RUN_WORDS = 200_000  # words handled at once; a longer text is a run of its own
 UNSET = np.uint64(2 ** 64 - 1)
 
@@ -168,26 +168,33 @@ def rooted(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets with all, from the sets each element is in."""
-    both = np.zeros((len(sets), len(sets)), np.int32)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    elements = np.concatenate(sets)
-    order = np.argsort(elements, kind="stable")
-    elements, owner = elements[order], owner[order]
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of the left sets with the right ones, from the sets each element is in."""
+    both = np.zeros((len(left), len(right)), np.int32)
+    owner = np.concatenate([np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (left, right)])
+    side = np.repeat([False, True], [sum(map(len, left)), sum(map(len, right))])
+    elements = np.concatenate([*left, *right])
+    order = np.lexsort((side, elements))
+    elements, owner, side = elements[order], owner[order], side[order]
     cuts = np.flatnonzero(np.concatenate(([True], elements[1:] != elements[:-1], [True])))
-    for i, j in zip(cuts[:-1][np.diff(cuts) > 1].tolist(), cuts[1:][np.diff(cuts) > 1].tolist()):
-        at = owner[i:j]
-        both[at[:, None], at] += 1
+    ahead = np.concatenate(([0], np.cumsum(~side)))
+    split = cuts[:-1] + ahead[cuts[1:]] - ahead[cuts[:-1]]  # where an element's right sets begin
+    some = (split > cuts[:-1]) & (split < cuts[1:])
+    for i, k, j in zip(cuts[:-1][some].tolist(), split[some].tolist(), cuts[1:][some].tolist()):
+        both[owner[i:k, None], owner[k:j]] += 1
     return both
 
 
-def spanning_links(nodes: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], percent: int
+def spanning_links(nodes: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], other: np.ndarray, percent: int
                    ) -> list[tuple[int, int]]:
-    """Links between different components of a block, as many as it takes to connect them."""
-    sizes = np.array([len(s) for s in sets])
-    both = overlaps(sets).astype(np.int64)
-    linked_ = both * 100 >= (sizes[:, None] + sizes - both) * percent
+    """Links between different components of a block, as many as it takes to connect them.
+
+    Where some members are of the block's ``other`` tile, pairs of one of each are compared, else all pairs.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    rows, columns = (np.flatnonzero(~other), np.flatnonzero(other)) if other.any() and not other.all() else (
+        np.arange(len(sets)),) * 2
+    both = overlaps([sets[k] for k in rows], [sets[k] for k in columns])
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -196,11 +203,15 @@ def spanning_links(nodes: np.ndarray, roots: np.ndarray, sets: list[np.ndarray],
         return x
 
     out = []
-    for a, b in zip(*np.nonzero(np.triu(linked_, 1) & (roots[:, None] != roots))):
-        x, y = find(int(roots[a])), find(int(roots[b]))
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((int(nodes[a]), int(nodes[b])))
+    for k, a in enumerate(rows.tolist()):
+        same = both[k].astype(np.int64)
+        near = columns[(same * 100 >= (sizes[a] + sizes[columns] - same) * percent) & (roots[columns] != roots[a])]
+        near_roots, first = np.unique(roots[near], return_index=True)  # one link to each component is enough
+        for root, b in zip(near_roots.tolist(), near[first].tolist()):
+            x, y = find(int(roots[a])), find(root)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((int(nodes[a]), int(nodes[b])))
     return out
 
 
@@ -208,21 +219,24 @@ def block_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between members of one bucket that are in different components (stored).
 
     A bucket of more than ``BLOCK`` members or ``BLOCK_ELEMENTS`` shingles is
-    dealt into tiles by a hash, and each pair of its tiles is a block; a block
-    is compared in one task, which returns links only.
+    dealt into tiles by a hash, and each tile, and each pair of tiles, is a block; a
+    block is compared in one task, which returns links only. Pairs inside a tile are
+    compared in its own block and not again.
     """
     sizes = rest.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK),
                                                   F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("long").alias("tiles"))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
     dealt = rest.select("bucket", "node", "root").join(sizes, "bucket").withColumn("own", tile).withColumn(
         "other", F.explode(F.expr("sequence(0L, tiles - 1)"))).select(
-        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "root")
+        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+        (F.col("own") > F.col("other")).alias("second"), "node", "root")
 
     def compare(block: pa.Table) -> pa.Table:
-        nodes, roots = (block.column(c).to_numpy() for c in ("node", "root"))
+        nodes, roots, second = (block.column(c).to_numpy() for c in ("node", "root", "second"))
         elements = [x.values.to_numpy() for x in block.column("elements")]
         order = np.argsort(nodes, kind="stable")
-        found = spanning_links(nodes[order], roots[order], [elements[k] for k in order], percent)
+        found = spanning_links(nodes[order], roots[order], [elements[k] for k in order],
+                               second[order].astype(bool), percent)
         return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
                         names=["a", "b"])
 
