@@ -192,8 +192,9 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_p
                          F.when(F.col("n") < F.col("size"), F.col("parts")).alias(parts))
     # a word with the white space ahead of it
     words = F.regexp_extract_all(F.col(text_col), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    cut = F.concat_ws("", F.flatten(F.transform(parts, lambda p: F.slice(
-        words, (p["first"] + 1).cast("int"), p["words"].cast("int")))))
+    # the words are bound once: inside the inner function they would be looked up again for every part
+    cut = F.get(F.transform(F.array(words), lambda all_words: F.concat_ws("", F.flatten(F.transform(
+        parts, lambda p: F.slice(all_words, (p["first"] + 1).cast("int"), p["words"].cast("int")))))), F.lit(0))
     text = F.when(F.col(parts).isNull(), F.col(text_col)).otherwise(cut)
     return at_rows(docs, taken).select(
         *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
