@@ -42,6 +42,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -168,10 +169,17 @@ class Pairs:
         return np.bincount(self.pair[train], minlength=len(self.key))
 
 
+def parts_of(rows: pa.Table, kind: int, column: str, dtype) -> list[np.ndarray]:
+    """One kind of answer, from all buckets, in bucket order; the other kinds are not copied."""
+    some = rows.select(["dest", "kind", column])
+    some = some.filter(pc.equal(some.column("kind"), kind))
+    order = np.argsort(some.column("dest").to_numpy(), kind="stable")
+    return [unpack(some.column(column)[k].as_py(), dtype) for k in order.tolist()]
+
+
 def joined(rows: pa.Table, kind: int, column: str, dtype) -> np.ndarray:
-    """One kind of answer, from all buckets, in bucket order."""
-    found = sorted((d, x) for d, k, x in zip(*(rows.column(c).to_pylist() for c in ("dest", "kind", column))) if k == kind)
-    return np.concatenate([unpack(x, dtype) for _, x in found]) if found else np.zeros(0, dtype)
+    found = parts_of(rows, kind, column, dtype)
+    return np.concatenate(found) if found else np.zeros(0, dtype)
 
 
 def by_chunk(chunks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
@@ -468,10 +476,11 @@ def score_documents(docs: DataFrame, held: str | None = None, id_col: str = "doc
         mass = joined(got, 4, "b", np.float32).reshape(-1, drawn).astype(np.float64)
         dealt = joined(got, 1, "a", np.int32)
         sat = np.tile(np.minimum(dealt, 1), (drawn, 1))
-        last = sorted((d, b) for d, k, b in zip(*(got.column(x).to_pylist() for x in ("dest", "kind", "b"))) if k == 7)
+        last = parts_of(got, 7, "b", np.int32)
         if last:  # of all pairs after one sweep, else of those of two customers or more
-            drawn_tables = np.concatenate([unpack(b, np.int32).reshape(drawn, -1) for _, b in last], axis=1)
+            drawn_tables = np.concatenate([x.reshape(drawn, -1) for x in last], axis=1)
             sat[:, dealt >= 2 if sweeps > 1 else slice(None)] = drawn_tables
+            del last, drawn_tables
         seen, at_tables = np.zeros(len(p.key)), np.zeros((drawn, len(p.key)))
         seen[p.order] = dealt
         at_tables[:, p.order] = sat
