@@ -34,6 +34,7 @@ for itself; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import gc
 import math
@@ -109,6 +110,7 @@ def tokenised(docs: DataFrame) -> DataFrame:
     well, and ``ranks`` leads back.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         hashes, made = WordHash(), 0
         first = TaskContext.get().partitionId() << 32
         rows = ((d, h, t) for b in batches for d, h, t in
@@ -182,9 +184,22 @@ def joined(rows: pa.Table, kind: int, column: str, dtype) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype)
 
 
+def give_back() -> None:
+    """Let arrays of 1 MB and more go back to the system when they are freed.
+
+    By default the C library keeps them for later once some have been freed, and a
+    worker that is used again holds what the largest of its tasks has left in pieces.
+    """
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def by_chunk(chunks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
     """``run(chunk row, its answers)`` for every chunk."""
     def one(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         return run(left.to_pylist()[0], right)
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(one, schema)
@@ -327,6 +342,7 @@ def pair_seating(chunks: DataFrame, answers: DataFrame, buckets: int, samples: i
         return message_table(out)
 
     def seat(rows: pa.Table) -> pa.Table:
+        give_back()
         dest = rows.column("dest")[0].as_py()
         keys, counts, levels = [], [], []
         for a, b, c in zip(*(rows.column(x).to_pylist() for x in "abc")):
