@@ -17,6 +17,7 @@ they differ per run by design.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import cached_property
 
@@ -271,21 +272,28 @@ def _sketched_supplier_medians(spark: SparkSession, d: str) -> DataFrame:
     return merged_medians(sketches(items, ["l_suppkey", "month"], list(columns)), ["l_suppkey"], columns)
 
 
-def _stream_all_rules(spark: SparkSession, d: str) -> DataFrame:
-    """I8/V5: raw rows in four files in source order, streamed one file a micro-batch under all rules;
-    a key's first row counts wherever the files are cut."""
+# of the stream under all rules: its micro-batches, and the rows that one task sorts into a file
+STREAM_BATCHES = 4
+FILE_ROWS = 500_000
+
+
+def _stream_all_rules(spark: SparkSession, d: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """I8/V5: raw rows in files in source order, streamed in four micro-batches under all rules;
+    a key's first row counts wherever the files are cut. There are four files, a micro-batch each, or as
+    many more as keep a file at about ``file_rows`` rows: a task sorts one file, whatever the table's size."""
     from adlens.streaming.incremental import raw_csv_stream, stream_incremental_load
 
     root = fresh_dir(spark, "stream-all-rules")
     raw = _p(spark, d).raw
-    (raw.repartitionByRange(4, SEQ).sortWithinPartitions(SEQ).drop(SEQ)
+    files = STREAM_BATCHES * max(1, math.ceil(raw.count() / (STREAM_BATCHES * file_rows)))
+    (raw.repartitionByRange(files, SEQ).sortWithinPartitions(SEQ).drop(SEQ)
      .write.option("header", True).option("nullValue", "").csv(f"{root}/incoming"))
     # the file source takes files by their time: that of the source order
     names = [n for n in list_names(spark, f"{root}/incoming") if n.startswith("part-")]
     for k, name in enumerate(names):
         set_time(spark, f"{root}/incoming/{name}", 1_700_000_000_000 + 60_000 * k)
-    stream_incremental_load(spark, raw_csv_stream(spark, f"{root}/incoming", 1), f"{root}/bronze", f"{root}/watermark",
-                            f"{root}/checkpoint", rules="all")
+    stream = raw_csv_stream(spark, f"{root}/incoming", math.ceil(len(names) / STREAM_BATCHES))
+    stream_incremental_load(spark, stream, f"{root}/bronze", f"{root}/watermark", f"{root}/checkpoint", rules="all")
     return ingest.read_bronze(spark, f"{root}/bronze").drop("loaded_at")
 
 

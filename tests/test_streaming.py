@@ -132,3 +132,29 @@ def test_a_replayed_micro_batch_is_not_loaded_again(spark):
         os.remove(f"{local_path(root)}/ck/commits/{f}")
     assert stream_incremental_load(spark, raw_csv_stream(spark, src), *args, loaded_at=TS) == []
     assert ingest.read_bronze(spark, args[0]).count() == 2
+
+
+def test_stream_of_all_rules_sorts_a_bounded_number_of_rows_a_file(spark, tmp_path, monkeypatch):
+    """Ten times the rows make ten times the files, in four micro-batches still, and load the same rows."""
+    from pyspark.sql import functions as F
+
+    from adlens.plans import catalog
+    from adlens.streaming import incremental
+
+    rows = spark.range(400).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7).alias("l_partkey"), (F.col("id") % 5).alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(2.0).alias("l_quantity"), F.lit(9.0).alias("l_extendedprice"),
+        F.lit(0.05).alias("l_discount"), F.lit(0.02).alias("l_tax"), F.lit("A").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"),
+        F.expr("cast(date_add(date'1996-01-01', cast(id % 20 as int)) as timestamp_ntz)").alias("l_shipdate"))
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, batches = [], []
+    written, loaded = catalog.list_names, incremental.add_increment
+    monkeypatch.setattr(catalog, "list_names", lambda s, path: seen.append(path) or written(s, path))
+    monkeypatch.setattr(incremental, "add_increment", lambda *a: batches.append(1) or loaded(*a))
+    got = [sorted(map(tuple, catalog._stream_all_rules(spark, str(tmp_path), n).collect())) for n in (100, 10)]
+    assert got[0] == got[1] and len(got[0]) == 20
+    sizes = [spark.read.option("header", True).csv(path).groupBy(F.input_file_name()).count().agg(
+        F.count("*"), F.max("count")).first() for path in seen]
+    assert sizes[0][0] == 4 and sizes[1][0] >= 30 and sizes[1][1] <= 30
+    assert len(batches) == 8
