@@ -190,3 +190,29 @@ def test_a_long_list_of_campaigns_is_joined(spark):
     assert [r.campaign_id for r in ingest.incremental_new_rows(src, "1900-01-01", campaign_ids=ids).collect()] == ["c7"]
     frame = spark.createDataFrame([("916",)], "id string")
     assert [r.campaign_id for r in ingest.incremental_new_rows(src, "1900-01-01", campaign_ids=frame).collect()] == ["916"]
+
+
+def test_the_load_is_small_enough_to_be_compiled(spark, tmp_path, capsys):
+    """A filter on the date inlines its reading; beyond 8,000 bytes the JVM interprets a generated method for good."""
+    import re
+
+    from adlens.sources.testdata import ad_rows_from_lineitem
+
+    schema = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+              "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+              "l_shipdate timestamp_ntz")
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = ingest.incremental_new_rows(ad_rows_from_lineitem(spark, str(tmp_path)), "1995-06-17")
+    loaded = ingest.stamp(rows, "2024-01-01").withColumn("month", ingest.month_of("reporting_start"))
+    capsys.readouterr()
+    loaded.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_whole_numbers_with_and_without_a_point(spark):
+    from adlens.functions import whole_number
+
+    texts = ["12", " 12 ", "12.", "12.00", "3.7", "1.0.0", "", "x", None, "-4", "12.0 ", "9223372036854775807"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(whole_number("t")).collect()]
+    assert got == [12, 12, 12, 12, None, None, None, None, None, -4, 12, 9223372036854775807]
