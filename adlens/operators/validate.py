@@ -17,21 +17,21 @@ may hold a third of the rows) in one task. Instead:
 1. rows per 64-bit hash of the key — a hash aggregation, partial per task, so a hot
    key is collapsed on the map side before the shuffle, and a key that is met once moves
    as two numbers, not as its text;
-2. keep the hashes met more than once;
-3. the first source position of the keys met more than once, aggregated over the rows of
-   those hashes only (a semi join with step 2); keys are compared in full here, so
-   two keys of one hash stay apart;
-4. every row is joined (left, null-safe on the key) to step 3; it is a
+2. the hashes met more than once as marks in a bitmap of ``MARKS`` places, which every
+   task gets: its size has a bound, whatever the number of such hashes;
+3. rows without a mark are the only ones of their key and are done, where they were read.
+   Rows with a mark are those of repeated keys, and a few others that share a mark;
+4. the first source position of each repeated key, aggregated over the marked rows; keys
+   are compared in full here, so two keys of one hash or mark stay apart;
+5. every marked row is joined (left, null-safe on the key) to step 4; it is a
    duplicate when its position is not the first one.
 
 With an index of the keys of earlier loads (``seen``), a row whose key is in it is
 a duplicate as well.
 
-Steps 3–4 only move the rows of duplicated keys plus one row per such key.
-When there are few, AQE sees their actual size at run time and broadcasts
-them, so the wide rows are never shuffled; when there are many, the join
-stays a sort-merge join and AQE's skew-join handling splits the partitions
-of a hot key on the row side.
+Steps 4–5 only move marked rows plus one row per repeated key. When nearly all keys are
+repeated these are nearly all rows; the join then is a sort-merge join, and AQE's
+skew-join handling splits the partitions of a hot key on the row side.
 """
 
 from __future__ import annotations
@@ -54,6 +54,7 @@ from adlens.sources.raw import SEQ
 
 DEDUP_KEY = ("ad_id", "reporting_start")
 REASON = "rejection_reason"
+MARKS = 1 << 25  # places of the bitmap that tells which rows may have a repeated key: 4 MB
 
 
 # -- single rules -------------------------------------------------------------
@@ -108,18 +109,26 @@ def with_duplicate_flag(raw: DataFrame, key=DEDUP_KEY, seq: str = SEQ,
 
     # hashes met more than once: hash aggregation, partial per task first
     hashed = F.xxhash64(*key)
-    repeated_hashes = raw.groupBy(hashed.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h")
-    # first source position of each duplicated key, from the rows of those hashes only
-    firsts = (raw.withColumn("_h", hashed).join(repeated_hashes, "_h", "left_semi")
-              .groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)])
+    word, bit = F.shiftright("_h", 6).bitwiseAND(F.lit(MARKS // 64 - 1)), F.col("_h").bitwiseAND(F.lit(63)).cast("int")
+    marks = (raw.groupBy(hashed.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+             .select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
+             .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    with_hash = raw.withColumn("_h", hashed)
+    marked = (word == F.col("_word")) & (F.getbit("_bits", bit) == 1)
+    once = with_hash.join(F.broadcast(marks), marked, "left_anti").drop("_h")
+    some = with_hash.join(F.broadcast(marks), marked, "left_semi").drop("_h")
+    # first source position of each repeated key, from the marked rows only
+    firsts = (some.groupBy(*[F.col(k).alias(n) for k, n in zip(key, fk)])
               .agg(F.min(seq).alias("_first_seq"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
-    joined = raw.join(firsts, on_key(firsts), "left")
+    joined = some.join(firsts, on_key(firsts), "left")
     repeated = F.coalesce(F.col(seq) != F.col("_first_seq"), F.lit(False))
-    if seen is not None:
-        known = seen.select(*[F.col(k).alias(f"_seen_{n}") for k, n in zip(key, fk)], F.lit(True).alias("_seen"))
-        joined = joined.join(known, [F.col(k).eqNullSafe(F.col(f"_seen_{n}")) for k, n in zip(key, fk)], "left")
-        repeated = repeated | F.coalesce("_seen", F.lit(False))
-    return joined.select(*raw.columns, repeated.alias(flag))
+    flagged = (joined.select(*raw.columns, repeated.alias(flag))
+               .unionByName(once.select(*raw.columns, F.lit(False).alias(flag))))
+    if seen is None:
+        return flagged
+    known = seen.select(*[F.col(k).alias(f"_seen_{n}") for k, n in zip(key, fk)], F.lit(True).alias("_seen"))
+    met = flagged.join(known, [F.col(k).eqNullSafe(F.col(f"_seen_{n}")) for k, n in zip(key, fk)], "left")
+    return met.select(*raw.columns, (F.col(flag) | F.coalesce("_seen", F.lit(False))).alias(flag))
 
 
 def with_rejection_reason(raw: DataFrame, campaign_ids=VALID_CAMPAIGN_IDS, seen: DataFrame | None = None) -> DataFrame:

@@ -127,3 +127,38 @@ def test_json_keeps_missing_values_as_null(spark):
 @pytest.mark.parametrize("bad", ["1178x", "0916"])
 def test_campaign_ids_compared_as_text(spark, bad):
     assert reasons(spark, [ok(campaign_id=bad)]) == ["invalid_campaign_id"]
+
+
+def _nodes(plan):
+    """The nodes of an executed plan, those within query stages included."""
+    yield plan
+    name = plan.nodeName()
+    inner = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if "QueryStage" in name else []
+    kids = plan.children()
+    for p in [*inner, *(kids.apply(i) for i in range(kids.size()))]:
+        yield from _nodes(p)
+
+
+def test_rows_of_keys_met_once_are_not_moved(spark):
+    """Of 2,000 rows 20 have a repeated key: only these and the few that share a mark are shuffled whole."""
+    rows = [ok(ad_id=str(i)) for i in range(1980)] + [ok(ad_id=str(i)) for i in range(20)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checked = validate.with_rejection_reason(raw_frame(spark, rows))
+        # not by a plain count, which needs no row whole
+        got = [r.rejection_reason for r in checked.collect()]
+        moved = [n.metrics().get("shuffleRecordsWritten").get().value() for n in _nodes(checked._jdf.queryExecution().executedPlan())
+                 if n.nodeName() == "Exchange" and "spent#" in n.output().mkString()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert (got.count(None), got.count("duplicate_ad_id")) == (1980, 20)
+    assert sum(moved) < 100
+
+
+def test_keys_that_share_a_mark_stay_apart(spark, monkeypatch):
+    """With the fewest marks nearly all rows are compared in full; the flags are the same."""
+    rows = [ok(ad_id=str(i % 150)) for i in range(200)] + [ok(ad_id=None), ok(ad_id=None, reporting_start=None)]
+    many = reasons(spark, rows)
+    monkeypatch.setattr(validate, "MARKS", 64)
+    assert reasons(spark, rows) == many and many.count("duplicate_ad_id") == 50
