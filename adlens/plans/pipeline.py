@@ -12,9 +12,9 @@ steps is therefore made good by the next one, and a first load is the case that
 nothing is held yet. Other settings or a bronze begun anew make a table whole again.
 
 * validation: two narrow reads (key columns, then key and source order of
-  the duplicated keys) and one full read that writes ``validation_log``; the
-  counts of the summary are observed on that full read (``Observation``), so
-  the checked rows are neither cached nor read again.
+  rows that may have a duplicated key) and a read of the other rows beside one of
+  these, which write ``validation_log``; the counts of the summary are observed on
+  that write (``Observation``), so the checked rows are neither cached nor read again.
 * load: one pass over the raw source (rule 1, dates, watermark) into bronze. It
   starts when validation has succeeded: a failed validation leaves bronze and
   watermark as they were.
